@@ -17,7 +17,7 @@ FALLBACK_LAYOUTS = ["yyyy-MM-dd HH:mm:ss", "M/d/yyyy", "d-M-yyyy", "yyyy/MM/dd"]
 
 def to_date_exact(s: Column, layout: str) -> Column:
     """Parse with one layout; a malformed or impossible date gives NULL."""
-    return F.try_to_date(s, F.lit(layout))
+    return F.try_to_date(s, layout)
 
 
 def month_bucket(d: Column) -> Column:

@@ -73,8 +73,13 @@ def apply_batch(history: DataFrame, batch: DataFrame, key: str, attrs: Sequence[
             .unionByName(new_v.select(*cols)))
 
 
+def validity_predicate(d_ts: Column) -> Column:
+    """valid_from <= d < valid_to, or valid_to NULL (half-open range)."""
+    return (d_ts >= F.col(FROM)) & (F.col(TO).isNull() | (d_ts < F.col(TO)))
+
+
 def asof_join(facts: DataFrame, history: DataFrame, key: str, date_col: str,
-              attrs: Sequence[str], how: str = "left") -> DataFrame:
+              attrs: Sequence[str], how: str = "left", keep_validity: bool = False) -> DataFrame:
     """Attach the version valid at each fact's date: key equal and
     valid_from <= date < valid_to (or valid_to NULL).
 
@@ -96,9 +101,8 @@ def asof_join(facts: DataFrame, history: DataFrame, key: str, date_col: str,
     closed = (v.where(F.col(TO).isNotNull())
               .withColumn("_m", F.explode(F.sequence(start_m, F.greatest(start_m, end_m),
                                                      F.expr("INTERVAL 1 MONTH")))))
-    in_closed = (d_ts >= F.col(FROM)) & (d_ts < F.col(TO))
-    m_closed = probes.join(closed, [key, "_m"]).where(in_closed)
-    m_open = probes.drop("_m").join(v.where(F.col(TO).isNull()), key).where(d_ts >= F.col(FROM))
-    matched = (m_closed.select(key, date_col, *attrs)
-               .unionByName(m_open.select(key, date_col, *attrs)))
+    m_closed = probes.join(closed, [key, "_m"]).where(validity_predicate(d_ts))
+    m_open = probes.drop("_m").join(v.where(F.col(TO).isNull()), key).where(validity_predicate(d_ts))
+    out = [key, date_col, *attrs] + ([FROM, TO] if keep_validity else [])
+    matched = m_closed.select(*out).unionByName(m_open.select(*out))
     return facts.join(matched, [key, date_col], how)
