@@ -2,8 +2,8 @@
 
 Two phases, as the warehouse is run: (1) build - bronze, silver, history and
 fact tables written once as Parquet under the shared checkpoint folder;
-(2) queries - marts and analyses over those tables (the marts are views in
-the reference), each forced with a no-op write so every row is computed
+(2) queries - marts and analyses over those tables (the marts are views
+over the tables), each forced with a no-op write so every row is computed
 without collecting anything.  Prints one JSON line.
 """
 

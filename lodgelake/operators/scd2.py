@@ -79,30 +79,53 @@ def validity_predicate(d_ts: Column) -> Column:
 
 
 def asof_join(facts: DataFrame, history: DataFrame, key: str, date_col: str,
-              attrs: Sequence[str], how: str = "left", keep_validity: bool = False) -> DataFrame:
+              attrs: Sequence[str], how: str = "left", keep_validity: bool = False,
+              bounded_per_key: bool = False) -> DataFrame:
     """Attach the version valid at each fact's date: key equal and
     valid_from <= date < valid_to (or valid_to NULL).
 
-    Linear in the input even for a hot key: the range test runs only over the
-    distinct (key, date) pairs of the facts, closed versions are joined on
-    (key, month) after being spread over the months they cover (at most 31
-    dates x 31 versions per pair of buckets), the single open version of a key
-    on the key alone.  The matches come back to the facts by an equi-join on
-    (key, date), which AQE can split if one key is skewed.
+    Facts and version starts are unioned and sorted per key by time (a version
+    sorts before a fact of the same instant); ``last(ignorenulls)`` over the
+    running frame carries the latest started version to each fact, which is
+    kept when the fact lies before that version's end.  One shuffle, one sort,
+    linear work; never all pairs of a key.
+
+    The window group of a key must stay bounded.  With ``bounded_per_key``
+    (at most one fact per key and date, e.g. listing snapshots) the facts enter
+    the window themselves and the result keeps the key's hash partitioning.
+    Otherwise (a host may own a third of all rows) only the distinct
+    (key, date) pairs enter the window - bounded by the number of dates - and
+    the matches come back to the facts by an equi-join that AQE can split when
+    one key is skewed.  Versions of a key must be disjoint, as history builds
+    them.  Facts with a NULL key or date match nothing.
     """
-    d_ts = F.col(date_col).cast("timestamp_ntz")
-    probes = (facts.select(key, date_col)
-              .where(F.col(key).isNotNull() & F.col(date_col).isNotNull())
-              .distinct()
-              .withColumn("_m", F.trunc(date_col, "month")))
-    v = history.select(key, FROM, TO, *attrs)
-    start_m = F.trunc(F.to_date(F.col(FROM)), "month")
-    end_m = F.trunc(F.to_date(F.col(TO) - F.expr("INTERVAL 1 MICROSECOND")), "month")
-    closed = (v.where(F.col(TO).isNotNull())
-              .withColumn("_m", F.explode(F.sequence(start_m, F.greatest(start_m, end_m),
-                                                     F.expr("INTERVAL 1 MONTH")))))
-    m_closed = probes.join(closed, [key, "_m"]).where(validity_predicate(d_ts))
-    m_open = probes.drop("_m").join(v.where(F.col(TO).isNull()), key).where(validity_predicate(d_ts))
-    out = [key, date_col, *attrs] + ([FROM, TO] if keep_validity else [])
-    matched = m_closed.select(*out).unionByName(m_open.select(*out))
+    t = "_asof_t"
+    vf, vt = "_asof_from", "_asof_to"
+    packed = F.struct(*[F.col(c) for c in attrs], F.col(FROM).alias(vf), F.col(TO).alias(vt))
+    versions = (history.where(F.col(key).isNotNull() & F.col(FROM).isNotNull())
+                .select(key, F.col(FROM).cast("timestamp_ntz").alias(t),
+                        F.lit(0).alias("_asof_kind"), packed.alias("_asof_v")))
+    has_key = F.col(key).isNotNull() & F.col(date_col).isNotNull()
+    if bounded_per_key:
+        # a fact without key or date is its own window group (matches nothing)
+        side = facts.withColumn("_asof_solo", F.when(~has_key, F.monotonically_increasing_id()))
+    else:
+        side = facts.select(key, date_col).where(has_key).distinct().withColumn(
+            "_asof_solo", F.lit(None).cast("long"))
+    side = side.withColumn(t, F.col(date_col).cast("timestamp_ntz")).withColumn("_asof_kind", F.lit(1))
+    w = (Window.partitionBy(key, "_asof_solo").orderBy(t, "_asof_kind")
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    cur = F.col("_asof_cur")
+    carried = (side.unionByName(versions.withColumn("_asof_solo", F.lit(None).cast("long")),
+                                allowMissingColumns=True)
+               .withColumn("_asof_cur", F.last("_asof_v", ignorenulls=True).over(w))
+               .where(F.col("_asof_kind") == 1))
+    hit = cur.isNotNull() & (cur[vt].isNull() | (F.col(t) < cur[vt]))
+    outs = [F.when(hit, cur[c]).alias(c) for c in attrs]
+    if keep_validity:
+        outs += [F.when(hit, cur[vf]).alias(FROM), F.when(hit, cur[vt]).alias(TO)]
+    if bounded_per_key:
+        matched = carried.select(*facts.columns, *outs)
+        return matched.where(hit) if how == "inner" else matched
+    matched = carried.where(hit).select(key, date_col, *outs)
     return facts.join(matched, [key, date_col], how)

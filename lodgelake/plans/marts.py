@@ -30,17 +30,37 @@ def _base_fact(fact: DataFrame) -> DataFrame:
         "price", "has_availability", "availability_30", "review_scores_rating")
 
 
-def _enriched(fact: DataFrame, prop_hist: DataFrame, host_hist: DataFrame,
-              prop_attrs: list[str]) -> DataFrame:
-    e = scd2.asof_join(_base_fact(fact), prop_hist, "listing_id", "scraped_date", prop_attrs)
+def _enrich(facts: DataFrame, prop_hist: DataFrame, host_hist: DataFrame,
+            prop_attrs: list[str]) -> DataFrame:
+    """Point-in-time listing and host attributes, plus the activity flags.
+
+    The listing lookup sends the facts themselves through the window (a
+    listing has at most one fact per date); the host lookup goes through the
+    distinct (host, date) pairs because one host may own very many listings.
+    """
+    e = scd2.asof_join(facts, prop_hist, "listing_id", "scraped_date", prop_attrs,
+                       bounded_per_key=True)
     e = scd2.asof_join(e, host_hist, "host_id", "scraped_date", ["host_is_superhost"])
     return (e.withColumn("is_active", F.when(F.col("has_availability") == "t", 1).otherwise(0))
             .withColumn("stays_in_30_days", stays_30(F.col("availability_30"))))
 
 
-def _latest_per_listing_month(e: DataFrame) -> DataFrame:
-    # (listing_id, scraped_date) is unique, so the latest date is a total order
-    return latest_per_key(e, ["listing_id", "month_start"], ["scraped_date"])
+def _enriched(fact: DataFrame, prop_hist: DataFrame, host_hist: DataFrame,
+              prop_attrs: list[str]) -> DataFrame:
+    """Every fact with its point-in-time attributes (no monthly reduction)."""
+    return _enrich(_base_fact(fact), prop_hist, host_hist, prop_attrs)
+
+
+def _latest_enriched(fact: DataFrame, prop_hist: DataFrame, host_hist: DataFrame,
+                     prop_attrs: list[str]) -> DataFrame:
+    """One row per (listing, month) - the latest scrape - with its attributes.
+
+    The monthly pick depends on the scrape date only and each lookup is per
+    row, so picking first and looking up second gives the same rows while the
+    lookups see one row per listing and month instead of one per scrape.
+    """
+    latest = latest_per_key(_base_fact(fact), ["listing_id", "month_start"], ["scraped_date"])
+    return _enrich(latest, prop_hist, host_hist, prop_attrs)
 
 
 def _monthly_metrics(active_superhost_only: bool) -> dict[str, Column]:
@@ -78,8 +98,7 @@ def _aggregate(latest: DataFrame, keys: list[Column], active_superhost_only: boo
 def mart_listing_neighbourhood(fact: DataFrame, prop_hist: DataFrame,
                                host_hist: DataFrame) -> DataFrame:
     """KPIs per listing neighbourhood and month, rounded to 2 decimals."""
-    e = _enriched(fact, prop_hist, host_hist, ["listing_neighbourhood"])
-    latest = _latest_per_listing_month(e)
+    latest = _latest_enriched(fact, prop_hist, host_hist, ["listing_neighbourhood"])
     area = F.coalesce(F.col("listing_neighbourhood"), F.lit(UNKNOWN_AREA)).alias("listing_neighbourhood")
     a = _aggregate(latest, [area, F.col("month_start")], active_superhost_only=False)
     w = Window.partitionBy("listing_neighbourhood").orderBy("month_start")
@@ -109,8 +128,7 @@ def mart_property_type(fact: DataFrame, prop_hist: DataFrame, host_hist: DataFra
     """KPIs per (property type, room type, accommodates) and month, unrounded;
     the superhost rate counts only hosts with an active listing."""
     keys = ["property_type", "room_type", "accommodates"]
-    e = _enriched(fact, prop_hist, host_hist, keys)
-    latest = _latest_per_listing_month(e)
+    latest = _latest_enriched(fact, prop_hist, host_hist, keys)
     a = _aggregate(latest, [F.col(k) for k in keys] + [F.col("month_start")],
                    active_superhost_only=True)
     w = Window.partitionBy(*keys).orderBy("month_start")

@@ -126,7 +126,7 @@ def q_scd2_asof_join(spark, sf):
     L = Layers(spark, sf)
     facts = L.fact.select("listing_id", "scraped_date", "host_id")
     return scd2.asof_join(facts, L.property_history, "listing_id", "scraped_date",
-                          ["listing_neighbourhood", "property_type"])
+                          ["listing_neighbourhood", "property_type"], bounded_per_key=True)
 
 
 # History built only from rows on or after 1996-01-01: earlier facts find no
