@@ -12,7 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from lodgelake.plans import silver, star
-from lodgelake.session import pin_session
+from lodgelake.session import pin_session, size_shuffle_partitions
 from lodgelake.sources import testdata
 
 
@@ -20,6 +20,8 @@ class Layers:
     def __init__(self, spark: SparkSession, sf_dir: str):
         pin_session(spark)
         self.spark, self.sf_dir = spark, sf_dir
+        size_shuffle_partitions(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet"
+                                        for t in ("lineitem", "orders", "customer", "part")])
 
     # bronze
     @cached_property

@@ -18,6 +18,7 @@ from pyspark.sql import SparkSession
 # coalesce tiny ones); UTC pins date casts so Spark and SQL oracles agree.
 SCALE_CONFS = {
     "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
@@ -54,6 +55,47 @@ def pin_session(spark: SparkSession) -> None:
             pass
 
 
+# Target bytes per shuffle partition before AQE coalescing: partitions must fit
+# an executor core's share of memory with room for sort/aggregation buffers.
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+# Upper bound: beyond this the map-output bookkeeping (maps x reducers) costs
+# more than larger partitions do; AQE splits any partition that is skewed.
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the input files (file-system metadata only)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(conf)
+        if fs.exists(p):
+            total += fs.getContentSummary(p).getLength()
+    return total
+
+
+def size_shuffle_partitions(spark: SparkSession, paths: list[str], expansion: float = 3.0) -> int:
+    """Raise the pre-coalesce shuffle partition count to fit the input.
+
+    Parquet expands roughly ``expansion`` times once decoded into shuffle rows;
+    AQE then coalesces partitions that turn out small, so over-sizing is cheap
+    while under-sizing spills.  Never lowers a configured value.
+    """
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    current = int(spark.conf.get(key, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(MAX_SHUFFLE_PARTITIONS,
+                 int(input_bytes(spark, paths) * expansion // TARGET_PARTITION_BYTES) + 1)
+    if wanted > current:
+        try:
+            spark.conf.set(key, str(wanted))
+        except Exception:
+            return current
+        return wanted
+    return current
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder; create a local one only when unset."""
     sc = spark.sparkContext
