@@ -20,7 +20,7 @@ from lodgelake.plans.catalog import register
 from lodgelake.plans.layers import Layers
 from lodgelake.plans.oracle_sql import with_base
 from lodgelake.plans.q_layers import _M15_SQL
-from lodgelake.session import scratch_path
+from lodgelake.session import input_bytes, scratch_path
 from lodgelake.sources import files, ingest, testdata
 
 # --- fixed values: names of the census and mapping drops ---
@@ -64,8 +64,10 @@ def landing(spark: SparkSession, sf: str) -> str:
     if key in _LANDINGS:
         return _LANDINGS[key]
     land = scratch_path(spark, "landing")
+    # about one file per 64 MB of line items and month, at least two
+    parts = max(2, input_bytes(spark, [f"{sf.rstrip('/')}/lineitem.parquet"]) // (64 << 20) + 1)
     files.write_month_files(spark, listing_text(spark, sf), land, scratch_path(spark, "staging"),
-                            date_col="_date", order_cols=EXTRA + ["_junk"])
+                            date_col="_date", order_cols=EXTRA + ["_junk"], parts=int(parts))
     bronze = testdata.bronze_tables(spark, sf)
     for kind, name in CENSUS_FILES.items():
         df = bronze[kind]

@@ -90,14 +90,16 @@ def _rename_parts(spark: SparkSession, staging: str, landing: str, naming) -> li
 
 def write_month_files(spark: SparkSession, rows: DataFrame, landing: str, staging: str,
                       date_col: str, order_cols: list[str], prefix: str = "listings",
-                      parts: int = 4) -> list[str]:
+                      parts: int | None = None) -> list[str]:
     """Write rows as monthly CSV drops named ``{prefix}_{part}_{MM}_{YYYY}.csv``.
 
     Rows are hash-partitioned on (listing, date) so every copy of one key lands
     in the same file, in ``order_cols`` order: "first row wins" is then
     independent of the order in which files are loaded.  Headers are upper-case
-    as in the source system.
+    as in the source system.  ``parts`` files per month (default: the shuffle
+    partition count).
     """
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     tagged = rows.withColumn("_month", F.date_format(F.col(date_col), "MM_yyyy"))
     out_cols = [c for c in rows.columns]
     renamed = tagged.select(*[F.col(c).alias(c.upper()) for c in out_cols], "_month")
