@@ -37,10 +37,8 @@ def main() -> None:
 
     L = built
     plan = {
-        "mart_listing_neighbourhood": lambda: marts.mart_listing_neighbourhood(
-            L.fact, L.property_history, L.host_history),
-        "mart_property_type": lambda: marts.mart_property_type(
-            L.fact, L.property_history, L.host_history),
+        "mart_listing_neighbourhood": lambda: marts.listing_neighbourhood_kpis(L.fact_month),
+        "mart_property_type": lambda: marts.property_type_kpis(L.fact_month),
         "mart_host_neighbourhood": lambda: marts.mart_host_neighbourhood(
             L.fact, L.host_history, L.lga_suburb),
         "top_bottom_demographics": lambda: analysis.top_bottom_demographics(
@@ -54,13 +52,18 @@ def main() -> None:
             L.listings, L.lga_suburb, L.lga_code, L.census_g02),
     }
     times = {"build_warehouse": round(build_s, 3)}
+    warm = {}
     for name, make in plan.items():
         t = time.time()
         force(make())
         times[name] = round(time.time() - t, 3)
+    for name, make in plan.items():  # second pass: code generated and JIT-compiled
+        t = time.time()
+        force(make())
+        warm[name] = round(time.time() - t, 3)
     total = round(sum(times.values()), 3)
     print(json.dumps({"metric": "warehouse_build_plus_headline_queries", "value": total,
-                      "unit": "sec", "queries": times, "sf": sf}))
+                      "unit": "sec", "queries": times, "warm": warm, "sf": sf}))
     spark.stop()
 
 

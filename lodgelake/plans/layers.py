@@ -11,7 +11,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodgelake.plans import silver, star
+from lodgelake.plans import marts, silver, star
 from lodgelake.session import pin_session, size_shuffle_partitions
 from lodgelake.sources import testdata
 
@@ -80,13 +80,15 @@ class MaterialisedLayers:
     with column pruning and predicate pushdown afterwards.
     """
 
-    TABLES = ["airbnb_raw", "listings", "census_g01", "census_g02", "lga_code", "lga_suburb",
-              "host_history", "property_history", "fact"]
+    TABLES = ["airbnb_raw", "listings", "host_history", "property_history", "fact", "fact_month"]
 
-    def __init__(self, spark: SparkSession, base: str):
+    def __init__(self, spark: SparkSession, base: str, layers: Layers):
         self.spark, self.base = spark, base.rstrip("/")
         for name in self.TABLES:
             setattr(self, name, spark.read.parquet(f"{self.base}/{name}"))
+        # area/census reference tables are a few rows per area: read in place
+        for name in ("census_g01", "census_g02", "lga_code", "lga_suburb"):
+            setattr(self, name, getattr(layers, name))
 
     @classmethod
     def build(cls, layers: Layers, base: str) -> "MaterialisedLayers":
@@ -98,11 +100,8 @@ class MaterialisedLayers:
 
         raw = put("airbnb_raw", layers.bronze["airbnb_raw"])
         listings = put("listings", silver.silver_listings(raw))
-        put("census_g01", layers.census_g01)
-        put("census_g02", layers.census_g02)
-        put("lga_code", layers.lga_code)
-        put("lga_suburb", layers.lga_suburb)
-        put("host_history", star.host_history(silver.silver_dim_host(listings)))
-        put("property_history", star.property_history(silver.silver_dim_property(listings)))
-        put("fact", star.fact_listings(listings))
-        return cls(spark, base)
+        hh = put("host_history", star.host_history(silver.silver_dim_host(listings)))
+        ph = put("property_history", star.property_history(silver.silver_dim_property(listings)))
+        fact = put("fact", star.fact_listings(listings))
+        put("fact_month", marts.monthly_fact(fact, ph, hh))
+        return cls(spark, base, layers)

@@ -19,6 +19,7 @@ from lodgelake.functions import (
 )
 from lodgelake.operators import scd2
 from lodgelake.operators.dedupe import latest_per_key, top1_window
+from lodgelake.operators.median import exact_median
 
 UNKNOWN_AREA = "Unknown"  # fixed value: label of facts without a matching version
 
@@ -63,44 +64,76 @@ def _latest_enriched(fact: DataFrame, prop_hist: DataFrame, host_hist: DataFrame
     return _enrich(latest, prop_hist, host_hist, prop_attrs)
 
 
-def _monthly_metrics(active_superhost_only: bool) -> dict[str, Column]:
-    """Exact integer ingredients of every KPI (cents, hundredths, counts)."""
+def _aggregate(latest: DataFrame, keys: list[str], active_superhost_only: bool) -> DataFrame:
+    """Exact integer ingredients of every KPI per group (cents, hundredths, counts).
+
+    Two hash aggregations instead of one with distinct aggregates: first per
+    (group, host) - every additive figure plus the host's superhost flag - then
+    per group, where counting host rows gives the distinct hosts.  The median
+    comes from a value histogram (``exact_median``).  No step keeps per-group
+    object buffers, so every step combines map-side and spills gracefully.
+    """
     act = F.col("is_active") == 1
     price_c = cents(F.col("price"))
-    rev_c = F.when(act, F.col("stays_in_30_days")).otherwise(0) * price_c
+    rev_c = (F.when(act, F.col("stays_in_30_days")).otherwise(0) * price_c).cast("decimal(38,0)")
     super_cond = F.col("host_is_superhost") == "t"
     if active_superhost_only:
         super_cond = act & super_cond
-    return {
-        "total_listings_count": F.count(F.lit(1)),
-        "active_ct": F.sum(F.col("is_active")),
-        "inactive_ct": F.sum(1 - F.col("is_active")),
-        "min_active_price": F.min(F.when(act, F.col("price"))),
-        "max_active_price": F.max(F.when(act, F.col("price"))),
-        "median_active_cents": F.percentile(F.when(act, price_c), F.lit(0.5)),
-        "sum_active_cents": F.sum(F.when(act, price_c.cast("decimal(38,0)"))),
-        "n_active_priced": F.count(F.when(act, price_c)),
-        "distinct_hosts_count": F.count_distinct(F.col("host_id")),
-        "superhosts": F.count_distinct(F.when(super_cond, F.col("host_id"))),
-        "sum_active_rating": F.sum(F.when(act, (F.col("review_scores_rating") * 100)
-                                          .cast("decimal(38,0)"))),
-        "n_active_rated": F.count(F.when(act, F.col("review_scores_rating"))),
-        "total_active_stays": F.sum(F.when(act, F.col("stays_in_30_days")).otherwise(0)).cast("bigint"),
-        "sum_rev_cents": F.sum(rev_c.cast("decimal(38,0)")),
-    }
-
-
-def _aggregate(latest: DataFrame, keys: list[Column], active_superhost_only: bool) -> DataFrame:
-    m = _monthly_metrics(active_superhost_only)
-    return latest.groupBy(*keys).agg(*[v.alias(k) for k, v in m.items()])
+    per_host = latest.groupBy(*keys, "host_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("is_active").alias("active"),
+        F.min(F.when(act, F.col("price"))).alias("min_p"),
+        F.max(F.when(act, F.col("price"))).alias("max_p"),
+        F.sum(F.when(act, price_c.cast("decimal(38,0)"))).alias("sum_c"),
+        F.count(F.when(act, price_c)).alias("n_priced"),
+        F.sum(F.when(act, (F.col("review_scores_rating") * 100).cast("decimal(38,0)"))).alias("sum_r"),
+        F.count(F.when(act, F.col("review_scores_rating"))).alias("n_rated"),
+        F.sum(F.when(act, F.col("stays_in_30_days")).otherwise(0)).alias("stays"),
+        F.sum(rev_c).alias("rev"),
+        F.max(F.when(super_cond, 1).otherwise(0)).alias("is_super"))
+    has_host = F.col("host_id").isNotNull()
+    agg = per_host.groupBy(*keys).agg(
+        F.sum("n").alias("total_listings_count"),
+        F.sum("active").alias("active_ct"),
+        (F.sum("n") - F.sum("active")).alias("inactive_ct"),
+        F.min("min_p").alias("min_active_price"),
+        F.max("max_p").alias("max_active_price"),
+        F.sum("sum_c").alias("sum_active_cents"),
+        F.sum("n_priced").alias("n_active_priced"),
+        F.count("host_id").alias("distinct_hosts_count"),
+        F.sum(F.when(has_host, F.col("is_super")).otherwise(0)).alias("superhosts"),
+        F.sum("sum_r").alias("sum_active_rating"),
+        F.sum("n_rated").alias("n_active_rated"),
+        F.sum("stays").cast("bigint").alias("total_active_stays"),
+        F.sum("rev").alias("sum_rev_cents"))
+    med = exact_median(latest.where(act), keys, price_c, "median_active_cents")
+    med = med.select(*[F.col(k).alias(f"_m_{k}") for k in keys], "median_active_cents")
+    same = [agg[k].eqNullSafe(med[f"_m_{k}"]) for k in keys]  # a NULL key is a group too
+    return agg.join(med, same, "left").drop(*[f"_m_{k}" for k in keys])
+
+
+MONTHLY_ATTRS = ["listing_neighbourhood", "property_type", "room_type", "accommodates"]
+
+
+def monthly_fact(fact: DataFrame, prop_hist: DataFrame, host_hist: DataFrame) -> DataFrame:
+    """One row per (listing, month): the latest scrape with the listing and host
+    attributes valid at its date - the shared input of the two KPI marts, worth
+    materialising once as a monthly-grain fact table."""
+    return _latest_enriched(fact, prop_hist, host_hist, MONTHLY_ATTRS)
 
 
 def mart_listing_neighbourhood(fact: DataFrame, prop_hist: DataFrame,
                                host_hist: DataFrame) -> DataFrame:
     """KPIs per listing neighbourhood and month, rounded to 2 decimals."""
-    latest = _latest_enriched(fact, prop_hist, host_hist, ["listing_neighbourhood"])
-    area = F.coalesce(F.col("listing_neighbourhood"), F.lit(UNKNOWN_AREA)).alias("listing_neighbourhood")
-    a = _aggregate(latest, [area, F.col("month_start")], active_superhost_only=False)
+    return listing_neighbourhood_kpis(
+        _latest_enriched(fact, prop_hist, host_hist, ["listing_neighbourhood"]))
+
+
+def listing_neighbourhood_kpis(latest: DataFrame) -> DataFrame:
+    """The neighbourhood mart from the monthly fact."""
+    area = F.coalesce(F.col("listing_neighbourhood"), F.lit(UNKNOWN_AREA))
+    a = _aggregate(latest.withColumn("listing_neighbourhood", area),
+                   ["listing_neighbourhood", "month_start"], active_superhost_only=False)
     w = Window.partitionBy("listing_neighbourhood").orderBy("month_start")
     a = (a.withColumn("prev_active_ct", F.lag("active_ct").over(w))
           .withColumn("prev_inactive_ct", F.lag("inactive_ct").over(w)))
@@ -128,9 +161,13 @@ def mart_property_type(fact: DataFrame, prop_hist: DataFrame, host_hist: DataFra
     """KPIs per (property type, room type, accommodates) and month, unrounded;
     the superhost rate counts only hosts with an active listing."""
     keys = ["property_type", "room_type", "accommodates"]
-    latest = _latest_enriched(fact, prop_hist, host_hist, keys)
-    a = _aggregate(latest, [F.col(k) for k in keys] + [F.col("month_start")],
-                   active_superhost_only=True)
+    return property_type_kpis(_latest_enriched(fact, prop_hist, host_hist, keys))
+
+
+def property_type_kpis(latest: DataFrame) -> DataFrame:
+    """The property-type mart from the monthly fact."""
+    keys = ["property_type", "room_type", "accommodates"]
+    a = _aggregate(latest, keys + ["month_start"], active_superhost_only=True)
     w = Window.partitionBy(*keys).orderBy("month_start")
     a = (a.withColumn("prev_active_ct", F.lag("active_ct").over(w))
           .withColumn("prev_inactive_ct", F.lag("inactive_ct").over(w)))

@@ -94,3 +94,28 @@ def test_first_per_key_null_keys_never_conflict(spark):
     assert got == [(-1, "n1"), (-1, "n2"), (1, "y")]
     got = sorted((r.k, r.v) for r in latest_per_key(df.where("k is not null"), ["k"], ["o"]).collect())
     assert got == [(1, "x")]
+
+
+def test_monthly_fact_feeds_both_marts(spark):
+    from lodgelake.plans import marts
+    from lodgelake.plans.layers import Layers
+    L = Layers(spark, "/root/testdata/sf0.001")
+    month = marts.monthly_fact(L.fact, L.property_history, L.host_history)
+    a = marts.listing_neighbourhood_kpis(month)
+    b = marts.mart_listing_neighbourhood(L.fact, L.property_history, L.host_history)
+    assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
+    c = marts.property_type_kpis(month)
+    d = marts.mart_property_type(L.fact, L.property_history, L.host_history)
+    assert sorted(map(tuple, c.collect()), key=str) == sorted(map(tuple, d.collect()), key=str)
+
+
+def test_exact_median_matches_percentile(spark):
+    import random
+    from lodgelake.operators.median import exact_median
+    rnd = random.Random(3)
+    rows = [(rnd.choice(["a", "b", None]), rnd.randint(1, 40)) for _ in range(500)]
+    rows += [("one", 7), ("two", 1), ("two", 4)]
+    df = spark.createDataFrame(rows, "g string, v long")
+    got = {r.g: r.median for r in exact_median(df, ["g"], F.col("v")).collect()}
+    want = {r.g: r.m for r in df.groupBy("g").agg(F.percentile("v", 0.5).alias("m")).collect()}
+    assert got == want
