@@ -230,7 +230,7 @@ def q_insert_ignore(spark, sf):
         typed = ingest.type_listings(ingest.read_csv_text(spark, paths))
         good, _ = ingest.quality_split(typed)
         ingest.append_insert_ignore(spark, bronze, good, scratch_path(spark, "staged"))
-    return spark.read.parquet(bronze)
+    return ingest.read_bronze(spark, bronze)
 
 
 @register("next_month_load", with_base(
