@@ -80,7 +80,7 @@ def validity_predicate(d_ts: Column) -> Column:
 
 def asof_join(facts: DataFrame, history: DataFrame, key: str, date_col: str,
               attrs: Sequence[str], how: str = "left", keep_validity: bool = False,
-              bounded_per_key: bool = False) -> DataFrame:
+              bounded_per_key: bool = False, probes: DataFrame | None = None) -> DataFrame:
     """Attach the version valid at each fact's date: key equal and
     valid_from <= date < valid_to (or valid_to NULL).
 
@@ -96,8 +96,11 @@ def asof_join(facts: DataFrame, history: DataFrame, key: str, date_col: str,
     Otherwise (a host may own a third of all rows) only the distinct
     (key, date) pairs enter the window - bounded by the number of dates - and
     the matches come back to the facts by an equi-join that AQE can split when
-    one key is skewed.  Versions of a key must be disjoint, as history builds
-    them.  Facts with a NULL key or date match nothing.
+    one key is skewed.  ``probes`` may supply a cheaper frame whose (key, date)
+    pairs cover those of the facts (e.g. the scan the facts were reduced from),
+    so the reduction is not computed a second time for the probe branch.
+    Versions of a key must be disjoint, as history builds them.  Facts with a
+    NULL key or date match nothing.
     """
     t = "_asof_t"
     vf, vt = "_asof_from", "_asof_to"
@@ -110,7 +113,8 @@ def asof_join(facts: DataFrame, history: DataFrame, key: str, date_col: str,
         # a fact without key or date is its own window group (matches nothing)
         side = facts.withColumn("_asof_solo", F.when(~has_key, F.monotonically_increasing_id()))
     else:
-        side = facts.select(key, date_col).where(has_key).distinct().withColumn(
+        side = (probes if probes is not None else facts).select(key, date_col).where(
+            has_key).distinct().withColumn(
             "_asof_solo", F.lit(None).cast("long"))
     side = side.withColumn(t, F.col(date_col).cast("timestamp_ntz")).withColumn("_asof_kind", F.lit(1))
     w = (Window.partitionBy(key, "_asof_solo").orderBy(t, "_asof_kind")

@@ -32,7 +32,7 @@ def _base_fact(fact: DataFrame) -> DataFrame:
 
 
 def _enrich(facts: DataFrame, prop_hist: DataFrame, host_hist: DataFrame,
-            prop_attrs: list[str]) -> DataFrame:
+            prop_attrs: list[str], probes: DataFrame | None = None) -> DataFrame:
     """Point-in-time listing and host attributes, plus the activity flags.
 
     The listing lookup sends the facts themselves through the window (a
@@ -41,7 +41,8 @@ def _enrich(facts: DataFrame, prop_hist: DataFrame, host_hist: DataFrame,
     """
     e = scd2.asof_join(facts, prop_hist, "listing_id", "scraped_date", prop_attrs,
                        bounded_per_key=True)
-    e = scd2.asof_join(e, host_hist, "host_id", "scraped_date", ["host_is_superhost"])
+    e = scd2.asof_join(e, host_hist, "host_id", "scraped_date", ["host_is_superhost"],
+                       probes=probes)
     return (e.withColumn("is_active", F.when(F.col("has_availability") == "t", 1).otherwise(0))
             .withColumn("stays_in_30_days", stays_30(F.col("availability_30"))))
 
@@ -60,8 +61,9 @@ def _latest_enriched(fact: DataFrame, prop_hist: DataFrame, host_hist: DataFrame
     row, so picking first and looking up second gives the same rows while the
     lookups see one row per listing and month instead of one per scrape.
     """
-    latest = latest_per_key(_base_fact(fact), ["listing_id", "month_start"], ["scraped_date"])
-    return _enrich(latest, prop_hist, host_hist, prop_attrs)
+    base = _base_fact(fact)
+    latest = latest_per_key(base, ["listing_id", "month_start"], ["scraped_date"])
+    return _enrich(latest, prop_hist, host_hist, prop_attrs, probes=base)
 
 
 def _aggregate(latest: DataFrame, keys: list[str], active_superhost_only: bool) -> DataFrame:
