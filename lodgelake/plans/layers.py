@@ -11,7 +11,10 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
 from lodgelake.plans import marts, silver, star
+from lodgelake.plans.analysis import PARTITION_COL
 from lodgelake.session import pin_session, size_shuffle_partitions
 from lodgelake.sources import testdata
 
@@ -94,12 +97,21 @@ class MaterialisedLayers:
     def build(cls, layers: Layers, base: str) -> "MaterialisedLayers":
         spark, base = layers.spark, base.rstrip("/")
 
-        def put(name: str, df: DataFrame) -> DataFrame:
-            df.write.mode("overwrite").parquet(f"{base}/{name}")
-            return spark.read.parquet(f"{base}/{name}")
-
+        def put(name: str, df: DataFrame, by_month: bool = False) -> DataFrame:
+            path = f"{base}/{name}"
+            if by_month:
+                # partitioned by scrape month; rebalance lets AQE size the files
+                (df.withColumn(PARTITION_COL, F.trunc(F.col("scraped_date"), "month"))
+                 .hint("rebalance", PARTITION_COL)
+                 .write.mode("overwrite").partitionBy(PARTITION_COL).parquet(path))
+            else:
+                df.write.mode("overwrite").parquet(path)
+            return spark.read.parquet(path)
+
+        # only the listings are read selectively (trailing-window analyses), so
+        # only they are partitioned by month; bronze and fact are read whole
         raw = put("airbnb_raw", layers.bronze["airbnb_raw"])
-        listings = put("listings", silver.silver_listings(raw))
+        listings = put("listings", silver.silver_listings(raw), by_month=True)
         hh = put("host_history", star.host_history(silver.silver_dim_host(listings)))
         ph = put("property_history", star.property_history(silver.silver_dim_property(listings)))
         fact = put("fact", star.fact_listings(listings))

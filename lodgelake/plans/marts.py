@@ -10,7 +10,7 @@ distinct rewrite, so a hot group is spread over (group, host) keys) -> a
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodgelake.functions import (
