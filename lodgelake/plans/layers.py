@@ -20,11 +20,20 @@ from lodgelake.sources import testdata
 
 
 class Layers:
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    """Lazy layers over the driver tables (``sf_dir``) or over given bronze
+    tables (``bronze``: the five raw tables, e.g. loaded from CSV drops)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str | None = None,
+                 bronze: dict[str, DataFrame] | None = None):
         pin_session(spark)
         self.spark, self.sf_dir = spark, sf_dir
-        size_shuffle_partitions(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet"
-                                        for t in ("lineitem", "orders", "customer", "part")])
+        if bronze is not None:
+            self.__dict__["bronze"] = bronze
+        elif sf_dir is not None:
+            size_shuffle_partitions(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet"
+                                            for t in ("lineitem", "orders", "customer", "part")])
+        else:
+            raise ValueError("give sf_dir or bronze tables")
 
     # bronze
     @cached_property
