@@ -28,7 +28,7 @@ def force(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=int(cpus) * 2)
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", int(cpus) * 2)))
     sf = sf_dir.rstrip("/").rsplit("sf", 1)[-1]
 
     t0 = time.time()
