@@ -51,7 +51,7 @@ def digits(s: str) -> str:
 
 
 _score_nulls = ",\n    ".join(f"CAST(NULL AS DECIMAL(5,2)) AS {c}" for c in SCORES[1:])
-_score_zero = ",\n    ".join(f"coalesce({c}, 0) AS {c}" for c in SCORES)
+_score_zero = ",\n    ".join(f"CAST(coalesce({c}, 0) AS DECIMAL(5,2)) AS {c}" for c in SCORES)
 
 MAPPED = f"""
 mapped AS (
@@ -120,8 +120,9 @@ _g01_select = ", ".join(
     c if c in _g01_known else f"CAST(NULL AS INTEGER) AS {c}" for c in schemas.G01_COLUMNS)
 _g01_clean = ", ".join(["lga_code_2016"] + schemas.G01_TOTALS + [
     f"coalesce({c}, 0) AS {c}" for c in schemas.G01_COUNTS])
+_g02_types = {f.name: f.dataType.simpleString().upper() for f in schemas.CENSUS_G02.fields}
 _g02_clean = ", ".join(["lga_code_2016"] + [
-    f"coalesce({c}, 0) AS {c}" for c in schemas.G02_MEASURES])
+    f"CAST(coalesce({c}, 0) AS {_g02_types[c]}) AS {c}" for c in schemas.G02_MEASURES])
 
 CENSUS = f"""
 regions AS (

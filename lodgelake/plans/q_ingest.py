@@ -106,7 +106,7 @@ loaded_rows AS (
     coalesce(host_neighbourhood, 'Not specified') AS host_neighbourhood,
     listing_neighbourhood, property_type, room_type, accommodates, price, has_availability,
     availability_30, number_of_reviews, """ + ", ".join(
-    f"coalesce({c}, 0) AS {c}" for c in schemas.REVIEW_SCORE_COLUMNS) + """, load_rank
+    f"CAST(coalesce({c}, 0) AS DECIMAL(5,2)) AS {c}" for c in schemas.REVIEW_SCORE_COLUMNS) + """, load_rank
   FROM ranked_load
 ),
 loaded_raw AS (SELECT * EXCLUDE (load_rank) FROM loaded_rows WHERE load_rank = 1)"""
@@ -188,7 +188,8 @@ def q_month_from_filename(spark, sf):
 
 
 @register("load_quality", with_base("""
-SELECT count(*) AS rows_read, count_if(junk = 1) AS rows_dropped, count_if(junk = 0) AS rows_kept
+SELECT count(*) AS rows_read, CAST(count_if(junk = 1) AS BIGINT) AS rows_dropped,
+  CAST(count_if(junk = 0) AS BIGINT) AS rows_kept
 FROM text_rows""", _TEXT_ROWS.strip()))
 def q_load_quality(spark, sf):
     typed = ingest.type_listings(ingest.read_csv_text(spark, _listing_paths(spark, sf)))
@@ -197,7 +198,7 @@ def q_load_quality(spark, sf):
 
 @register("file_ledger", with_base("""
 SELECT CAST(year(true_date) AS INTEGER) AS yyyy, CAST(month(true_date) AS INTEGER) AS mm,
-  count(*) AS rows_read, count_if(junk = 0) AS rows_valid
+  count(*) AS rows_read, CAST(count_if(junk = 0) AS BIGINT) AS rows_valid
 FROM text_rows GROUP BY 1, 2""", _TEXT_ROWS.strip()))
 def q_file_ledger(spark, sf):
     text = ingest.read_csv_text(spark, _listing_paths(spark, sf))

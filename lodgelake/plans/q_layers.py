@@ -382,12 +382,13 @@ q1_rows AS (
 q1_lga AS (
   SELECT r.listing_id, m.lga_code_key, m.lga_name,
     {stays_clamped("r.availability_30")} AS stays_30,
-    coalesce({cents("r.price")}, 0) * {stays_clamped("r.availability_30")} AS rev_c
+    CAST(coalesce({cents("r.price")}, 0) * {stays_clamped("r.availability_30")} AS DECIMAL(38,0)) AS rev_c
   FROM q1_rows r JOIN suburb_to_lga m ON lower(trim(r.listing_neighbourhood)) = m.suburb_key
   WHERE m.lga_code_key IS NOT NULL
 ),
 q1_listing AS (
-  SELECT listing_id, lga_code_key, lga_name, sum(stays_30) AS stays_12m, sum(rev_c) AS rev_12m_c
+  SELECT listing_id, lga_code_key, lga_name, CAST(sum(stays_30) AS BIGINT) AS stays_12m,
+    CAST(sum(rev_c) AS DECIMAL(38,0)) AS rev_12m_c
   FROM q1_lga GROUP BY 1, 2, 3 HAVING sum(stays_30) > 0
 ),
 q1_perf AS (
@@ -484,8 +485,8 @@ WHERE rnk = 1
 ORDER BY total_stays DESC""", f"""
 q3_listing AS (
   SELECT listing_id, lower(trim(listing_neighbourhood)) AS suburb_key, property_type, room_type,
-    accommodates, sum({stays_clamped("availability_30")}) AS total_stays,
-    sum({cents("price")} * {stays_clamped("availability_30")}) AS rev_c
+    accommodates, CAST(sum({stays_clamped("availability_30")}) AS BIGINT) AS total_stays,
+    CAST(sum({cents("price")} * {stays_clamped("availability_30")}) AS DECIMAL(38,0)) AS rev_c
   FROM airbnb_cleaned GROUP BY 1, 2, 3, 4, 5
   HAVING sum({stays_clamped("availability_30")}) > 0
 ),
@@ -497,7 +498,7 @@ q3_top5 AS (
 ),
 q3_types AS (
   SELECT l.suburb_key, l.property_type, l.room_type, l.accommodates,
-    sum(l.total_stays) AS total_stays
+    CAST(sum(l.total_stays) AS BIGINT) AS total_stays
   FROM q3_listing l JOIN q3_top5 t ON t.suburb_key = l.suburb_key
   GROUP BY 1, 2, 3, 4
 )""")
@@ -562,13 +563,14 @@ q5_rows AS (
 q5_lga AS (
   SELECT r.listing_id, r.host_id, r.month_start, m.lga_name, m.lga_code_key,
     {stays_clamped("r.availability_30")} AS stays_30,
-    coalesce({cents("r.price")}, 0) * {stays_clamped("r.availability_30")} AS rev_c
+    CAST(coalesce({cents("r.price")}, 0) * {stays_clamped("r.availability_30")} AS DECIMAL(38,0)) AS rev_c
   FROM q5_rows r
   JOIN (SELECT DISTINCT suburb_key, lga_name, lga_code_key FROM suburb_to_lga) m
     ON lower(trim(r.listing_neighbourhood)) = m.suburb_key
 ),
 q5_revenue AS (
-  SELECT listing_id, host_id, sum(stays_30) AS stays_12m, sum(rev_c) AS rev_12m_c
+  SELECT listing_id, host_id, CAST(sum(stays_30) AS BIGINT) AS stays_12m,
+    CAST(sum(rev_c) AS DECIMAL(38,0)) AS rev_12m_c
   FROM q5_lga GROUP BY 1, 2 HAVING sum(stays_30) > 0
 ),
 q5_listing_lga AS (

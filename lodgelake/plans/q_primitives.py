@@ -180,12 +180,13 @@ q1_rows AS (
 q1_lga AS (
   SELECT r.listing_id, r.month_start, m.lga_code_key, m.lga_name,
     {stays_clamped("r.availability_30")} AS stays_30,
-    coalesce({sql_cents("r.price")}, 0) * {stays_clamped("r.availability_30")} AS rev_c
+    CAST(coalesce({sql_cents("r.price")}, 0) * {stays_clamped("r.availability_30")} AS DECIMAL(38,0)) AS rev_c
   FROM q1_rows r JOIN suburb_to_lga m ON lower(trim(r.listing_neighbourhood)) = m.suburb_key
   WHERE m.lga_code_key IS NOT NULL
 ),
 q1_listing AS (
-  SELECT listing_id, lga_code_key, lga_name, sum(stays_30) AS stays_12m, sum(rev_c) AS rev_12m_c
+  SELECT listing_id, lga_code_key, lga_name, CAST(sum(stays_30) AS BIGINT) AS stays_12m,
+    CAST(sum(rev_c) AS DECIMAL(38,0)) AS rev_12m_c
   FROM q1_lga GROUP BY 1, 2, 3 HAVING sum(stays_30) > 0
 ),
 q1_perf AS (
@@ -366,13 +367,14 @@ q5_rows AS (
 q5_lga AS (
   SELECT r.listing_id, r.host_id, r.month_start, m.lga_name, m.lga_code_key,
     {stays_clamped("r.availability_30")} AS stays_30,
-    coalesce({sql_cents("r.price")}, 0) * {stays_clamped("r.availability_30")} AS rev_c
+    CAST(coalesce({sql_cents("r.price")}, 0) * {stays_clamped("r.availability_30")} AS DECIMAL(38,0)) AS rev_c
   FROM q5_rows r
   JOIN (SELECT DISTINCT suburb_key, lga_name, lga_code_key FROM suburb_to_lga) m
     ON lower(trim(r.listing_neighbourhood)) = m.suburb_key
 ),
 q5_revenue AS (
-  SELECT listing_id, host_id, sum(stays_30) AS stays_12m, sum(rev_c) AS rev_12m_c
+  SELECT listing_id, host_id, CAST(sum(stays_30) AS BIGINT) AS stays_12m,
+    CAST(sum(rev_c) AS DECIMAL(38,0)) AS rev_12m_c
   FROM q5_lga GROUP BY 1, 2 HAVING sum(stays_30) > 0
 ),
 q5_listing_lga AS (
@@ -422,8 +424,8 @@ def q_covers_flag(spark, sf):
 _Q3_CTES = f"""
 q3_listing AS (
   SELECT listing_id, lower(trim(listing_neighbourhood)) AS suburb_key, property_type, room_type,
-    accommodates, sum({stays_clamped("availability_30")}) AS total_stays,
-    sum({sql_cents("price")} * {stays_clamped("availability_30")}) AS rev_c
+    accommodates, CAST(sum({stays_clamped("availability_30")}) AS BIGINT) AS total_stays,
+    CAST(sum({sql_cents("price")} * {stays_clamped("availability_30")}) AS DECIMAL(38,0)) AS rev_c
   FROM airbnb_cleaned GROUP BY 1, 2, 3, 4, 5
   HAVING sum({stays_clamped("availability_30")}) > 0
 ),
@@ -447,7 +449,8 @@ def q_semi_restrict(spark, sf):
 SELECT suburb_key, property_type, room_type, accommodates, total_stays FROM (
   SELECT *, row_number() OVER (PARTITION BY suburb_key ORDER BY total_stays DESC,
     property_type ASC NULLS LAST, room_type ASC NULLS LAST, accommodates ASC NULLS LAST) AS rnk
-  FROM (SELECT suburb_key, property_type, room_type, accommodates, sum(total_stays) AS total_stays
+  FROM (SELECT suburb_key, property_type, room_type, accommodates,
+          CAST(sum(total_stays) AS BIGINT) AS total_stays
         FROM q3_listing GROUP BY 1, 2, 3, 4) t) z
 WHERE rnk = 1""", _Q3_CTES.strip()))
 def q_best_combo_per_group(spark, sf):
@@ -718,7 +721,8 @@ def q_distinct_on_latest(spark, sf):
 
 _MONTHLY_COUNTS = f"""
 monthly_counts AS (
-  SELECT listing_neighbourhood, month_start, sum(a) AS active_ct, sum(1 - a) AS inactive_ct
+  SELECT listing_neighbourhood, month_start, CAST(sum(a) AS BIGINT) AS active_ct,
+    CAST(sum(1 - a) AS BIGINT) AS inactive_ct
   FROM (SELECT listing_neighbourhood, {MONTH} AS month_start,
           CASE WHEN has_availability = 't' THEN 1 ELSE 0 END AS a FROM airbnb_cleaned) t
   GROUP BY 1, 2
@@ -747,7 +751,7 @@ SELECT property_type, room_type, accommodates, month_start, inactive_ct,
   lag(inactive_ct) OVER (PARTITION BY property_type, room_type, accommodates
                          ORDER BY month_start) AS prev_inactive_ct
 FROM (SELECT property_type, room_type, accommodates, {MONTH} AS month_start,
-        sum(CASE WHEN has_availability = 't' THEN 0 ELSE 1 END) AS inactive_ct
+        CAST(sum(CASE WHEN has_availability = 't' THEN 0 ELSE 1 END) AS BIGINT) AS inactive_ct
       FROM airbnb_cleaned GROUP BY 1, 2, 3, 4) t"""))
 def q_lag_prev_month_multi(spark, sf):
     keys = ["property_type", "room_type", "accommodates"]

@@ -15,6 +15,7 @@ from decimal import Decimal
 sys.path.insert(0, ".")
 
 import duckdb  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
 
 from lodgelake.plans.catalog import ORACLE, QUERIES, load_all  # noqa: E402
 from lodgelake.session import build_session  # noqa: E402
@@ -37,6 +38,16 @@ def norm(v):
     return v
 
 
+def sql_type(t) -> str:
+    """DuckDB's name for a Spark type (for the schema comparison)."""
+    names = {T.LongType: "BIGINT", T.IntegerType: "INTEGER", T.DoubleType: "DOUBLE",
+             T.StringType: "VARCHAR", T.DateType: "DATE", T.TimestampNTZType: "TIMESTAMP",
+             T.BooleanType: "BOOLEAN"}
+    if isinstance(t, T.DecimalType):
+        return f"DECIMAL({t.precision},{t.scale})"
+    return names.get(type(t), str(t))
+
+
 def rows_of(records):
     return sorted((tuple(norm(x) for x in r) for r in records),
                   key=lambda t: tuple((x is None, str(type(x)), x if x is not None else 0) for x in t))
@@ -71,6 +82,8 @@ def main():
             rel = con.execute(ORACLE[k])
             ocols = [d[0] for d in rel.description]
             orows = rel.fetchall()
+            otypes = dict(zip(con.sql(f"SELECT * FROM ({ORACLE[k]}) LIMIT 0").columns,
+                              map(str, con.sql(f"SELECT * FROM ({ORACLE[k]}) LIMIT 0").types)))
         except Exception as e:
             print(f"{k:34s} SQL-ERROR {type(e).__name__}: {str(e)[:300]}")
             bad += 1
@@ -83,8 +96,9 @@ def main():
         sorder = [cols.index(c) for c in sorted(cols)]
         a = rows_of([tuple(r[i] for i in sorder) for r in srows])
         b = rows_of([tuple(r[i] for i in order) for r in orows])
-        ok = a == b
-        msg = "OK" if ok else "MISMATCH"
+        types_ok = all(sql_type(f.dataType) == otypes.get(f.name) for f in df.schema.fields)
+        ok = a == b and types_ok
+        msg = "OK" if ok else ("MISMATCH" if a != b else "TYPES")
         print(f"{k:34s} {msg} rows spark={len(a)} sql={len(b)} {ts:.1f}s")
         if not ok:
             bad += 1
