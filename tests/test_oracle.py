@@ -6,6 +6,7 @@ from decimal import Decimal
 
 import duckdb
 import pytest
+from pyspark.sql import types as T
 
 from lodgelake.plans.catalog import ORACLE, QUERIES, load_all
 
@@ -23,6 +24,15 @@ def con():
     return c
 
 
+def _sql_type(t):
+    names = {T.LongType: "BIGINT", T.IntegerType: "INTEGER", T.DoubleType: "DOUBLE",
+             T.StringType: "VARCHAR", T.DateType: "DATE", T.TimestampNTZType: "TIMESTAMP",
+             T.BooleanType: "BOOLEAN"}
+    if isinstance(t, T.DecimalType):
+        return f"DECIMAL({t.precision},{t.scale})"
+    return names.get(type(t), str(t))
+
+
 def _norm(v):
     if isinstance(v, float) and math.isnan(v):
         return None
@@ -50,3 +60,6 @@ def test_query_matches_oracle(spark, con, key):
     want = _rows(cols, rel.fetchall())
     assert len(got) == len(want)
     assert got == want
+    empty = con.sql(f"SELECT * FROM ({ORACLE[key]}) LIMIT 0")
+    types = dict(zip(empty.columns, map(str, empty.types)))
+    assert {f.name: _sql_type(f.dataType) for f in df.schema.fields} == types
