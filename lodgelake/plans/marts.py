@@ -196,23 +196,29 @@ def mart_host_neighbourhood(fact: DataFrame, host_hist: DataFrame,
                             lga_suburb: DataFrame) -> DataFrame:
     """Hosts and revenue per host LGA and month.
 
-    The host's area (as of the scrape) is mapped to its LGA by lower-case name,
-    falling back to the raw area.  Per (listing, month) the most-booked row is
-    kept (ties: the later scrape).
+    Per (listing, month) the most-booked scrape is kept (ties: the later one);
+    the host's area as of that scrape is mapped to its LGA by lower-case name,
+    falling back to the raw area.  The pick depends on nights and date only, so
+    it runs first (one map-side-combined aggregation) and the lookup sees one
+    row per listing and month; copies made by a suburb lying in several LGAs
+    are then reduced to the smallest LGA name, which is where the same ordering
+    ends when the pick runs after the lookup.
     """
-    base = _base_fact(fact)
-    e = scd2.asof_join(base, host_hist, "host_id", "scraped_date", ["host_neighbourhood"])
-    sub = lga_suburb.select(F.lower(F.col("suburb_name")).alias("_sub_lc"),
-                            F.col("lga_name").alias("_lga"))
-    e = e.join(sub, F.lower(F.col("host_neighbourhood")) == F.col("_sub_lc"), "left")
-    e = e.select(
+    base = _base_fact(fact).select(
         "month_start", "host_id", "listing_id", "scraped_date", "price",
-        F.coalesce(F.col("_lga"), F.col("host_neighbourhood")).alias("host_neighbourhood_lga"),
         F.when(F.col("has_availability") == "t", 1).otherwise(0).alias("is_active"),
         stays_30(F.col("availability_30")).alias("stays_in_30_days"))
+    busiest = latest_per_key(base, ["listing_id", "month_start"],
+                             ["stays_in_30_days", "scraped_date"])
+    e = scd2.asof_join(busiest, host_hist, "host_id", "scraped_date", ["host_neighbourhood"],
+                       probes=base)
+    sub = lga_suburb.select(F.lower(F.col("suburb_name")).alias("_sub_lc"),
+                            F.col("lga_name").alias("_lga"))
+    e = (e.join(sub, F.lower(F.col("host_neighbourhood")) == F.col("_sub_lc"), "left")
+         .withColumn("host_neighbourhood_lga", F.coalesce(F.col("_lga"), F.col("host_neighbourhood"))))
+    # fan-out copies of one scrape: bounded by the number of LGAs of a suburb
     top = top1_window(e, ["listing_id", "month_start"],
-                      [F.col("stays_in_30_days").desc(), F.col("scraped_date").desc(),
-                       F.col("host_neighbourhood_lga").asc_nulls_last()])
+                      [F.col("host_neighbourhood_lga").asc_nulls_last()])
     act = F.col("is_active") == 1
     rev = (F.when(act, F.col("stays_in_30_days")).otherwise(0) * cents(F.col("price"))).cast("decimal(38,0)")
     a = top.groupBy("host_neighbourhood_lga", "month_start").agg(

@@ -132,3 +132,28 @@ def test_properties_on_driver_tables(spark):
     for r in analysis.mortgage_coverage(L.listings, L.lga_suburb, L.lga_code, L.census_g02).collect():
         assert 0 <= r.hosts_covering_mortgage <= r.total_single_listing_hosts
         assert 0.0 <= r.coverage_percentage <= 100.0
+
+
+def test_host_mart_busiest_scrape_and_fan_out(spark):
+    from lodgelake.plans import star
+    d1, d2, d3 = D(2020, 3, 2), D(2020, 3, 20), D(2020, 3, 25)
+    fact = spark.createDataFrame([
+        (1, 10, d1, Decimal("100.00"), 5, "t"),    # 25 nights: the busiest scrape of listing 1
+        (1, 10, d2, Decimal("999.00"), 20, "t"),   # later but less booked
+        (2, 20, d2, Decimal("10.00"), 10, "t"),    # listing 2: tie on nights ...
+        (2, 20, d3, Decimal("20.00"), 10, "t"),    # ... the later scrape wins
+    ], "listing_id long, host_id long, scraped_date date, price decimal(18,2), "
+       "availability_30 int, has_availability string")
+    fact = fact.withColumn("review_scores_rating", F.lit(0).cast("decimal(5,2)"))
+    hosts = spark.createDataFrame([(10, "O'Connor", d1), (20, "Elsewhere", d1)],
+                                  "host_id long, host_neighbourhood string, scraped_date date")
+    for c in ("host_name", "host_since", "host_is_superhost"):
+        hosts = hosts.withColumn(c, F.lit(None).cast("date" if c == "host_since" else "string"))
+    hist = star.host_history(hosts)
+    suburbs = spark.createDataFrame([("o'connor", "South"), ("O'CONNOR", "North")],
+                                    "suburb_name string, lga_name string")
+    got = sorted((r.host_neighbourhood_lga, r.distinct_hosts_count, r.estimated_revenue_per_host)
+                 for r in marts.mart_host_neighbourhood(fact, hist, suburbs).collect())
+    # host 10: suburb in two LGAs -> the smallest name; revenue 25 x 100
+    # host 20: no LGA -> its raw area; revenue 20 x 20 from the later tied scrape
+    assert got == [("Elsewhere", 1, 400.0), ("North", 1, 2500.0)]
