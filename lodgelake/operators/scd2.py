@@ -73,11 +73,6 @@ def apply_batch(history: DataFrame, batch: DataFrame, key: str, attrs: Sequence[
             .unionByName(new_v.select(*cols)))
 
 
-def validity_predicate(d_ts: Column) -> Column:
-    """valid_from <= d < valid_to, or valid_to NULL (half-open range)."""
-    return (d_ts >= F.col(FROM)) & (F.col(TO).isNull() | (d_ts < F.col(TO)))
-
-
 def asof_join(facts: DataFrame, history: DataFrame, key: str, date_col: str,
               attrs: Sequence[str], how: str = "left", keep_validity: bool = False,
               bounded_per_key: bool = False, probes: DataFrame | None = None) -> DataFrame:
@@ -92,7 +87,7 @@ def asof_join(facts: DataFrame, history: DataFrame, key: str, date_col: str,
 
     The window group of a key must stay bounded.  With ``bounded_per_key``
     (at most one fact per key and date, e.g. listing snapshots) the facts enter
-    the window themselves and the result keeps the key's hash partitioning.
+    the window themselves and need no join back.
     Otherwise (a host may own a third of all rows) only the distinct
     (key, date) pairs enter the window - bounded by the number of dates - and
     the matches come back to the facts by an equi-join that AQE can split when
@@ -124,6 +119,7 @@ def asof_join(facts: DataFrame, history: DataFrame, key: str, date_col: str,
                                 allowMissingColumns=True)
                .withColumn("_asof_cur", F.last("_asof_v", ignorenulls=True).over(w))
                .where(F.col("_asof_kind") == 1))
+    # the carried version started at or before the fact; half-open end
     hit = cur.isNotNull() & (cur[vt].isNull() | (F.col(t) < cur[vt]))
     outs = [F.when(hit, cur[c]).alias(c) for c in attrs]
     if keep_validity:
