@@ -101,3 +101,38 @@ def test_null_sentinels(spark):
     df = one_col(spark, ["", " NaT", "NULL ", "t", None])
     got = [r[0] for r in df.select(null_sentinels(F.col("v"))).collect()]
     assert got == [None, None, None, "t", None]
+
+
+def test_date_parsers_against_python_calendar(spark):
+    """Random dates written day-first, month-first and ISO (plus impossible
+    ones) parse as the calendar says; the month-locked parser resolves the
+    order with the month of the file."""
+    rnd = random.Random(11)
+    cases = []
+    for _ in range(1500):
+        y, m, d = rnd.randint(1990, 2030), rnd.randint(1, 12), rnd.randint(1, 31)
+        try:
+            real = D(y, m, d)
+        except ValueError:
+            real = None
+        cases.append((f"{d}/{m}/{y}", m, real, "dayfirst"))
+        cases.append((f"{m:02d}/{d:02d}/{y}", m, real, "monthfirst"))
+        cases.append((f"{y}-{m:02d}-{d:02d}", m, real, "iso"))
+    df = spark.createDataFrame(cases, "s string, mm int, real date, kind string")
+    got = df.select("s", "mm", "real", "kind", parse_date_cascade(F.col("s")).alias("c"),
+                    parse_date_month_locked(F.col("s"), F.col("mm")).alias("l")).collect()
+    for r in got:
+        if r.kind in ("dayfirst", "iso"):
+            assert r.c == r.real, r
+        else:  # month-first text: read day-first when that is a valid date, else month-first
+            y = int(r.s[-4:])
+            first, second = int(r.s[:2]), int(r.s[3:5])
+            try:
+                swapped = D(y, second, first)
+            except ValueError:
+                swapped = None
+            assert r.c == (swapped if swapped is not None else r.real), r
+        if r.real is None:
+            assert r.l is None, r
+        else:
+            assert r.l == r.real, r  # the file month picks the right reading
