@@ -44,6 +44,8 @@ SHARD_POINTS, LEAF_SAMPLE, MAX_SAMPLE = 2_048, 16, 1 << 20
 #: Points compared exactly instead of being divided further; share of the
 #: comparisons that a cut may leave.
 EXACT, WORTH = 256, 0.85
+#: Edges a file of an intermediate edge table should hold.
+FILE_EDGES = 500_000
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -224,22 +226,25 @@ def components(edges: DataFrame) -> DataFrame:
             both = e.union(e.select("v", "u").toDF("u", "v"))
         else:
             both = e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        least = stored(both.groupBy("u").agg(F.min("v").alias("m"))
-                       .select("u", F.least("u", "m").alias("m")), "simhash-least")
+        least = write(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         hung = both.join(least, "u")
         if large:
             hung = hung.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         else:
             hung = hung.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.toDF("u", "v"))
-        return hung.where("u != v").distinct()
+        return write(hung.where("u != v").distinct())
+
+    def write(rows: DataFrame) -> DataFrame:
+        return stored(rows.coalesce(parts), "simhash-edges")
 
     def summary(e: DataFrame):
         return e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
 
-    e = stored(edges.toDF("u", "v").where("u != v").distinct(), "simhash-edges")
+    e = stored(edges.toDF("u", "v").where("u != v"), "simhash-edges")
     before = summary(e)
+    parts = -(-before[0] // FILE_EDGES)  # edges never get more
     while before[0]:
-        e = stored(star(stored(star(e, True), "simhash-edges"), False), "simhash-edges")
+        e = star(star(e, True), False)
         now = summary(e)
         if now == before:
             break
