@@ -31,6 +31,78 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM doc LEFT JOIN word USING (r) LEFT JOIN listed USING (r)
 """
 
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+SQL["op4_warc"] = r"""
+WITH page AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, upper(sha1(coalesce(html, ''))) AS h,
+         max(page_id) OVER (PARTITION BY coalesce(html, '')) AS newest
+  FROM pages
+)
+SELECT page_id, payload_bytes,
+       list_aggregate([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         ((('0x' || substr(h, 5 * (k // 4) + 1, 5))::INTEGER >> (15 - 5 * (k % 4))) & 31) + 1, 1)
+         FOR k IN range(32)], 'string_agg', '') AS payload_digest,
+       CASE WHEN newest IS NULL OR page_id = newest THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN newest IS NULL OR page_id = newest THEN NULL ELSE newest END AS refers_to
+FROM page
+"""
+
+
+def _url_tree(depth: int = 3, siblings: int = 20, rare: float = 0.05, z: float = 2.58, prior: float = 5.0,
+              purity: float = 0.6) -> str:
+    levels = []
+    for k in range(depth + 1):
+        levels.append(f"""
+seg{k} AS (SELECT *, coalesce(template[{k + 1}], '') AS segment FROM tree{k}),
+child{k} AS (
+  SELECT *, CASE WHEN siblings > {siblings} AND n < CAST({rare} AS DOUBLE) * all_n THEN '*' ELSE segment END AS branch
+  FROM (SELECT node, segment, n, bad, count(*) OVER w AS siblings, sum(n) OVER w AS all_n, sum(bad) OVER w AS all_bad
+        FROM (SELECT node, segment, sum(n) AS n, sum(bad) AS bad FROM seg{k} GROUP BY node, segment)
+        WINDOW w AS (PARTITION BY node))
+), branch{k} AS (
+  SELECT node, branch, CASE WHEN abs(sum(bad)::DOUBLE / sum(n)::DOUBLE - p) <= {z}::DOUBLE * sqrt(p * (1 - p) / sum(n)::DOUBLE)
+         THEN '//' ELSE '/' || branch END AS step
+  FROM (SELECT *, all_bad::DOUBLE / all_n::DOUBLE AS p FROM child{k}) GROUP BY node, branch, p
+), tree{k + 1} AS (
+  SELECT host, template, n, bad, node || step AS node
+  FROM seg{k} JOIN child{k} USING (node, segment) JOIN branch{k} USING (node, branch)
+)""".replace("SELECT host, template, n, bad, node", f"SELECT host, template, seg{k}.n, seg{k}.bad, node"))
+    return rf"""
+WITH url AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), part AS (
+  SELECT page_id, coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1), {_LOWER}), '') AS host,
+         coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM url
+), judged AS (
+  SELECT *, CASE
+      WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+      WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+      WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+      WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule
+  FROM part
+), ruled AS (
+  SELECT *, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow' END AS ruled,
+         list_slice(parts, 2, {depth + 1}) || (CASE WHEN len(parts) > {depth + 1} THEN ['**'] ELSE CAST([] AS VARCHAR[]) END) AS template
+  FROM (SELECT *, string_split(regexp_replace(path, '[0-9]+', '*', 'g'), '/') AS parts FROM judged)
+), tree0 AS (
+  SELECT host, template, count(*) AS n, host AS node, count(*) FILTER (coalesce(ruled = 'block', regexp_matches(
+         host || path, '(?i)(^|[^a-z])(ads|adult|bets|casino|pills|porn|spam|viagra|xxx)([^a-z]|$)'))) AS bad
+  FROM ruled GROUP BY host, template
+), {",".join(levels)},
+total AS (SELECT sum(bad)::DOUBLE / sum(n)::DOUBLE AS share FROM tree0),
+leaf AS (
+  SELECT node, (sum(bad)::DOUBLE + {prior}::DOUBLE * share) / (sum(n)::DOUBLE + {prior}::DOUBLE) AS purity
+  FROM tree{depth + 1}, total GROUP BY node, share
+)
+SELECT page_id, host, path, rule,
+       coalesce(ruled, CASE WHEN purity >= {purity}::DOUBLE THEN 'block' ELSE 'allow' END) AS verdict
+FROM ruled JOIN tree{depth + 1} USING (host, template) JOIN leaf USING (node)
+"""
+
+
+SQL["op6_url_tree"] = _url_tree()
+
 SQL["op10_mixing"] = r"""
 WITH doc AS (
   SELECT row_number() OVER () AS r, *, coalesce(CAST(doc_id AS VARCHAR), 'text:' || coalesce(text, '')) AS who,

@@ -7,7 +7,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodgelake.llm import decontaminate, lines, mixing, quality, simhash
+from lodgelake.llm import (
+    decontaminate, langid, licenses, lines, mixing, quality, simhash, tokencount, urltree, warc,
+)
 from lodgelake.llm.common import table
 from lodgelake.llm.oracle_sql import SQL
 
@@ -22,6 +24,22 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.label_documents(table(spark, sf_dir, "documents"))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, table(spark, sf_dir, "pages"))
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+def op6_url_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urltree.judge(table(spark, sf_dir, "pages")).drop("purity")
+
+
 def op7_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -31,13 +49,20 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_of(found["fp"]).alias("fingerprint"), "component_id")
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.count_tokens(table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.replicate(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_quality, op2_decontaminate, op7_line_rules, op8_simhash, op10_mixing)
+    for f in (
+        op1_quality, op2_decontaminate, op3_licenses, op4_warc, op5_language, op6_url_tree, op7_line_rules,
+        op8_simhash, op9_token_counts, op10_mixing,
+    )
 } | {"pipeline": corpus_pipeline.run}
 
 ORACLE: dict[str, str] = SQL | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

@@ -132,7 +132,7 @@ def write_archives(pages: DataFrame, folder: str, least: int = LEAST) -> DataFra
                     if out is None:
                         name = f"{folder}/{uuid.uuid4().hex}.warc.gz"
                         fs, path = store_of(name)
-                        out, offset = fs.open_output_stream(path), 0
+                        out, offset = fs.open_output_stream(path, compression=None), 0
                     sha = digest(payload)
                     refers_to = newest if revisit else None
                     member = gzip.compress(record(page_id, url, payload, sha, refers_to, revisit, len(payload)), 6, mtime=0)
