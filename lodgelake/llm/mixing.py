@@ -8,8 +8,8 @@ partitioning and splits a hot source like any other rows.  Documents are
 exploded by their number and shuffled globally by a hashed key.
 
 Scale: one aggregation per source (combined before the shuffle), a join with
-the per-source table (one row per source, planned by its size) and one range
-shuffle of the copies.  No Python runs.
+the per-source table (broadcast if its measured size allows, else sort-merged)
+and one range shuffle of the copies.  No Python runs.
 
 Cases: a null source is a source of its own; a source without any word (null or
 empty texts only) has rate 0 and leaves the mixture, while a wordless document
@@ -24,12 +24,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodgelake.llm.common import fresh
+from lodgelake.llm.common import fresh, stored
 
 #: Production parameters: shares are proportional to words ** ALPHA (between
 #: the natural mixture, 1, and equal sources, 0); expected words out are
 #: EPOCHS times the words in.
 ALPHA, EPOCHS, SEED = 0.5, 1.0, "mix-1"
+#: Bytes up to which the per-source table is broadcast.
+SMALL_RATES = 16 << 20
 #: md5 hex digits that make the fraction and its value range: 52 bits.
 _DIGITS, _RANGE = 13, float(1 << 52)
 
@@ -64,7 +66,8 @@ def source_rates(docs: DataFrame, alpha: float = ALPHA, epochs: float = EPOCHS,
     else:
         weight = F.lit(0.0)
     # decimals: sums do not depend on the order of addition
-    per = per.withColumn("weight", F.when(F.col("n_words") > 0, weight).otherwise(0.0).cast("decimal(28,6)"))
+    per = stored(per.withColumn(
+        "weight", F.when(F.col("n_words") > 0, weight).otherwise(0.0).cast("decimal(28,6)")), "source-sizes")
     all_weight, all_words = (  # two numbers
         float(x or 0) for x in per.agg(F.sum("weight").cast("double"), F.sum("n_words")).first())
     rate = F.lit(epochs * all_words) * F.col("weight").cast("double") / (F.lit(all_weight) * F.col("n_words"))
@@ -93,6 +96,9 @@ def replicate(docs: DataFrame, alpha: float = ALPHA, epochs: float = EPOCHS,
     steps, of = fresh(docs, "mix_steps", "mix_source")
     rates = source_rates(docs, alpha, epochs, weights).select(
         F.col("source").alias(of), poisson_steps(F.col("rate")).alias(steps))
+    size = rates.agg(F.sum(F.octet_length(F.coalesce(of, F.lit(""))) + 8 * F.size(steps) + 64)).first()[0]
+    if (size or 0) <= SMALL_RATES:  # else a sort-merge join, whose hot sources AQE splits
+        rates = F.broadcast(rates)
     who = identity(F.col("doc_id"), F.col("text"))
     drawn = fraction(F.lit(seed), F.lit("draw"), who)
     joined = docs.join(rates, F.col("source").eqNullSafe(F.col(of)))
