@@ -27,12 +27,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodgelake.llm.common import bits_fraction, chunks, is_fold, texts_of
+from lodgelake.llm.common import bits_fraction, chunks, is_fold, stored, texts_of
 
 ORDER = 3
 #: Documents a language is learnt from (expected number: those whose hash falls
 #: under FIT_DOCS / the language's documents).
 FIT_DOCS = 1_500
+#: Rows up to which languages and sampled ids are broadcast.
+SMALL_SAMPLE = 500_000
 FOLDS, HELD = 3, 1
 UNKNOWN = "und"
 
@@ -84,12 +86,22 @@ class Tree:
         return out
 
 
+def small(rows: DataFrame) -> DataFrame:
+    """``rows``, to be broadcast if they are counted to be few (else Spark
+    sort-merges them)."""
+    return F.broadcast(rows) if rows.count() <= SMALL_SAMPLE else rows
+
+
 def learn(docs: DataFrame, fit_docs: int = FIT_DOCS) -> dict[str, Tree]:
     """Context trees of the languages named outside the held-out fold."""
     known = docs.select("doc_id", "text", "lang").where(
         "doc_id is not null and text is not null and lang is not null").where(~is_fold("doc_id", FOLDS, HELD))
-    sizes = known.groupBy("lang").agg(F.count("*").alias("n"))
-    sample = known.join(sizes, "lang").where(bits_fraction(F.col("doc_id")) * F.col("n") < fit_docs)
+    ids = known.select("doc_id", "lang")
+    sizes = small(stored(ids.groupBy("lang").agg(F.count("*").alias("n")), "language-sizes"))
+    picked = stored(
+        ids.join(sizes, "lang").where(bits_fraction(F.col("doc_id")) * F.col("n") < fit_docs)
+        .select("doc_id", "lang").distinct(), "language-sample")
+    sample = known.join(small(picked), ["doc_id", "lang"])
 
     def count(batches):
         for b in batches:
