@@ -19,7 +19,7 @@ from lodgelake.plans import marts
 from lodgelake.plans.catalog import register
 from lodgelake.plans.layers import Layers
 from lodgelake.plans.oracle_sql import with_base
-from lodgelake.plans.q_layers import _M15_SQL
+from lodgelake.plans.oracle_analysis import HOST_MART
 from lodgelake.session import input_bytes, scratch_path
 from lodgelake.sources import files, ingest, testdata
 
@@ -278,7 +278,7 @@ def q_materialise_table(spark, sf):
     return spark.read.parquet(path)
 
 
-@register("materialise_view", _M15_SQL)
+@register("materialise_view", HOST_MART)
 def q_materialise_view(spark, sf):
     L = Layers(spark, sf)
     marts.mart_host_neighbourhood(L.fact, L.host_history, L.lga_suburb) \

@@ -5,15 +5,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodgelake import schemas
 from lodgelake.operators import scd2
-from lodgelake.plans import analysis, marts, star
+from lodgelake.plans import analysis, marts, oracle_analysis, star
 from lodgelake.plans.catalog import register
 from lodgelake.plans.layers import Layers
-from lodgelake.plans.oracle_sql import (
-    HOST_ATTRS, PROP_ATTRS, asof, cents, digits, initcap, quotient, ratio, stays,
-    stays_clamped, with_base,
-)
+from lodgelake.plans.oracle_sql import HOST_ATTRS, PROP_ATTRS, asof, with_base
 
 # ---------------------------------------------------------------- silver ----
 
@@ -188,166 +184,19 @@ def q_gold_dim_lga(spark, sf):
 
 # ----------------------------------------------------------------- marts ----
 
-def _enriched_sql(name: str, prop_cols: list[str]) -> str:
-    pc = ", ".join(f"a.{c}" for c in prop_cols)
-    return f"""
-{name}_enriched AS (
-  SELECT f.listing_id, f.host_id, f.scraped_date,
-    CAST(date_trunc('month', f.scraped_date) AS DATE) AS month_start,
-    f.price, f.has_availability, f.availability_30, f.review_scores_rating, {pc},
-    CASE WHEN f.has_availability = 't' THEN 1 ELSE 0 END AS is_active,
-    {stays("f.availability_30")} AS stays_in_30_days,
-    h.host_is_superhost
-  FROM fact_listings f
-  {asof("a", "property_snapshot", "listing_id")}
-  {asof("h", "host_snapshot", "host_id")}
-),
-{name}_latest AS (
-  SELECT * FROM (
-    SELECT *, row_number() OVER (PARTITION BY listing_id, month_start
-                                 ORDER BY scraped_date DESC) AS rn
-    FROM {name}_enriched) z
-  WHERE rn = 1
-)"""
-
-
-def _metrics_sql(superhost_cond: str) -> str:
-    pc = cents("price")
-    return f"""
-    count(*) AS total_ct,
-    sum(is_active) AS active_ct,
-    sum(1 - is_active) AS inactive_ct,
-    min(price) FILTER (WHERE is_active = 1) AS min_p,
-    max(price) FILTER (WHERE is_active = 1) AS max_p,
-    quantile_cont({pc}, 0.5) FILTER (WHERE is_active = 1) AS med_c,
-    sum({pc}) FILTER (WHERE is_active = 1) AS sum_c,
-    count(price) FILTER (WHERE is_active = 1) AS n_priced,
-    count(DISTINCT host_id) AS distinct_hosts_count,
-    count(DISTINCT CASE WHEN {superhost_cond} THEN host_id END) AS superhosts,
-    sum(CAST(review_scores_rating * 100 AS BIGINT)) FILTER (WHERE is_active = 1) AS sum_r,
-    count(review_scores_rating) FILTER (WHERE is_active = 1) AS n_rated,
-    CAST(sum(CASE WHEN is_active = 1 THEN stays_in_30_days ELSE 0 END) AS BIGINT)
-      AS total_active_stays,
-    sum((CASE WHEN is_active = 1 THEN stays_in_30_days ELSE 0 END) * {pc}) AS rev_c"""
-
-
-_M13_SQL = with_base(f"""
-SELECT listing_neighbourhood, month_start, strftime(month_start, '%Y-%m') AS month_year,
-  {ratio("100 * active_ct", "total_ct")} AS active_listings_rate,
-  CAST(min_p AS DOUBLE) AS min_active_price,
-  CAST(max_p AS DOUBLE) AS max_active_price,
-  CAST(floor(med_c + 0.5) AS DOUBLE) / 100 AS median_active_price,
-  {ratio("sum_c", "n_priced * 100")} AS avg_active_price,
-  distinct_hosts_count,
-  {ratio("100 * superhosts", "distinct_hosts_count")} AS superhost_rate,
-  {ratio("sum_r", "n_rated * 100")} AS avg_active_rating,
-  total_active_stays,
-  CASE WHEN active_ct > 0 THEN {ratio("rev_c", "active_ct * 100")} END
-    AS avg_estimated_rev_per_active_listing,
-  CASE WHEN prev_a IS NULL OR prev_a = 0 THEN NULL
-       ELSE {ratio("100 * (active_ct - prev_a)", "prev_a")} END AS pct_change_active_listings,
-  CASE WHEN prev_i IS NULL OR prev_i = 0 THEN NULL
-       ELSE {ratio("100 * (inactive_ct - prev_i)", "prev_i")} END AS pct_change_inactive_listings
-FROM m13_prev
-ORDER BY listing_neighbourhood, month_start""",
-    _enriched_sql("m13", ["listing_neighbourhood"]).strip(),
-    f"""
-m13_agg AS (
-  SELECT coalesce(listing_neighbourhood, 'Unknown') AS listing_neighbourhood, month_start,
-  {_metrics_sql("host_is_superhost = 't'")}
-  FROM m13_latest GROUP BY 1, 2
-),
-m13_prev AS (
-  SELECT *,
-    lag(active_ct) OVER (PARTITION BY listing_neighbourhood ORDER BY month_start) AS prev_a,
-    lag(inactive_ct) OVER (PARTITION BY listing_neighbourhood ORDER BY month_start) AS prev_i
-  FROM m13_agg
-)""")
-
-
-@register("mart_listing_neighbourhood", _M13_SQL)
+@register("mart_listing_neighbourhood", oracle_analysis.LISTING_MART)
 def q_mart_listing_neighbourhood(spark, sf):
     L = Layers(spark, sf)
     return marts.mart_listing_neighbourhood(L.fact, L.property_history, L.host_history)
 
 
-_M14_KEYS = "property_type, room_type, accommodates"
-_M14_SQL = with_base(f"""
-SELECT {_M14_KEYS}, month_start,
-  {quotient("100 * active_ct", "total_ct")} AS active_listings_rate,
-  CAST(min_p AS DOUBLE) AS min_active_price,
-  CAST(max_p AS DOUBLE) AS max_active_price,
-  med_c / 100 AS median_active_price,
-  {quotient("sum_c", "n_priced * 100")} AS avg_active_price,
-  distinct_hosts_count,
-  {quotient("100 * superhosts", "distinct_hosts_count")} AS superhost_rate,
-  {quotient("sum_r", "n_rated * 100")} AS avg_active_rating,
-  total_active_stays,
-  CASE WHEN active_ct > 0 THEN {quotient("rev_c", "active_ct * 100")} END
-    AS avg_estimated_rev_per_active_listing,
-  CASE WHEN prev_a IS NULL OR prev_a = 0 THEN NULL
-       ELSE {quotient("100 * (active_ct - prev_a)", "prev_a")} END AS pct_change_active_listings,
-  CASE WHEN prev_i IS NULL OR prev_i = 0 THEN NULL
-       ELSE {quotient("100 * (inactive_ct - prev_i)", "prev_i")} END AS pct_change_inactive_listings
-FROM m14_prev
-ORDER BY {_M14_KEYS}, month_start""",
-    _enriched_sql("m14", ["property_type", "room_type", "accommodates"]).strip(),
-    f"""
-m14_agg AS (
-  SELECT {_M14_KEYS}, month_start,
-  {_metrics_sql("is_active = 1 AND host_is_superhost = 't'")}
-  FROM m14_latest GROUP BY 1, 2, 3, 4
-),
-m14_prev AS (
-  SELECT *,
-    lag(active_ct) OVER (PARTITION BY {_M14_KEYS} ORDER BY month_start) AS prev_a,
-    lag(inactive_ct) OVER (PARTITION BY {_M14_KEYS} ORDER BY month_start) AS prev_i
-  FROM m14_agg
-)""")
-
-
-@register("mart_property_type", _M14_SQL)
+@register("mart_property_type", oracle_analysis.PROPERTY_MART)
 def q_mart_property_type(spark, sf):
     L = Layers(spark, sf)
     return marts.mart_property_type(L.fact, L.property_history, L.host_history)
 
 
-_M15_SQL = with_base(f"""
-SELECT host_neighbourhood_lga, month_start, distinct_hosts_count,
-  CASE WHEN active > 0 THEN {quotient("rev_c", "active * 100")} END
-    AS estimated_revenue_per_active_listing,
-  CASE WHEN distinct_hosts_count > 0 THEN {quotient("rev_c", "distinct_hosts_count * 100")} END
-    AS estimated_revenue_per_host
-FROM m15_agg
-ORDER BY host_neighbourhood_lga, month_start""", f"""
-m15_enriched AS (
-  SELECT CAST(date_trunc('month', f.scraped_date) AS DATE) AS month_start, f.host_id,
-    f.listing_id, f.scraped_date, f.price,
-    coalesce(l.lga_name, h.host_neighbourhood) AS host_neighbourhood_lga,
-    CASE WHEN f.has_availability = 't' THEN 1 ELSE 0 END AS is_active,
-    {stays("f.availability_30")} AS stays_in_30_days
-  FROM fact_listings f
-  {asof("h", "host_snapshot", "host_id")}
-  LEFT JOIN (SELECT lower(suburb_name) AS suburb_lc, lga_name FROM lga_suburb_cleaned) l
-    ON lower(h.host_neighbourhood) = l.suburb_lc
-),
-m15_top AS (
-  SELECT * FROM (
-    SELECT *, row_number() OVER (PARTITION BY listing_id, month_start
-      ORDER BY stays_in_30_days DESC, scraped_date DESC, host_neighbourhood_lga ASC NULLS LAST) AS rn
-    FROM m15_enriched) z
-  WHERE rn = 1
-),
-m15_agg AS (
-  SELECT host_neighbourhood_lga, month_start,
-    count(DISTINCT host_id) AS distinct_hosts_count,
-    sum(is_active) AS active,
-    sum((CASE WHEN is_active = 1 THEN stays_in_30_days ELSE 0 END) * {cents("price")}) AS rev_c
-  FROM m15_top GROUP BY 1, 2
-)""")
-
-
-@register("mart_host_neighbourhood", _M15_SQL)
+@register("mart_host_neighbourhood", oracle_analysis.HOST_MART)
 def q_mart_host_neighbourhood(spark, sf):
     L = Layers(spark, sf)
     return marts.mart_host_neighbourhood(L.fact, L.host_history, L.lga_suburb)
@@ -355,254 +204,37 @@ def q_mart_host_neighbourhood(spark, sf):
 
 # -------------------------------------------------------------- analyses ----
 
-_TRAILING = """
-last_12m AS (
-  SELECT * FROM airbnb_cleaned
-  WHERE scraped_date >= (SELECT max(scraped_date) FROM airbnb_cleaned) - INTERVAL 12 MONTH
-)"""
-
-_AGE_SHARES = ",\n  ".join(
-    f"{quotient(f'g1.{m}_p', 'g1.tot_p_p')} AS {name}" for m, name in schemas.AGE_BANDS)
-
-_Q1_SQL = with_base("""
-SELECT s.grp, s.lga_code_key AS lga_code, s.lga_name, s.active_listings,
-  s.avg_rev_per_active_listing, d.average_household_size, """
-    + ", ".join(f"d.{n}" for _, n in schemas.AGE_BANDS) + """
-FROM selected s LEFT JOIN census_demo d ON d.lga_code_key = s.lga_code_key
-ORDER BY CASE WHEN s.grp = 'top3' THEN 0 ELSE 1 END, s.avg_rev_per_active_listing DESC""",
-    _TRAILING.strip(), f"""
-q1_rows AS (
-  SELECT * FROM (
-    SELECT t.*, CAST(date_trunc('month', t.scraped_date) AS DATE) AS month_start,
-      row_number() OVER (PARTITION BY t.listing_id, date_trunc('month', t.scraped_date)
-                         ORDER BY t.scraped_date DESC) AS rn
-    FROM last_12m t) z
-  WHERE rn = 1
-),
-q1_lga AS (
-  SELECT r.listing_id, m.lga_code_key, m.lga_name,
-    {stays_clamped("r.availability_30")} AS stays_30,
-    CAST(coalesce({cents("r.price")}, 0) * {stays_clamped("r.availability_30")} AS DECIMAL(38,0)) AS rev_c
-  FROM q1_rows r JOIN suburb_to_lga m ON lower(trim(r.listing_neighbourhood)) = m.suburb_key
-  WHERE m.lga_code_key IS NOT NULL
-),
-q1_listing AS (
-  SELECT listing_id, lga_code_key, lga_name, CAST(sum(stays_30) AS BIGINT) AS stays_12m,
-    CAST(sum(rev_c) AS DECIMAL(38,0)) AS rev_12m_c
-  FROM q1_lga GROUP BY 1, 2, 3 HAVING sum(stays_30) > 0
-),
-q1_perf AS (
-  SELECT lga_code_key, lga_name, count(*) AS active_listings,
-    {quotient("sum(rev_12m_c)", "count(*) * 100")} AS avg_rev_per_active_listing
-  FROM q1_listing GROUP BY 1, 2
-),
-q1_top AS (
-  SELECT * FROM q1_perf
-  ORDER BY avg_rev_per_active_listing DESC NULLS LAST, lga_code_key, lga_name LIMIT 3
-),
-q1_bottom AS (
-  SELECT * FROM q1_perf
-  ORDER BY avg_rev_per_active_listing ASC NULLS LAST, lga_code_key, lga_name LIMIT 3
-),
-selected AS (
-  SELECT 'top3' AS grp, * FROM q1_top
-  UNION ALL
-  SELECT 'bottom3' AS grp, * FROM q1_bottom
-),
-census_demo AS (
-  SELECT {digits("g1.lga_code_2016")} AS lga_code_key,
-  CAST(g2.average_household_size AS DOUBLE) AS average_household_size,
-  {_AGE_SHARES}
-  FROM census_g01_cleaned g1
-  JOIN census_g02_cleaned g2 ON {digits("g2.lga_code_2016")} = {digits("g1.lga_code_2016")}
-)""")
-
-
-@register("top_bottom_demographics", _Q1_SQL)
+@register("top_bottom_demographics", oracle_analysis.TOP_BOTTOM)
 def q_top_bottom_demographics(spark, sf):
     L = Layers(spark, sf)
     return analysis.top_bottom_demographics(L.listings, L.lga_suburb, L.lga_code,
                                             L.census_g01, L.census_g02)
 
 
-_Q2_CTES = f"""
-q2_rows AS (
-  SELECT listing_id, lower(trim(listing_neighbourhood)) AS suburb_key,
-    {stays_clamped("availability_30")} AS stays_30,
-    coalesce({cents("price")}, 0) * {stays_clamped("availability_30")} AS rev_c
-  FROM airbnb_cleaned
-  WHERE listing_neighbourhood IS NOT NULL AND listing_neighbourhood <> ''
-),
-q2_listing AS (
-  SELECT listing_id, suburb_key, sum(stays_30) AS stays_total, sum(rev_c) AS rev_c
-  FROM q2_rows GROUP BY 1, 2
-),
-q2_perf AS (
-  SELECT suburb_key, {quotient("sum(rev_c)", "count(*) * 100")} AS revenue_per_active_listing
-  FROM q2_listing WHERE stays_total > 0 GROUP BY 1
-),
-q2_age AS (
-  SELECT m.suburb_key, {quotient("sum(g.median_age_persons)", "count(g.median_age_persons)")}
-    AS median_age
-  FROM (SELECT DISTINCT suburb_key, lga_code_key FROM suburb_to_lga) m
-  JOIN census_g02_cleaned g ON {digits("g.lga_code_2016")} = m.lga_code_key
-  GROUP BY m.suburb_key
-),
-q2_pairs AS (
-  SELECT {initcap("p.suburb_key")} AS listing_neighbourhood, a.median_age,
-    p.revenue_per_active_listing
-  FROM q2_perf p JOIN q2_age a ON a.suburb_key = p.suburb_key
-  WHERE p.revenue_per_active_listing IS NOT NULL AND a.median_age IS NOT NULL
-)"""
-
-
-@register("age_vs_revenue", with_base(
-    "SELECT * FROM q2_pairs ORDER BY revenue_per_active_listing DESC", _Q2_CTES.strip()))
+@register("age_vs_revenue", oracle_analysis.AGE_REVENUE)
 def q_age_vs_revenue(spark, sf):
     L = Layers(spark, sf)
     return analysis.age_vs_revenue(L.listings, L.lga_suburb, L.lga_code, L.census_g02)
 
 
-@register("age_revenue_corr", with_base("""
-SELECT count(*) AS n_pairs,
-  sign(corr(median_age, revenue_per_active_listing))
-    * floor(abs(corr(median_age, revenue_per_active_listing)) * 1000000000.0 + 0.5)
-    / 1000000000.0 AS corr_age_revenue
-FROM q2_pairs""", _Q2_CTES.strip()))
+@register("age_revenue_corr", oracle_analysis.AGE_CORRELATION)
 def q_age_revenue_corr(spark, sf):
     L = Layers(spark, sf)
     return analysis.age_revenue_corr(L.listings, L.lga_suburb, L.lga_code, L.census_g02)
 
 
-_Q3_SQL = with_base(f"""
-SELECT {initcap("suburb_key")} AS listing_neighbourhood, property_type, room_type, accommodates,
-  total_stays
-FROM (
-  SELECT *, row_number() OVER (PARTITION BY suburb_key ORDER BY total_stays DESC,
-    property_type ASC NULLS LAST, room_type ASC NULLS LAST, accommodates ASC NULLS LAST) AS rnk
-  FROM q3_types) z
-WHERE rnk = 1
-ORDER BY total_stays DESC""", f"""
-q3_listing AS (
-  SELECT listing_id, lower(trim(listing_neighbourhood)) AS suburb_key, property_type, room_type,
-    accommodates, CAST(sum({stays_clamped("availability_30")}) AS BIGINT) AS total_stays,
-    CAST(sum({cents("price")} * {stays_clamped("availability_30")}) AS DECIMAL(38,0)) AS rev_c
-  FROM airbnb_cleaned GROUP BY 1, 2, 3, 4, 5
-  HAVING sum({stays_clamped("availability_30")}) > 0
-),
-q3_top5 AS (
-  SELECT suburb_key FROM (
-    SELECT suburb_key, {quotient("sum(rev_c)", "count(rev_c) * 100")} AS avg_rev
-    FROM q3_listing GROUP BY 1) z
-  ORDER BY avg_rev DESC NULLS LAST, suburb_key ASC NULLS LAST LIMIT 5
-),
-q3_types AS (
-  SELECT l.suburb_key, l.property_type, l.room_type, l.accommodates,
-    CAST(sum(l.total_stays) AS BIGINT) AS total_stays
-  FROM q3_listing l JOIN q3_top5 t ON t.suburb_key = l.suburb_key
-  GROUP BY 1, 2, 3, 4
-)""")
-
-
-@register("best_listing_type", _Q3_SQL)
+@register("best_listing_type", oracle_analysis.BEST_KIND)
 def q_best_listing_type(spark, sf):
     return analysis.best_listing_type(Layers(spark, sf).listings)
 
 
-_Q4_SQL = with_base("""
-SELECT CASE WHEN lga_count = 1 THEN 'Concentrated in one LGA'
-            ELSE 'Distributed across multiple LGAs' END AS distribution_type,
-  count(*) AS num_hosts
-FROM q4_span GROUP BY 1 ORDER BY 1""", """
-q4_latest AS (
-  SELECT * FROM (
-    SELECT listing_id, host_id, listing_neighbourhood,
-      row_number() OVER (PARTITION BY listing_id ORDER BY scraped_date DESC) AS rn
-    FROM airbnb_cleaned) z
-  WHERE rn = 1
-),
-q4_lga AS (
-  SELECT q.listing_id, q.host_id, m.lga_code_key
-  FROM q4_latest q LEFT JOIN suburb_to_lga m
-    ON lower(trim(q.listing_neighbourhood)) = m.suburb_key
-  WHERE m.lga_code_key IS NOT NULL
-),
-q4_multi AS (
-  SELECT host_id FROM q4_lga GROUP BY host_id HAVING count(DISTINCT listing_id) > 1
-),
-q4_span AS (
-  SELECT l.host_id, count(DISTINCT l.lga_code_key) AS lga_count
-  FROM q4_lga l JOIN q4_multi USING (host_id) GROUP BY l.host_id
-)""")
-
-
-@register("host_concentration", _Q4_SQL)
+@register("host_concentration", oracle_analysis.CONCENTRATION)
 def q_host_concentration(spark, sf):
     L = Layers(spark, sf)
     return analysis.host_concentration(L.listings, L.lga_suburb, L.lga_code)
 
 
-_Q5_SQL = with_base(f"""
-SELECT lga_name, count(*) AS total_single_listing_hosts,
-  CAST(sum(covers_flag) AS BIGINT) AS hosts_covering_mortgage,
-  {ratio("100 * sum(covers_flag)", "count(*)")} AS coverage_percentage
-FROM q5_vs GROUP BY lga_name
-ORDER BY coverage_percentage DESC NULLS LAST, lga_name""", _TRAILING.strip(), f"""
-q5_recent AS (
-  SELECT * FROM last_12m
-  WHERE listing_neighbourhood IS NOT NULL AND trim(listing_neighbourhood) <> ''
-),
-q5_rows AS (
-  SELECT * FROM (
-    SELECT t.*, CAST(date_trunc('month', t.scraped_date) AS DATE) AS month_start,
-      row_number() OVER (PARTITION BY t.listing_id, date_trunc('month', t.scraped_date)
-                         ORDER BY t.scraped_date DESC) AS rn
-    FROM q5_recent t) z
-  WHERE rn = 1
-),
-q5_lga AS (
-  SELECT r.listing_id, r.host_id, r.month_start, m.lga_name, m.lga_code_key,
-    {stays_clamped("r.availability_30")} AS stays_30,
-    CAST(coalesce({cents("r.price")}, 0) * {stays_clamped("r.availability_30")} AS DECIMAL(38,0)) AS rev_c
-  FROM q5_rows r
-  JOIN (SELECT DISTINCT suburb_key, lga_name, lga_code_key FROM suburb_to_lga) m
-    ON lower(trim(r.listing_neighbourhood)) = m.suburb_key
-),
-q5_revenue AS (
-  SELECT listing_id, host_id, CAST(sum(stays_30) AS BIGINT) AS stays_12m,
-    CAST(sum(rev_c) AS DECIMAL(38,0)) AS rev_12m_c
-  FROM q5_lga GROUP BY 1, 2 HAVING sum(stays_30) > 0
-),
-q5_listing_lga AS (
-  SELECT listing_id, lga_name, lga_code_key FROM (
-    SELECT *, row_number() OVER (PARTITION BY listing_id ORDER BY month_start DESC,
-      lga_code_key ASC NULLS LAST, lga_name ASC NULLS LAST) AS rn
-    FROM q5_lga) z
-  WHERE rn = 1
-),
-q5_owner AS (
-  SELECT * FROM (
-    SELECT listing_id, host_id,
-      row_number() OVER (PARTITION BY listing_id ORDER BY scraped_date DESC) AS rn
-    FROM airbnb_cleaned) z
-  WHERE rn = 1
-),
-q5_single AS (
-  SELECT host_id FROM q5_owner GROUP BY host_id HAVING count(DISTINCT listing_id) = 1
-),
-q5_vs AS (
-  SELECT r.host_id, r.listing_id, ll.lga_name, r.rev_12m_c,
-    CASE WHEN r.rev_12m_c >= CAST(g.median_mortgage_repay_monthly AS HUGEINT) * 1200
-         THEN 1 ELSE 0 END AS covers_flag
-  FROM q5_revenue r
-  JOIN q5_single s USING (host_id)
-  JOIN q5_listing_lga ll USING (listing_id)
-  JOIN census_g02_cleaned g ON {digits("g.lga_code_2016")} = ll.lga_code_key
-  WHERE r.rev_12m_c IS NOT NULL AND g.median_mortgage_repay_monthly IS NOT NULL
-)""")
-
-
-@register("mortgage_coverage", _Q5_SQL)
+@register("mortgage_coverage", oracle_analysis.MORTGAGE)
 def q_mortgage_coverage(spark, sf):
     L = Layers(spark, sf)
     return analysis.mortgage_coverage(L.listings, L.lga_suburb, L.lga_code, L.census_g02)

@@ -17,7 +17,7 @@ from lodgelake.functions import (
 )
 from lodgelake.operators import scd2
 from lodgelake.operators.dedupe import latest_per_key, top1_window
-from lodgelake.plans import analysis, marts
+from lodgelake.plans import analysis, marts, oracle_analysis
 from lodgelake.plans.catalog import register
 from lodgelake.plans.layers import Layers
 from lodgelake.plans.oracle_sql import (
@@ -98,22 +98,16 @@ def q_filter_valid_date(spark, sf):
     return parsed.where(F.col("scraped_date").isNotNull())
 
 
-_TRAILING = """
-last_12m AS (
-  SELECT * FROM airbnb_cleaned
-  WHERE scraped_date >= (SELECT max(scraped_date) FROM airbnb_cleaned) - INTERVAL 12 MONTH
-)"""
-
-
-@register("trailing_12m", with_base("SELECT listing_id, scraped_date FROM last_12m",
-                                    _TRAILING.strip()))
+@register("trailing_12m", with_base(
+    "SELECT listing_id, scraped_date FROM airbnb_cleaned, span WHERE scraped_date >= oldest",
+    oracle_analysis.RECENT.strip()))
 def q_trailing_12m(spark, sf):
     return analysis.trailing_window(_L(spark, sf).listings).select("listing_id", "scraped_date")
 
 
 @register("cross_scalar", with_base(
-    "SELECT listing_id, scraped_date, (SELECT max(scraped_date) FROM airbnb_cleaned) AS anchor_dt "
-    "FROM last_12m", _TRAILING.strip()))
+    "SELECT listing_id, scraped_date, newest AS anchor_dt FROM airbnb_cleaned, span WHERE scraped_date >= oldest",
+    oracle_analysis.RECENT.strip()))
 def q_cross_scalar(spark, sf):
     c = _L(spark, sf).listings
     anchor = c.agg(F.max("scraped_date")).scalar()
@@ -168,40 +162,7 @@ def q_in_with_null(spark, sf):
     return raw.select("listing_id", "scraped_date", in_list.alias("vacant_or_unknown"))
 
 
-_Q1_CTES = f"""
-q1_rows AS (
-  SELECT * FROM (
-    SELECT t.*, {MONTH} AS month_start,
-      row_number() OVER (PARTITION BY t.listing_id, date_trunc('month', t.scraped_date)
-                         ORDER BY t.scraped_date DESC) AS rn
-    FROM last_12m t) z
-  WHERE rn = 1
-),
-q1_lga AS (
-  SELECT r.listing_id, r.month_start, m.lga_code_key, m.lga_name,
-    {stays_clamped("r.availability_30")} AS stays_30,
-    CAST(coalesce({sql_cents("r.price")}, 0) * {stays_clamped("r.availability_30")} AS DECIMAL(38,0)) AS rev_c
-  FROM q1_rows r JOIN suburb_to_lga m ON lower(trim(r.listing_neighbourhood)) = m.suburb_key
-  WHERE m.lga_code_key IS NOT NULL
-),
-q1_listing AS (
-  SELECT listing_id, lga_code_key, lga_name, CAST(sum(stays_30) AS BIGINT) AS stays_12m,
-    CAST(sum(rev_c) AS DECIMAL(38,0)) AS rev_12m_c
-  FROM q1_lga GROUP BY 1, 2, 3 HAVING sum(stays_30) > 0
-),
-q1_perf AS (
-  SELECT lga_code_key, lga_name, count(*) AS active_listings,
-    {quotient("sum(rev_12m_c)", "count(*) * 100")} AS avg_rev_per_active_listing
-  FROM q1_listing GROUP BY 1, 2
-),
-q1_top AS (
-  SELECT * FROM q1_perf
-  ORDER BY avg_rev_per_active_listing DESC NULLS LAST, lga_code_key, lga_name LIMIT 3
-),
-q1_bottom AS (
-  SELECT * FROM q1_perf
-  ORDER BY avg_rev_per_active_listing ASC NULLS LAST, lga_code_key, lga_name LIMIT 3
-)"""
+_AREAS = oracle_analysis.AREAS.strip()
 
 
 def _lga_perf(L):
@@ -209,53 +170,46 @@ def _lga_perf(L):
     return analysis.lga_performance(analysis.listing_totals_12m(rows))
 
 
-@register("literal_tag", with_base("SELECT 'top3' AS grp, * FROM q1_top", _TRAILING.strip(),
-                                   _Q1_CTES.strip()))
+@register("literal_tag", with_base("SELECT * FROM area_tagged WHERE grp = 'top3'", _AREAS))
 def q_literal_tag(spark, sf):
     return analysis.top_lgas(_lga_perf(_L(spark, sf))).withColumn("grp", F.lit(analysis.TOP_LABEL))
 
 
-@register("union_all_tagged", with_base(
-    "SELECT 'top3' AS grp, * FROM q1_top UNION ALL SELECT 'bottom3' AS grp, * FROM q1_bottom",
-    _TRAILING.strip(), _Q1_CTES.strip()))
+@register("union_all_tagged", with_base("SELECT * FROM area_tagged", _AREAS))
 def q_union_all_tagged(spark, sf):
     return analysis.tagged_top_bottom(_lga_perf(_L(spark, sf)))
 
 
-@register("top_k", with_base("SELECT * FROM q1_top", _TRAILING.strip(), _Q1_CTES.strip()))
+@register("top_k", with_base(oracle_analysis.TOP_AREAS, _AREAS))
 def q_top_k(spark, sf):
     return analysis.top_lgas(_lga_perf(_L(spark, sf)))
 
 
-@register("bottom_k", with_base("SELECT * FROM q1_bottom", _TRAILING.strip(), _Q1_CTES.strip()))
+@register("bottom_k", with_base(oracle_analysis.BOTTOM_AREAS, _AREAS))
 def q_bottom_k(spark, sf):
     return analysis.bottom_lgas(_lga_perf(_L(spark, sf)))
 
 
-@register("having", with_base("SELECT * FROM q1_listing", _TRAILING.strip(), _Q1_CTES.strip()))
+@register("having", with_base("SELECT * FROM area_listing", _AREAS))
 def q_having(spark, sf):
     L = _L(spark, sf)
     return analysis.listing_totals_12m(analysis.lga_rows_12m(L.listings, L.lga_suburb, L.lga_code))
 
 
-@register("join_monthly_latest", with_base(
-    "SELECT listing_id, month_start, lga_code_key, lga_name, stays_30, rev_c FROM q1_lga",
-    _TRAILING.strip(), _Q1_CTES.strip()))
+@register("join_monthly_latest", with_base("SELECT * FROM area_month", _AREAS))
 def q_join_monthly_latest(spark, sf):
     L = _L(spark, sf)
     return analysis.lga_rows_12m(L.listings, L.lga_suburb, L.lga_code)
 
 
-@register("two_level_agg", with_base("SELECT * FROM q1_perf", _TRAILING.strip(), _Q1_CTES.strip()))
+@register("two_level_agg", with_base("SELECT * FROM area_score", _AREAS))
 def q_two_level_agg(spark, sf):
     return _lga_perf(_L(spark, sf))
 
 
 @register("sort_case", with_base("""
-SELECT grp, lga_code_key, lga_name, avg_rev_per_active_listing FROM (
-  SELECT 'top3' AS grp, * FROM q1_top UNION ALL SELECT 'bottom3' AS grp, * FROM q1_bottom) s
-ORDER BY CASE WHEN grp = 'top3' THEN 0 ELSE 1 END, avg_rev_per_active_listing DESC""",
-    _TRAILING.strip(), _Q1_CTES.strip()))
+SELECT grp, lga_code_key, lga_name, avg_rev_per_active_listing FROM area_tagged
+ORDER BY CASE grp WHEN 'top3' THEN 0 ELSE 1 END, avg_rev_per_active_listing DESC""", _AREAS))
 def q_sort_case(spark, sf):
     s = analysis.tagged_top_bottom(_lga_perf(_L(spark, sf)))
     return (s.select("grp", "lga_code_key", "lga_name", "avg_rev_per_active_listing")
@@ -265,20 +219,13 @@ def q_sort_case(spark, sf):
 
 # ----------------------------------------------------------------- joins ----
 
-@register("join_normalised_text", with_base("SELECT * FROM suburb_to_lga"))
+@register("join_normalised_text", with_base("SELECT * FROM place"))
 def q_join_normalised_text(spark, sf):
     L = _L(spark, sf)
-    return analysis.suburb_to_lga(L.lga_suburb, L.lga_code)
+    return analysis.suburb_areas(L.lga_suburb, L.lga_code)
 
 
-_DEMO_SQL = f"""
-census_demo AS (
-  SELECT {digits("g1.lga_code_2016")} AS lga_code_key,
-  CAST(g2.average_household_size AS DOUBLE) AS average_household_size,
-  {", ".join(f"{quotient(f'g1.{m}_p', 'g1.tot_p_p')} AS {n}" for m, n in AGE_BANDS)}
-  FROM census_g01_cleaned g1
-  JOIN census_g02_cleaned g2 ON {digits("g2.lga_code_2016")} = {digits("g1.lga_code_2016")}
-)"""
+_PEOPLE = oracle_analysis.PEOPLE.strip()
 
 
 @register("join_digits_key", with_base(f"""
@@ -294,17 +241,15 @@ def q_join_digits_key(spark, sf):
     return a.join(b, "lga_code_key")
 
 
-@register("age_band_shares", with_base("SELECT * FROM census_demo", _DEMO_SQL.strip()))
+@register("age_band_shares", with_base("SELECT * FROM census_demo", _PEOPLE))
 def q_age_band_shares(spark, sf):
     L = _L(spark, sf)
     return analysis.census_demographics(L.census_g01, L.census_g02)
 
 
 @register("left_demographics", with_base("""
-SELECT s.grp, s.lga_code_key, s.lga_name, d.average_household_size, d.pct_age_25_34
-FROM (SELECT 'top3' AS grp, * FROM q1_top UNION ALL SELECT 'bottom3' AS grp, * FROM q1_bottom) s
-LEFT JOIN census_demo d ON d.lga_code_key = s.lga_code_key""",
-    _TRAILING.strip(), _Q1_CTES.strip(), _DEMO_SQL.strip()))
+SELECT grp, t.lga_code_key, t.lga_name, average_household_size, pct_age_25_34
+FROM area_tagged t LEFT JOIN census_demo USING (lga_code_key)""", _AREAS, _PEOPLE))
 def q_left_demographics(spark, sf):
     L = _L(spark, sf)
     s = analysis.tagged_top_bottom(_lga_perf(L))
@@ -315,11 +260,11 @@ def q_left_demographics(spark, sf):
 
 @register("left_lookup", with_base("""
 SELECT c.listing_id, c.scraped_date, m.lga_name, m.lga_code_key
-FROM airbnb_cleaned c LEFT JOIN suburb_to_lga m
+FROM airbnb_cleaned c LEFT JOIN place m
   ON lower(trim(c.listing_neighbourhood)) = m.suburb_key"""))
 def q_left_lookup(spark, sf):
     L = _L(spark, sf)
-    stl = analysis.suburb_to_lga(L.lga_suburb, L.lga_code).select("suburb_key", "lga_name", "lga_code_key")
+    stl = analysis.suburb_areas(L.lga_suburb, L.lga_code).select("suburb_key", "lga_name", "lga_code_key")
     c = L.listings.select("listing_id", "scraped_date",
                           lower_trim(F.col("listing_neighbourhood")).alias("suburb_key"))
     return c.join(stl, "suburb_key", "left").drop("suburb_key")
@@ -327,12 +272,12 @@ def q_left_lookup(spark, sf):
 
 @register("left_not_null", with_base("""
 SELECT c.listing_id, c.host_id, m.lga_code_key
-FROM airbnb_cleaned c LEFT JOIN suburb_to_lga m
+FROM airbnb_cleaned c LEFT JOIN place m
   ON lower(trim(c.listing_neighbourhood)) = m.suburb_key
 WHERE m.lga_code_key IS NOT NULL"""))
 def q_left_not_null(spark, sf):
     L = _L(spark, sf)
-    stl = analysis.suburb_to_lga(L.lga_suburb, L.lga_code).select("suburb_key", "lga_code_key")
+    stl = analysis.suburb_areas(L.lga_suburb, L.lga_code).select("suburb_key", "lga_code_key")
     c = L.listings.select("listing_id", "host_id",
                           lower_trim(F.col("listing_neighbourhood")).alias("suburb_key"))
     # written as left join + NOT NULL; Catalyst plans it as an inner join
@@ -351,149 +296,53 @@ def q_scd2_double_asof(spark, sf):
     return e.select("listing_id", "scraped_date", "listing_neighbourhood", "host_is_superhost")
 
 
-_Q5_CTES = f"""
-q5_recent AS (
-  SELECT * FROM last_12m
-  WHERE listing_neighbourhood IS NOT NULL AND trim(listing_neighbourhood) <> ''
-),
-q5_rows AS (
-  SELECT * FROM (
-    SELECT t.*, {MONTH} AS month_start,
-      row_number() OVER (PARTITION BY t.listing_id, date_trunc('month', t.scraped_date)
-                         ORDER BY t.scraped_date DESC) AS rn
-    FROM q5_recent t) z
-  WHERE rn = 1
-),
-q5_lga AS (
-  SELECT r.listing_id, r.host_id, r.month_start, m.lga_name, m.lga_code_key,
-    {stays_clamped("r.availability_30")} AS stays_30,
-    CAST(coalesce({sql_cents("r.price")}, 0) * {stays_clamped("r.availability_30")} AS DECIMAL(38,0)) AS rev_c
-  FROM q5_rows r
-  JOIN (SELECT DISTINCT suburb_key, lga_name, lga_code_key FROM suburb_to_lga) m
-    ON lower(trim(r.listing_neighbourhood)) = m.suburb_key
-),
-q5_revenue AS (
-  SELECT listing_id, host_id, CAST(sum(stays_30) AS BIGINT) AS stays_12m,
-    CAST(sum(rev_c) AS DECIMAL(38,0)) AS rev_12m_c
-  FROM q5_lga GROUP BY 1, 2 HAVING sum(stays_30) > 0
-),
-q5_listing_lga AS (
-  SELECT listing_id, lga_name, lga_code_key FROM (
-    SELECT *, row_number() OVER (PARTITION BY listing_id ORDER BY month_start DESC,
-      lga_code_key ASC NULLS LAST, lga_name ASC NULLS LAST) AS rn
-    FROM q5_lga) z
-  WHERE rn = 1
-),
-q5_owner AS (
-  SELECT * FROM (
-    SELECT listing_id, host_id,
-      row_number() OVER (PARTITION BY listing_id ORDER BY scraped_date DESC) AS rn
-    FROM airbnb_cleaned) z
-  WHERE rn = 1
-),
-q5_single AS (
-  SELECT host_id FROM q5_owner GROUP BY host_id HAVING count(DISTINCT listing_id) = 1
-)"""
+_COVERAGE = oracle_analysis.COVERAGE.strip()
 
 
 @register("join_using", with_base(
-    "SELECT r.host_id, r.listing_id, r.rev_12m_c FROM q5_revenue r JOIN q5_single s USING (host_id)",
-    _TRAILING.strip(), _Q5_CTES.strip()))
+    "SELECT host_id, listing_id, rev_12m_c FROM earned JOIN single USING (host_id)", _COVERAGE))
 def q_join_using(spark, sf):
     L = _L(spark, sf)
     rows = analysis.coverage_rows(L.listings, L.lga_suburb, L.lga_code)
-    return (analysis.listing_revenue_12m(rows).join(analysis.single_listing_hosts(L.listings), "host_id")
+    return (analysis.earned_12m(rows).join(analysis.sole_owners(L.listings), "host_id")
             .select("host_id", "listing_id", "rev_12m_c"))
 
 
-@register("covers_flag", with_base(f"""
-SELECT r.host_id, r.listing_id, ll.lga_name, ll.lga_code_key,
-  CAST(r.rev_12m_c AS DOUBLE) / 100 AS revenue_12m,
-  CAST(g.median_mortgage_repay_monthly * 12 AS BIGINT) AS annual_mortgage,
-  CASE WHEN r.rev_12m_c >= CAST(g.median_mortgage_repay_monthly AS HUGEINT) * 1200
-       THEN 1 ELSE 0 END AS covers_flag
-FROM q5_revenue r JOIN q5_single s USING (host_id)
-JOIN q5_listing_lga ll USING (listing_id)
-JOIN census_g02_cleaned g ON {digits("g.lga_code_2016")} = ll.lga_code_key""",
-    _TRAILING.strip(), _Q5_CTES.strip()))
+@register("covers_flag", with_base("""
+SELECT host_id, listing_id, lga_name, lga_code_key, CAST(rev_12m_c AS DOUBLE) / 100 AS revenue_12m,
+  CAST(pay * 12 AS BIGINT) AS annual_mortgage, covers_flag
+FROM cover""", _COVERAGE))
 def q_covers_flag(spark, sf):
     L = _L(spark, sf)
-    return analysis.host_vs_mortgage(L.listings, L.lga_suburb, L.lga_code, L.census_g02)
-
-
-_Q3_CTES = f"""
-q3_listing AS (
-  SELECT listing_id, lower(trim(listing_neighbourhood)) AS suburb_key, property_type, room_type,
-    accommodates, CAST(sum({stays_clamped("availability_30")}) AS BIGINT) AS total_stays,
-    CAST(sum({sql_cents("price")} * {stays_clamped("availability_30")}) AS DECIMAL(38,0)) AS rev_c
-  FROM airbnb_cleaned GROUP BY 1, 2, 3, 4, 5
-  HAVING sum({stays_clamped("availability_30")}) > 0
-),
-q3_top5 AS (
-  SELECT suburb_key FROM (
-    SELECT suburb_key, {quotient("sum(rev_c)", "count(rev_c) * 100")} AS avg_rev
-    FROM q3_listing GROUP BY 1) z
-  ORDER BY avg_rev DESC NULLS LAST, suburb_key ASC NULLS LAST LIMIT 5
-)"""
+    return analysis.mortgage_cover(L.listings, L.lga_suburb, L.lga_code, L.census_g02)
+
 
+_KINDS = oracle_analysis.KINDS.strip()
 
-@register("semi_restrict", with_base(
-    "SELECT * FROM q3_listing WHERE suburb_key IN (SELECT suburb_key FROM q3_top5)",
-    _Q3_CTES.strip()))
+
+@register("semi_restrict", with_base("SELECT * FROM kind SEMI JOIN hood_top USING (suburb_key)", _KINDS))
 def q_semi_restrict(spark, sf):
     perf = analysis.listing_type_performance(_L(spark, sf).listings)
     return perf.join(analysis.top_neighbourhoods(perf).select("suburb_key"), "suburb_key", "left_semi")
 
 
-@register("best_combo_per_group", with_base("""
-SELECT suburb_key, property_type, room_type, accommodates, total_stays FROM (
-  SELECT *, row_number() OVER (PARTITION BY suburb_key ORDER BY total_stays DESC,
-    property_type ASC NULLS LAST, room_type ASC NULLS LAST, accommodates ASC NULLS LAST) AS rnk
-  FROM (SELECT suburb_key, property_type, room_type, accommodates,
-          CAST(sum(total_stays) AS BIGINT) AS total_stays
-        FROM q3_listing GROUP BY 1, 2, 3, 4) t) z
-WHERE rnk = 1""", _Q3_CTES.strip()))
+@register("best_combo_per_group", with_base("SELECT * FROM kind_best", _KINDS))
 def q_best_combo_per_group(spark, sf):
     perf = analysis.listing_type_performance(_L(spark, sf).listings)
     return analysis.best_combo_per_neighbourhood(perf)
 
 
-_Q2_PERF = f"""
-q2_rows AS (
-  SELECT listing_id, lower(trim(listing_neighbourhood)) AS suburb_key,
-    {stays_clamped("availability_30")} AS stays_30,
-    coalesce({sql_cents("price")}, 0) * {stays_clamped("availability_30")} AS rev_c
-  FROM airbnb_cleaned
-  WHERE listing_neighbourhood IS NOT NULL AND listing_neighbourhood <> ''
-),
-q2_listing AS (
-  SELECT listing_id, suburb_key, sum(stays_30) AS stays_total, sum(rev_c) AS rev_c
-  FROM q2_rows GROUP BY 1, 2
-),
-q2_perf AS (
-  SELECT suburb_key, {quotient("sum(rev_c)", "count(*) * 100")} AS revenue_per_active_listing
-  FROM q2_listing WHERE stays_total > 0 GROUP BY 1
-),
-q2_age AS (
-  SELECT m.suburb_key, {quotient("sum(g.median_age_persons)", "count(g.median_age_persons)")}
-    AS median_age
-  FROM (SELECT DISTINCT suburb_key, lga_code_key FROM suburb_to_lga) m
-  JOIN census_g02_cleaned g ON {digits("g.lga_code_2016")} = m.lga_code_key
-  GROUP BY m.suburb_key
-)"""
+_HOODS = oracle_analysis.HOODS.strip()
 
 
-@register("join_aggregates", with_base("""
-SELECT p.suburb_key, p.revenue_per_active_listing, a.median_age
-FROM q2_perf p JOIN q2_age a ON a.suburb_key = p.suburb_key
-WHERE p.revenue_per_active_listing IS NOT NULL AND a.median_age IS NOT NULL""", _Q2_PERF.strip()))
+@register("join_aggregates", with_base("SELECT * FROM hood_pair", _HOODS))
 def q_join_aggregates(spark, sf):
     L = _L(spark, sf)
     return analysis.age_revenue_pairs(L.listings, L.lga_suburb, L.lga_code, L.census_g02)
 
 
 @register("sort_metric", with_base(
-    "SELECT * FROM q2_perf ORDER BY revenue_per_active_listing DESC", _Q2_PERF.strip()))
+    "SELECT * FROM hood_score ORDER BY revenue_per_active_listing DESC", _HOODS))
 def q_sort_metric(spark, sf):
     return (analysis.neighbourhood_revenue(_L(spark, sf).listings)
             .orderBy(F.col("revenue_per_active_listing").desc()))

@@ -34,10 +34,10 @@ def areas(spark):
     return silver.silver_lga_suburb(sub), silver.silver_lga_code(code)
 
 
-def test_suburb_to_lga_normalises_and_fans_out(spark):
+def test_suburb_areas_normalises_and_fans_out(spark):
     sub, code = areas(spark)
     got = sorted((r.suburb_key, r.lga_code_key)
-                 for r in analysis.suburb_to_lga(sub, code).collect())
+                 for r in analysis.suburb_areas(sub, code).collect())
     # padded / mixed case names match; o'connor lies in two LGAs; 'Lost' has no LGA code
     assert got == [("alpha", "10050"), ("beta", "10060"), ("o'connor", "10050"), ("o'connor", "10060")]
 
