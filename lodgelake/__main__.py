@@ -19,7 +19,7 @@ import argparse
 from lodgelake import schemas
 from lodgelake.plans import analysis, marts
 from lodgelake.plans.layers import Layers, MaterialisedLayers
-from lodgelake.session import build_session, scratch_path
+from lodgelake.session import cluster_session, scratch_path
 from lodgelake.sources import files, ingest
 
 CENSUS_KINDS = ["census_g01", "census_g02", "nsw_lga_suburb", "nsw_lga_code"]
@@ -42,15 +42,7 @@ def load(spark, landing: str, warehouse: str, monthly: bool) -> None:
         ingest.load_next_month(spark, landing, f"{bronze}/airbnb_raw", ledger,
                                scratch_path(spark, "staged"))
         return
-    done = ingest.processed_files(spark, ledger)
-    todo = [n for n in files.month_files_sorted(files.select_files(names)) if n not in done]
-    if not todo:
-        return
-    text = ingest.read_csv_text(spark, [f"{landing.rstrip('/')}/{n}" for n in todo])
-    typed = ingest.type_listings(text)
-    good = typed.where(typed.scraped_date.isNotNull())
-    ingest.append_insert_ignore(spark, f"{bronze}/airbnb_raw", good, scratch_path(spark, "staged"))
-    ingest.record_files(ledger, ingest.ledger_rows(text, typed))
+    ingest.load_pending(spark, landing, f"{bronze}/airbnb_raw", ledger, scratch_path(spark, "staged"))
 
 
 def bronze_tables(spark, warehouse: str):
@@ -68,9 +60,8 @@ def build(spark, warehouse: str, sf_dir: str | None) -> MaterialisedLayers:
     return MaterialisedLayers.build(layers, f"{warehouse.rstrip('/')}/tables")
 
 
-def report(spark, warehouse: str, out: str, fmt: str, sf_dir: str | None) -> None:
-    layers = Layers(spark, sf_dir) if sf_dir else Layers(spark, bronze=bronze_tables(spark, warehouse))
-    L = MaterialisedLayers(spark, f"{warehouse.rstrip('/')}/tables", layers)
+def report(spark, warehouse: str, out: str, fmt: str) -> None:
+    L = MaterialisedLayers(spark, f"{warehouse.rstrip('/')}/tables")
     results = {
         "dm_listing_neighbourhood": marts.listing_neighbourhood_kpis(L.fact_month),
         "dm_property_type": marts.property_type_kpis(L.fact_month),
@@ -107,15 +98,14 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--warehouse", required=True)
     p.add_argument("--out", required=True)
     p.add_argument("--format", default="parquet", choices=["parquet", "csv"])
-    p.add_argument("--sf-dir")
     args = ap.parse_args(argv)
-    spark = build_session()
+    spark = cluster_session()  # master and sizes as submitted
     if args.cmd == "load":
         load(spark, args.landing, args.warehouse, args.monthly)
     elif args.cmd == "build":
         build(spark, args.warehouse, args.sf_dir)
     else:
-        report(spark, args.warehouse, args.out, args.format, args.sf_dir)
+        report(spark, args.warehouse, args.out, args.format)
 
 
 if __name__ == "__main__":

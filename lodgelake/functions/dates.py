@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lodgelake.functions.text import null_sentinels
 
-# --- fixed values: accepted date layouts ---
-DAY_FIRST = "d/M/yyyy"
-MONTH_FIRST = "M/d/yyyy"
+# --- fixed values: accepted date layouts, the same for every loader ---
+SLASH_DAY_FIRST = "d/M/yyyy"
+DAY_FIRST = [SLASH_DAY_FIRST, "d-M-yyyy"]
+MONTH_FIRST = ["M/d/yyyy", "M-d-yyyy"]
 ISO = "yyyy-MM-dd"
-# the generic fallback of the bulk loader, written out as a list
-FALLBACK_LAYOUTS = ["yyyy-MM-dd HH:mm:ss", "M/d/yyyy", "d-M-yyyy", "yyyy/MM/dd"]
+# year first or month by name: no doubt about the order
+CERTAIN = [ISO, "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy/MM/dd",
+           "d MMM yyyy", "d MMMM yyyy", "MMM d, yyyy", "MMMM d, yyyy"]
 
 
 def to_date_exact(s: Column, layout: str) -> Column:
@@ -20,6 +24,11 @@ def to_date_exact(s: Column, layout: str) -> Column:
     return F.try_to_date(s, layout)
 
 
+def first_date(s: Column, layouts: Sequence[str]) -> Column:
+    """The reading of the first layout that fits; NULL when none does."""
+    return F.coalesce(*[to_date_exact(s, f) for f in layouts])
+
+
 def month_bucket(d: Column) -> Column:
     """First day of the month, as a date."""
     return F.trunc(d, "month")
@@ -36,31 +45,30 @@ def minus_months(d: Column, n: int) -> Column:
 
 
 def parse_date_cascade(s: Column) -> Column:
-    """Day-first, then ISO, then the fallback layouts; NULL when none fits."""
+    """Bulk loads: day-first with slashes, then certain layouts, then the generic
+    reading (month-first, else day-first); NULL when none fits."""
     t = null_sentinels(s)
-    tries = [to_date_exact(t, DAY_FIRST), to_date_exact(t, ISO)]
-    tries += [to_date_exact(t, f) for f in FALLBACK_LAYOUTS]
-    return F.coalesce(*tries)
+    return first_date(t, [SLASH_DAY_FIRST, *CERTAIN, *MONTH_FIRST, *DAY_FIRST])
 
 
 def parse_date_dayfirst(s: Column) -> Column:
-    """Day-first with ISO fallback (host_since of the monthly loader)."""
+    """Day-first, then certain layouts, then month-first (host_since of the
+    monthly loader).  ISO dates stay ISO."""
     t = null_sentinels(s)
-    return F.coalesce(to_date_exact(t, DAY_FIRST), to_date_exact(t, ISO))
+    return first_date(t, [*DAY_FIRST, *CERTAIN, *MONTH_FIRST])
 
 
 def parse_date_month_locked(s: Column, file_month: Column) -> Column:
     """Resolve an ambiguous a/b/yyyy date with the month the file is for.
 
     Day-first wins when its month equals the file month, else month-first when
-    its month does; otherwise a strict ISO date is taken (its month is not
-    checked).  Without a file month only the ISO reading is used.
+    its month does; otherwise a certain layout is taken (its month is not
+    checked).  Without a file month only certain layouts are read.
     """
     t = null_sentinels(s)
-    d1 = F.coalesce(to_date_exact(t, DAY_FIRST), to_date_exact(t, ISO))
-    d2 = F.coalesce(to_date_exact(t, MONTH_FIRST), to_date_exact(t, ISO))
+    d1, d2 = first_date(t, DAY_FIRST), first_date(t, MONTH_FIRST)
     return F.coalesce(
         F.when(F.month(d1) == file_month, d1),
         F.when(F.month(d2) == file_month, d2),
-        to_date_exact(t, ISO),
+        first_date(t, CERTAIN),
     )

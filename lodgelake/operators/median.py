@@ -1,10 +1,10 @@
-"""Exact median per group without buffering a group's values.
+"""Exact median per group without holding a group in one task.
 
-The values are first counted per (group, value) - a hash aggregation that
-combines map-side, so a hot group is spread over its distinct values - then a
-running count over each group's sorted distinct values finds the two middle
-ones.  Memory per group is bounded by its number of distinct values (cents of a
-price: a bounded domain), never by its number of rows.  The result equals
+The values are counted per (group, value) - a hash aggregation that combines
+map-side.  The counts are summed again into buckets of ``WIDTH`` values; the
+running count over a group's buckets (their number is bounded by the range of
+the values, not by rows) finds the one or two buckets in which the middle ranks
+lie, and only inside those are single values ranked.  The result equals
 ``percentile_cont(0.5)``: the mean of the two middle values.
 """
 
@@ -15,23 +15,33 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Values (integers, e.g. cents) to a bucket.
+WIDTH = 1000
+
 
 def exact_median(df: DataFrame, keys: Sequence[str], value: Column,
                  name: str = "median") -> DataFrame:
     """keys..., name (double); groups without a non-NULL value are absent."""
     keys = list(keys)
-    hist = (df.select(*keys, value.alias("_v")).where(F.col("_v").isNotNull())
-            .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n")))
-    running = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding,
-                                                                   Window.currentRow)
-    whole = Window.partitionBy(*keys)
-    hist = (hist.withColumn("_cum", F.sum("_n").over(running))
-            .withColumn("_tot", F.sum("_n").over(whole)))
-    # 0-based ranks of the middle values: (tot-1) div 2 and tot div 2
-    lo_rank = F.floor((F.col("_tot") - 1) / 2)
-    hi_rank = F.floor(F.col("_tot") / 2)
-    mid = hist.groupBy(*keys).agg(
-        F.min(F.when(F.col("_cum") > lo_rank, F.col("_v"))).alias("_lo"),
-        F.min(F.when(F.col("_cum") > hi_rank, F.col("_v"))).alias("_hi"))
-    return mid.select(*keys, ((F.col("_lo").cast("double") + F.col("_hi").cast("double")) / 2)
-                      .alias(name))
+    counts = (df.select(*keys, value.alias("_v")).where(F.col("_v").isNotNull())
+              .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
+              .withColumn("_b", F.floor(F.col("_v") / WIDTH)))
+    buckets = counts.groupBy(*keys, "_b").agg(F.sum("_n").alias("_bn"))
+    upto = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    group = Window.partitionBy(*keys)
+    # 0-based ranks of the middle values: (all-1) div 2 and all div 2
+    low, high = F.floor((F.col("_all") - 1) / 2), F.floor(F.col("_all") / 2)
+    middle = (
+        buckets.withColumn("_upto", F.sum("_bn").over(upto)).withColumn("_all", F.sum("_bn").over(group))
+        .withColumn("_before", F.col("_upto") - F.col("_bn"))
+        .where((F.col("_upto") > low) & (F.col("_before") <= high))
+        .select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_b").alias("_mb"), "_before", "_all"))
+    same = F.col("_b") == F.col("_mb")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    inside = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counts.join(middle, same).withColumn("_cum", F.col("_before") + F.sum("_n").over(inside))
+    picked = ranked.groupBy(*keys).agg(
+        F.min(F.when(F.col("_cum") > low, F.col("_v"))).alias("_lo"),
+        F.min(F.when(F.col("_cum") > high, F.col("_v"))).alias("_hi"))
+    return picked.select(*keys, ((F.col("_lo").cast("double") + F.col("_hi").cast("double")) / 2).alias(name))

@@ -46,7 +46,8 @@ def apply_batch(history: DataFrame, batch: DataFrame, key: str, attrs: Sequence[
                 as_of: Column | None = None) -> DataFrame:
     """Merge a batch into a history (incremental snapshot run).
 
-    Batch rows newer than the key's open version become new versions (several
+    Batch rows newer than all of the key's versions (also those that a hard
+    delete has closed: not before their end) become new versions (several
     new timestamps are chained); the open version is closed at the first of
     them.  With ``invalidate_hard_deletes`` an open version whose key is absent
     from the batch is closed at ``as_of`` (default: the batch's latest ts).
@@ -55,9 +56,10 @@ def apply_batch(history: DataFrame, batch: DataFrame, key: str, attrs: Sequence[
     cols = history.columns
     open_v = current(history)
     closed_v = history.where(F.col(TO).isNotNull())
-    last = open_v.select(key, F.col(ts).alias("_last"))
+    last = history.groupBy(key).agg(F.max(FROM).alias("_last"), F.max(TO).alias("_ended"))
     fresh = _one_per_timestamp(batch, key, attrs, ts).join(last, key, "left")
-    fresh = fresh.where(F.col("_last").isNull() | (F.col(ts) > F.col("_last"))).drop("_last")
+    later = (F.col(ts) > F.col("_last")) & (F.col("_ended").isNull() | (F.col(ts) >= F.col("_ended")))
+    fresh = fresh.where(F.col("_last").isNull() | later).drop("_last", "_ended")
     w = Window.partitionBy(key).orderBy(ts)
     new_v = fresh.withColumn(FROM, F.col(ts)).withColumn(TO, F.lead(ts).over(w))
     first_new = fresh.groupBy(key).agg(F.min(ts).alias("_first_new"))

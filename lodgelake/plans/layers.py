@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lodgelake.plans import marts, silver, star
 from lodgelake.plans.analysis import PARTITION_COL
-from lodgelake.session import pin_session, size_shuffle_partitions
+from lodgelake.session import pin_session
 from lodgelake.sources import testdata
 
 
@@ -29,10 +29,7 @@ class Layers:
         self.spark, self.sf_dir = spark, sf_dir
         if bronze is not None:
             self.__dict__["bronze"] = bronze
-        elif sf_dir is not None:
-            size_shuffle_partitions(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet"
-                                            for t in ("lineitem", "orders", "customer", "part")])
-        else:
+        elif sf_dir is None:
             raise ValueError("give sf_dir or bronze tables")
 
     # bronze
@@ -72,11 +69,11 @@ class Layers:
     # history + star
     @cached_property
     def host_history(self) -> DataFrame:
-        return star.host_history(self.dim_host_silver)
+        return star.host_history(self.listings)
 
     @cached_property
     def property_history(self) -> DataFrame:
-        return star.property_history(self.dim_property_silver)
+        return star.property_history(self.listings)
 
     @cached_property
     def fact(self) -> DataFrame:
@@ -86,21 +83,20 @@ class Layers:
 class MaterialisedLayers:
     """The same layers read back from Parquet tables written once.
 
-    ``build`` writes each table from the one before it (bronze -> silver ->
-    history/fact), so every step starts from a written table: the lineage is
+    ``build`` writes each table from the one before it (silver -> history/fact ->
+    star; the loaded bronze is not copied), so every step starts from a written table: the lineage is
     cut, a lost executor recomputes at most one step, and each table is read
     with column pruning and predicate pushdown afterwards.
     """
 
-    TABLES = ["airbnb_raw", "listings", "host_history", "property_history", "fact", "fact_month"]
+    TABLES = ["listings", "dim_host_silver", "dim_property_silver", "census_g01", "census_g02", "lga_code",
+              "lga_suburb", "host_history", "property_history", "fact", "fact_month", "dim_host", "dim_listing",
+              "dim_suburb", "dim_lga"]
 
-    def __init__(self, spark: SparkSession, base: str, layers: Layers):
+    def __init__(self, spark: SparkSession, base: str):
         self.spark, self.base = spark, base.rstrip("/")
         for name in self.TABLES:
             setattr(self, name, spark.read.parquet(f"{self.base}/{name}"))
-        # area/census reference tables are a few rows per area: read in place
-        for name in ("census_g01", "census_g02", "lga_code", "lga_suburb"):
-            setattr(self, name, getattr(layers, name))
 
     @classmethod
     def build(cls, layers: Layers, base: str) -> "MaterialisedLayers":
@@ -118,11 +114,20 @@ class MaterialisedLayers:
             return spark.read.parquet(path)
 
         # only the listings are read selectively (trailing-window analyses), so
-        # only they are partitioned by month; bronze and fact are read whole
-        raw = put("airbnb_raw", layers.bronze["airbnb_raw"])
-        listings = put("listings", silver.silver_listings(raw), by_month=True)
-        hh = put("host_history", star.host_history(silver.silver_dim_host(listings)))
-        ph = put("property_history", star.property_history(silver.silver_dim_property(listings)))
+        # only they are partitioned by month; the fact is read whole
+        listings = put("listings", layers.listings, by_month=True)
+        put("dim_host_silver", silver.silver_dim_host(listings))
+        put("dim_property_silver", silver.silver_dim_property(listings))
+        put("census_g01", layers.census_g01)
+        put("census_g02", layers.census_g02)
+        codes = put("lga_code", layers.lga_code)
+        suburbs = put("lga_suburb", layers.lga_suburb)
+        hh = put("host_history", star.host_history(listings))
+        ph = put("property_history", star.property_history(listings))
         fact = put("fact", star.fact_listings(listings))
         put("fact_month", marts.monthly_fact(fact, ph, hh))
-        return cls(spark, base, layers)
+        put("dim_host", star.dim_host_current(hh))
+        put("dim_listing", star.dim_listing(ph))
+        put("dim_suburb", star.dim_suburb(suburbs))
+        put("dim_lga", star.dim_lga(codes))
+        return cls(spark, base)

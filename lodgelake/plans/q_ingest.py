@@ -20,7 +20,7 @@ from lodgelake.plans.catalog import register
 from lodgelake.plans.layers import Layers
 from lodgelake.plans.oracle_sql import with_base
 from lodgelake.plans.oracle_analysis import HOST_MART
-from lodgelake.session import input_bytes, scratch_path
+from lodgelake.session import scratch_path
 from lodgelake.sources import files, ingest, testdata
 
 # --- fixed values: names of the census and mapping drops ---
@@ -66,10 +66,8 @@ def landing(spark: SparkSession, sf: str) -> str:
     if key in _LANDINGS:
         return _LANDINGS[key]
     land = scratch_path(spark, "landing")
-    # about one file per 64 MB of line items and month, at least two
-    parts = max(2, input_bytes(spark, [f"{sf.rstrip('/')}/lineitem.parquet"]) // (64 << 20) + 1)
     files.write_month_files(spark, listing_text(spark, sf), land, scratch_path(spark, "staging"),
-                            date_col="_date", order_cols=EXTRA + ["_junk"], parts=int(parts))
+                            date_col="_date", order_cols=EXTRA + ["_junk"])
     bronze = testdata.bronze_tables(spark, sf)
     for kind, name in CENSUS_FILES.items():
         df = bronze[kind]
@@ -139,7 +137,7 @@ _LISTING_COLS = ", ".join(schemas.LISTING_COLUMNS)
 
 @register("scan_csv", with_base(f"SELECT {_LISTING_COLS} FROM text_rows", _TEXT_ROWS.strip()))
 def q_scan_csv(spark, sf):
-    text = ingest.read_csv_text(spark, _listing_paths(spark, sf))
+    text = ingest.read_csv_text(spark, _listing_paths(spark, sf), schemas.LISTING_COLUMNS)
     return ingest.project(text, schemas.LISTING_COLUMNS)
 
 
@@ -154,17 +152,17 @@ def q_select_files(spark, sf):
 
 
 @register("concat_files", with_base(
-    f"SELECT {_LISTING_COLS} FROM loaded_rows WHERE year(scraped_date) = 1996", _LOADED.strip()))
+    f"SELECT {_LISTING_COLS} FROM loaded_rows", _LOADED.strip()))
 def q_concat_files(spark, sf):
-    # the twelve month drops of one year, read as one relation
-    text = ingest.read_csv_text(spark, _listing_paths(spark, sf, year=1996))
+    # all month drops, read as one relation
+    text = ingest.read_csv_text(spark, _listing_paths(spark, sf), schemas.LISTING_COLUMNS)
     typed = ingest.type_listings(text)
     return typed.where(F.col("scraped_date").isNotNull()).select(*schemas.LISTING_COLUMNS)
 
 
 @register("load_projection", with_base(f"SELECT {_LISTING_COLS} FROM loaded_rows", _LOADED.strip()))
 def q_load_projection(spark, sf):
-    text = ingest.read_csv_text(spark, _listing_paths(spark, sf))
+    text = ingest.read_csv_text(spark, _listing_paths(spark, sf), schemas.LISTING_COLUMNS)
     typed = ingest.type_listings(text)
     return typed.where(F.col("scraped_date").isNotNull()).select(*schemas.LISTING_COLUMNS)
 
@@ -173,7 +171,7 @@ def q_load_projection(spark, sf):
     "SELECT listing_id, scraped_date, nullif(host_is_superhost, 'NaN') AS host_is_superhost, "
     "host_since, availability_30 FROM text_rows", _TEXT_ROWS.strip()))
 def q_null_normalise(spark, sf):
-    text = ingest.read_csv_text(spark, _listing_paths(spark, sf))
+    text = ingest.read_csv_text(spark, _listing_paths(spark, sf), schemas.LISTING_COLUMNS)
     cols = ["listing_id", "scraped_date", "host_is_superhost", "host_since", "availability_30"]
     return ingest.null_tokens(text.select(*cols))
 
@@ -182,7 +180,7 @@ def q_null_normalise(spark, sf):
     "SELECT CAST(year(true_date) AS INTEGER) AS yyyy, CAST(month(true_date) AS INTEGER) AS mm, "
     "count(*) AS n_rows FROM text_rows GROUP BY 1, 2 ORDER BY 1, 2", _TEXT_ROWS.strip()))
 def q_month_from_filename(spark, sf):
-    text = ingest.read_csv_text(spark, _listing_paths(spark, sf))
+    text = ingest.read_csv_text(spark, _listing_paths(spark, sf), schemas.LISTING_COLUMNS)
     f = F.col("_file")
     return (text.select(files.file_year(f).alias("yyyy"), files.file_month(f).alias("mm"))
             .where(F.col("mm").isNotNull())
@@ -194,7 +192,7 @@ SELECT count(*) AS rows_read, CAST(count_if(junk = 1) AS BIGINT) AS rows_dropped
   CAST(count_if(junk = 0) AS BIGINT) AS rows_kept
 FROM text_rows""", _TEXT_ROWS.strip()))
 def q_load_quality(spark, sf):
-    typed = ingest.type_listings(ingest.read_csv_text(spark, _listing_paths(spark, sf)))
+    typed = ingest.type_listings(ingest.read_csv_text(spark, _listing_paths(spark, sf), schemas.LISTING_COLUMNS))
     return ingest.quality_summary(typed)
 
 
@@ -203,10 +201,10 @@ SELECT CAST(year(true_date) AS INTEGER) AS yyyy, CAST(month(true_date) AS INTEGE
   count(*) AS rows_read, CAST(count_if(junk = 0) AS BIGINT) AS rows_valid
 FROM text_rows GROUP BY 1, 2""", _TEXT_ROWS.strip()))
 def q_file_ledger(spark, sf):
-    text = ingest.read_csv_text(spark, _listing_paths(spark, sf))
+    text = ingest.read_csv_text(spark, _listing_paths(spark, sf), schemas.LISTING_COLUMNS)
     typed = ingest.type_listings(text)
     ledger = scratch_path(spark, "ledger")
-    ingest.record_files(ledger, ingest.ledger_rows(text, typed))
+    ingest.record_files(ledger, ingest.ledger_rows(typed))
     led = spark.read.parquet(ledger)
     return led.groupBy("yyyy", "mm").agg(F.sum("rows_read").alias("rows_read"),
                                          F.sum("rows_valid").alias("rows_valid"))
@@ -216,7 +214,7 @@ def q_file_ledger(spark, sf):
 SELECT listing_id, scraped_date, count(*) AS copies FROM loaded_rows
 GROUP BY 1, 2 HAVING count(*) > 1""", _LOADED.strip()))
 def q_unique_violations(spark, sf):
-    typed = ingest.type_listings(ingest.read_csv_text(spark, _listing_paths(spark, sf)))
+    typed = ingest.type_listings(ingest.read_csv_text(spark, _listing_paths(spark, sf), schemas.LISTING_COLUMNS))
     keyed = typed.where(F.col("listing_id").isNotNull() & F.col("scraped_date").isNotNull())
     return (keyed.groupBy("listing_id", "scraped_date").agg(F.count(F.lit(1)).alias("copies"))
             .where(F.col("copies") > 1))
@@ -230,7 +228,7 @@ def q_insert_ignore(spark, sf):
     for year_filter in (lambda y: y < 1998, lambda y: True):
         paths = [p for p in _listing_paths(spark, sf)
                  if year_filter(files.month_of_name(p.rsplit("/", 1)[1])[0])]
-        typed = ingest.type_listings(ingest.read_csv_text(spark, paths))
+        typed = ingest.type_listings(ingest.read_csv_text(spark, paths, schemas.LISTING_COLUMNS))
         good, _ = ingest.quality_split(typed)
         ingest.append_insert_ignore(spark, bronze, good, scratch_path(spark, "staged"))
     return ingest.read_bronze(spark, bronze)
@@ -244,18 +242,18 @@ def q_next_month_load(spark, sf):
     month in calendar order (January 1996) and nothing else."""
     land = landing(spark, sf)
     bronze, ledger = scratch_path(spark, "bronze"), scratch_path(spark, "ledger")
-    text = ingest.read_csv_text(spark, _listing_paths(spark, sf, year=1995))
+    text = ingest.read_csv_text(spark, _listing_paths(spark, sf, year=1995), schemas.LISTING_COLUMNS)
     typed = ingest.type_listings(text, month_locked=True)
     ingest.append_insert_ignore(spark, bronze, typed.where(F.col("scraped_date").isNotNull()),
                                 scratch_path(spark, "staged"))
-    ingest.record_files(ledger, ingest.ledger_rows(text, typed))
+    ingest.record_files(ledger, ingest.ledger_rows(typed))
     return ingest.load_next_month(spark, land, bronze, ledger, scratch_path(spark, "staged"))
 
 
 @register("full_refresh", with_base("SELECT * FROM census_g02"))
 def q_full_refresh(spark, sf):
     table = scratch_path(spark, "census_g02")
-    ingest.full_refresh(table, _census(spark, sf, "census_g01").limit(0))  # empty: skipped
+    ingest.full_refresh(table, _census(spark, sf, "census_g01").where(F.lit(False)))  # empty: skipped
     ingest.full_refresh(table, _census(spark, sf, "census_g02"))
     ingest.full_refresh(table, _census(spark, sf, "census_g02").where(F.lit(False)))  # stays
     return spark.read.parquet(table)

@@ -17,6 +17,7 @@ from lodgelake.functions import (
 )
 from lodgelake.operators import scd2
 from lodgelake.operators.dedupe import latest_per_key, top1_window
+from lodgelake.operators.median import exact_median
 from lodgelake.plans import analysis, marts, oracle_analysis
 from lodgelake.plans.catalog import register
 from lodgelake.plans.layers import Layers
@@ -130,7 +131,8 @@ FROM fact_listings f JOIN property_snapshot a ON f.listing_id = a.listing_id
 def q_asof_predicate(spark, sf):
     L = _L(spark, sf)
     return scd2.asof_join(L.fact.select("listing_id", "scraped_date"), L.property_history,
-                          "listing_id", "scraped_date", [], how="inner", keep_validity=True)
+                          "listing_id", "scraped_date", [], how="inner", keep_validity=True,
+                          bounded_per_key=True)
 
 
 def _availability_label(a):
@@ -465,9 +467,13 @@ FROM airbnb_cleaned GROUP BY 1, 2"""))
 def q_agg_median_filter(spark, sf):
     act = F.col("has_availability") == "t"
     c = _L(spark, sf).listings
-    return (c.groupBy("listing_neighbourhood", month_bucket(F.col("scraped_date")).alias("month_start"))
-            .agg((F.percentile(F.when(act, cents(F.col("price"))), F.lit(0.5)) / 100)
-                 .alias("median_active_price")))
+    keys = ["listing_neighbourhood", "month_start"]
+    c = c.withColumn("month_start", month_bucket(F.col("scraped_date")))
+    med = exact_median(c.where(act), keys, cents(F.col("price")), "_cents")
+    med = med.select(*[F.col(k).alias(f"_{k}") for k in keys], "_cents")
+    groups = c.select(*keys).distinct()  # a group without an active row has no median
+    return (groups.join(med, [groups[k].eqNullSafe(med[f"_{k}"]) for k in keys], "left")
+            .select(*keys, (F.col("_cents") / 100).alias("median_active_price")))
 
 
 @register("agg_global_max", with_base(

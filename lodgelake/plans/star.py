@@ -17,14 +17,17 @@ def with_updated_at(dim: DataFrame) -> DataFrame:
     return dim.withColumn("updated_at", F.col("scraped_date").cast("timestamp_ntz"))
 
 
-def host_history(dim_host: DataFrame) -> DataFrame:
-    return scd2.build_history(with_updated_at(dim_host), "host_id", HOST_ATTRS)
+def host_history(listings: DataFrame) -> DataFrame:
+    """From the listings, or their distinct host rows: the history keeps one
+    attribute set per host and date either way."""
+    rows = listings.select("host_id", *HOST_ATTRS, "scraped_date")
+    return scd2.build_history(with_updated_at(rows), "host_id", HOST_ATTRS)
 
 
-def property_history(dim_property: DataFrame) -> DataFrame:
-    # price is part of the silver dimension but not of the tracked attributes
-    return scd2.build_history(with_updated_at(dim_property.drop("price")), "listing_id",
-                              PROPERTY_ATTRS)
+def property_history(listings: DataFrame) -> DataFrame:
+    """As ``host_history``; price is not a tracked attribute."""
+    rows = listings.select("listing_id", *PROPERTY_ATTRS, "scraped_date")
+    return scd2.build_history(with_updated_at(rows), "listing_id", PROPERTY_ATTRS)
 
 
 def fact_listings(cleaned: DataFrame) -> DataFrame:

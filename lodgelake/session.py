@@ -8,6 +8,7 @@ build their own session and point that setting at a fresh local folder.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -45,62 +46,34 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def cluster_session(app_name: str = "lodgelake") -> SparkSession:
+    """The session as submitted: master, memory and partition counts are those
+    of spark-submit or of the session that runs already."""
+    spark = SparkSession.builder.appName(app_name).getOrCreate()
+    pin_session(spark)
+    return spark
+
+
 def pin_session(spark: SparkSession) -> None:
-    """Apply the runtime settings our plans rely on (idempotent, cheap)."""
-    for k, v in SCALE_CONFS.items():
-        try:
-            if spark.conf.get(k, None) != v:
-                spark.conf.set(k, v)
-        except Exception:  # some settings are static on managed clusters
-            pass
-
-
-# Target bytes per shuffle partition before AQE coalescing: partitions must fit
-# an executor core's share of memory with room for sort/aggregation buffers.
-TARGET_PARTITION_BYTES = 128 * 1024 * 1024
-# Upper bound: beyond this the map-output bookkeeping (maps x reducers) costs
-# more than larger partitions do; AQE splits any partition that is skewed.
-MAX_SHUFFLE_PARTITIONS = 100_000
-
-
-def input_bytes(spark: SparkSession, paths: list[str]) -> int:
-    """Total size of the input files (file-system metadata only)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    total = 0
-    for path in paths:
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(conf)
-        if fs.exists(p):
-            total += fs.getContentSummary(p).getLength()
-    return total
-
-
-def size_shuffle_partitions(spark: SparkSession, paths: list[str], expansion: float = 3.0) -> int:
-    """Raise the pre-coalesce shuffle partition count to fit the input.
-
-    Parquet expands roughly ``expansion`` times once decoded into shuffle rows;
-    AQE then coalesces partitions that turn out small, so over-sizing is cheap
-    while under-sizing spills.  Never lowers a configured value.
-    """
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    current = int(spark.conf.get(key, None) or spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(MAX_SHUFFLE_PARTITIONS,
-                 int(input_bytes(spark, paths) * expansion // TARGET_PARTITION_BYTES) + 1)
-    if wanted > current:
-        try:
-            spark.conf.set(key, str(wanted))
-        except Exception:
-            return current
-        return wanted
-    return current
+    """The one setting that results depend on; sizes and AQE stay the cluster's."""
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process (and share its folders)."""
+    return re.match(r"local($|\[)", spark.sparkContext.master) is not None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; create a local one only when unset."""
+    """The shared checkpoint folder of the session.  Where it is unset, a local
+    folder is made for a local master only; on a cluster that is an error, as
+    executors would write to their own disks."""
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
+        if not is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         current = tempfile.mkdtemp(prefix="lodgelake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if not sc.getCheckpointDir():

@@ -89,23 +89,19 @@ def _rename_parts(spark: SparkSession, staging: str, landing: str, naming) -> li
 
 
 def write_month_files(spark: SparkSession, rows: DataFrame, landing: str, staging: str,
-                      date_col: str, order_cols: list[str], prefix: str = "listings",
-                      parts: int | None = None) -> list[str]:
+                      date_col: str, order_cols: list[str], prefix: str = "listings") -> list[str]:
     """Write rows as monthly CSV drops named ``{prefix}_{part}_{MM}_{YYYY}.csv``.
 
-    Rows are hash-partitioned on (listing, date) so every copy of one key lands
-    in the same file, in ``order_cols`` order: "first row wins" is then
-    independent of the order in which files are loaded.  Headers are upper-case
-    as in the source system.  ``parts`` files per month (default: the shuffle
-    partition count).
+    Rows are range-partitioned on (month, listing), so a month is a file or, if
+    large, a few, and every copy of one key lands in the same file, in
+    ``order_cols`` order: "first row wins" is then independent of the order in
+    which files are loaded.  Headers are upper-case as in the source system.
     """
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     tagged = rows.withColumn("_month", F.date_format(F.col(date_col), "MM_yyyy"))
-    out_cols = [c for c in rows.columns]
-    renamed = tagged.select(*[F.col(c).alias(c.upper()) for c in out_cols], "_month")
-    (renamed.repartition(parts, F.col("LISTING_ID"), F.col(date_col.upper()))
+    renamed = tagged.select(*[F.col(c).alias(c.upper()) for c in rows.columns], "_month")
+    (renamed.repartitionByRange("_month", "LISTING_ID")
      .sortWithinPartitions("_month", *[c.upper() for c in order_cols])
-     .write.mode("overwrite").option("header", True).partitionBy("_month").csv(staging))
+     .write.mode("overwrite").options(header=True, escape='"').partitionBy("_month").csv(staging))
     return _rename_parts(spark, staging, landing,
                          lambda month, task: f"{prefix}_{task:05d}_{month}.csv")
 
@@ -113,6 +109,6 @@ def write_month_files(spark: SparkSession, rows: DataFrame, landing: str, stagin
 def write_named_csv(spark: SparkSession, df: DataFrame, landing: str, staging: str,
                     file_name: str) -> str:
     """Write a small reference table (one row per area) as one named CSV."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(staging)
+    df.repartition(1).write.mode("overwrite").options(header=True, escape='"').csv(staging)
     _rename_parts(spark, staging, landing, lambda _v, _t: file_name)
     return file_name

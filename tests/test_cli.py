@@ -21,7 +21,7 @@ def test_csv_drops_to_reports(spark):
     load(spark, land, wh, monthly=False)   # the rest; the first month is not re-read
     load(spark, land, wh, monthly=False)   # nothing left: no-op
     build(spark, wh, None)
-    report(spark, wh, out, "parquet", None)
+    report(spark, wh, out, "parquet")
     for name, key in [("dm_listing_neighbourhood", "mart_listing_neighbourhood"),
                       ("dm_host_neighbourhood", "mart_host_neighbourhood"),
                       ("mortgage_coverage", "mortgage_coverage"),
