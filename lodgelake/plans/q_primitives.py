@@ -743,52 +743,48 @@ def q_cast_temporal(spark, sf):
                     F.col("host_since").cast("string").cast("date").alias("host_since"))
 
 
+# layouts a scrape date is written in, by (listing + line number) mod 12
+_LAYOUTS = ["d/M/yyyy", "dd/MM/yyyy", "yyyy-MM-dd", "yyyy/MM/dd", "MM/dd/yyyy", "'x'", "' '", "d-M-yyyy",
+            "yyyy-MM-dd'T'10:00:00", "yyyy-MM-dd 00:00:00", "d MMM yyyy", "MMMM d, yyyy"]
+
+
 def _date_variants(df):
-    """Scrape date written in one of several layouts, chosen by line number."""
-    d, n = F.col("scraped_date"), F.col("number_of_reviews")
-    text = (F.when(n == 1, F.concat_ws("/", F.dayofmonth(d).cast("string"), F.month(d).cast("string"),
-                                      F.year(d).cast("string")))
-            .when(n == 2, F.date_format(d, "dd/MM/yyyy"))
-            .when(n == 3, F.date_format(d, "yyyy-MM-dd"))
-            .when(n == 4, F.date_format(d, "yyyy/MM/dd"))
-            .when(n == 5, F.date_format(d, "MM/dd/yyyy"))
-            .when(n == 6, F.lit("x"))
-            .otherwise(F.lit(" ")))
+    """Scrape date written in one of several layouts (two of them no date)."""
+    d, n = F.col("scraped_date"), F.pmod(F.col("listing_id") + F.col("number_of_reviews"), F.lit(len(_LAYOUTS)))
+    text = F.lit(None).cast("string")
+    for k, layout in enumerate(_LAYOUTS):
+        text = F.when(n == k, F.date_format(d, layout)).otherwise(text)
     return df.withColumn("date_text", text)
 
 
-# expected result of each layout, stated from the scrape date itself
-_CASCADE_EXPECTED = """
-CASE WHEN number_of_reviews IN (1, 2, 3, 4) THEN scraped_date
-     WHEN number_of_reviews = 5 THEN
-       CASE WHEN day(scraped_date) <= 12
-            THEN make_date(year(scraped_date), day(scraped_date), month(scraped_date))
-            ELSE scraped_date END
-     ELSE NULL END"""
+def _parsed(swapped: str) -> str:
+    """What each layout reads as, stated from the scrape date itself; the listed
+    layouts swap day and month where both readings are dates."""
+    return f"""
+SELECT listing_id, scraped_date,
+  CASE WHEN n IN (5, 6) THEN NULL
+       WHEN n IN ({swapped}) AND day(scraped_date) <= 12
+         THEN make_date(year(scraped_date), day(scraped_date), month(scraped_date))
+       ELSE scraped_date END AS parsed
+FROM (SELECT *, (listing_id + number_of_reviews) % 12 AS n FROM airbnb_raw)"""
 
 
-@register("parse_date_cascade", with_base(
-    f"SELECT listing_id, scraped_date, {_CASCADE_EXPECTED} AS parsed FROM airbnb_raw"))
+# slashes are read day-first, so month-first text swaps; dashes month-first
+@register("parse_date_cascade", with_base(_parsed("4, 7")))
 def q_parse_date_cascade(spark, sf):
     raw = _date_variants(_L(spark, sf).bronze["airbnb_raw"])
     return raw.select("listing_id", "scraped_date", parse_date_cascade(F.col("date_text")).alias("parsed"))
 
 
-@register("parse_date_month_locked", with_base(
-    "SELECT listing_id, scraped_date, CASE WHEN number_of_reviews IN (1, 2, 3, 5) THEN scraped_date "
-    "END AS parsed FROM airbnb_raw"))
+# the file's month decides, so nothing swaps
+@register("parse_date_month_locked", with_base(_parsed("-1")))
 def q_parse_date_month_locked(spark, sf):
     raw = _date_variants(_L(spark, sf).bronze["airbnb_raw"])
-    # line 4 (yyyy/MM/dd) is no layout of the monthly loader: NULL
     return raw.select("listing_id", "scraped_date",
                       parse_date_month_locked(F.col("date_text"), F.month("scraped_date")).alias("parsed"))
 
 
-@register("parse_date_dayfirst", with_base(
-    "SELECT listing_id, scraped_date, CASE WHEN number_of_reviews IN (1, 2, 3) THEN scraped_date "
-    "WHEN number_of_reviews = 5 AND day(scraped_date) <= 12 "
-    "THEN make_date(year(scraped_date), day(scraped_date), month(scraped_date)) END AS parsed "
-    "FROM airbnb_raw"))
+@register("parse_date_dayfirst", with_base(_parsed("4")))
 def q_parse_date_dayfirst(spark, sf):
     raw = _date_variants(_L(spark, sf).bronze["airbnb_raw"])
     return raw.select("listing_id", "scraped_date", parse_date_dayfirst(F.col("date_text")).alias("parsed"))
