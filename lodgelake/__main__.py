@@ -1,14 +1,14 @@
 """Command line: load CSV drops, build the warehouse, write marts and analyses.
 
   python -m lodgelake load    --landing DIR --warehouse DIR [--monthly]
-  python -m lodgelake build   --warehouse DIR [--sf-dir DIR]
+  python -m lodgelake build   --warehouse DIR [--sf-dir DIR] [--full]
   python -m lodgelake report  --warehouse DIR --out DIR [--format parquet|csv]
 
 ``load`` appends listing month drops to ``<warehouse>/bronze/airbnb_raw`` with
 insert-ignore semantics (all pending months, or with ``--monthly`` only the
 earliest unloaded one) and refreshes the census and mapping tables when their
 files are present; ``build`` writes silver, history, star and the monthly
-fact (from the loaded bronze tables, or from the driver tables with
+fact, after the first time only for the months with new rows unless ``--full`` (from the loaded bronze tables, or from the driver tables with
 ``--sf-dir``); ``report`` writes the three marts and the six analyses.
 """
 
@@ -55,9 +55,14 @@ def bronze_tables(spark, warehouse: str):
     return out
 
 
-def build(spark, warehouse: str, sf_dir: str | None) -> MaterialisedLayers:
-    layers = Layers(spark, sf_dir) if sf_dir else Layers(spark, bronze=bronze_tables(spark, warehouse))
-    return MaterialisedLayers.build(layers, f"{warehouse.rstrip('/')}/tables")
+def build(spark, warehouse: str, sf_dir: str | None, full: bool = False) -> MaterialisedLayers:
+    tables = f"{warehouse.rstrip('/')}/tables"
+    if sf_dir:
+        return MaterialisedLayers.build(Layers(spark, sf_dir), tables)
+    layers = Layers(spark, bronze=bronze_tables(spark, warehouse))
+    if full:
+        return MaterialisedLayers.build(layers, tables)
+    return MaterialisedLayers.update(layers, tables, f"{_bronze_dir(warehouse)}/airbnb_raw")
 
 
 def report(spark, warehouse: str, out: str, fmt: str) -> None:
@@ -94,6 +99,7 @@ def main(argv: list[str] | None = None) -> None:
     p = sub.add_parser("build")
     p.add_argument("--warehouse", required=True)
     p.add_argument("--sf-dir")
+    p.add_argument("--full", action="store_true")
     p = sub.add_parser("report")
     p.add_argument("--warehouse", required=True)
     p.add_argument("--out", required=True)
@@ -103,7 +109,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.cmd == "load":
         load(spark, args.landing, args.warehouse, args.monthly)
     elif args.cmd == "build":
-        build(spark, args.warehouse, args.sf_dir)
+        build(spark, args.warehouse, args.sf_dir, args.full)
     else:
         report(spark, args.warehouse, args.out, args.format)
 

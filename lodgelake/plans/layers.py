@@ -13,10 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
+from lodgelake.operators import scd2
 from lodgelake.plans import marts, silver, star
 from lodgelake.plans.analysis import PARTITION_COL
 from lodgelake.session import pin_session
-from lodgelake.sources import testdata
+from lodgelake.sources import files, testdata
+from lodgelake.sources.ingest import BRONZE_PARTITION
 
 
 class Layers:
@@ -96,38 +98,113 @@ class MaterialisedLayers:
     def __init__(self, spark: SparkSession, base: str):
         self.spark, self.base = spark, base.rstrip("/")
         for name in self.TABLES:
-            setattr(self, name, spark.read.parquet(f"{self.base}/{name}"))
+            df = spark.read.parquet(f"{self.base}/{name}")
+            # only the trailing-window analyses prune by the listings' month
+            setattr(self, name, df if name == "listings" else df.drop(PARTITION_COL))
 
     @classmethod
     def build(cls, layers: Layers, base: str) -> "MaterialisedLayers":
-        spark, base = layers.spark, base.rstrip("/")
-
-        def put(name: str, df: DataFrame, by_month: bool = False) -> DataFrame:
-            path = f"{base}/{name}"
-            if by_month:
-                # partitioned by scrape month; rebalance lets AQE size the files
-                (df.withColumn(PARTITION_COL, F.trunc(F.col("scraped_date"), "month"))
-                 .hint("rebalance", PARTITION_COL)
-                 .write.mode("overwrite").partitionBy(PARTITION_COL).parquet(path))
-            else:
-                df.write.mode("overwrite").parquet(path)
-            return spark.read.parquet(path)
-
-        # only the listings are read selectively (trailing-window analyses), so
-        # only they are partitioned by month; the fact is read whole
-        listings = put("listings", layers.listings, by_month=True)
-        put("dim_host_silver", silver.silver_dim_host(listings))
-        put("dim_property_silver", silver.silver_dim_property(listings))
-        put("census_g01", layers.census_g01)
-        put("census_g02", layers.census_g02)
-        codes = put("lga_code", layers.lga_code)
-        suburbs = put("lga_suburb", layers.lga_suburb)
-        hh = put("host_history", star.host_history(listings))
-        ph = put("property_history", star.property_history(listings))
-        fact = put("fact", star.fact_listings(listings))
-        put("fact_month", marts.monthly_fact(fact, ph, hh))
-        put("dim_host", star.dim_host_current(hh))
-        put("dim_listing", star.dim_listing(ph))
-        put("dim_suburb", star.dim_suburb(suburbs))
-        put("dim_lga", star.dim_lga(codes))
+        """Write every table anew."""
+        t = _Tables(layers.spark, base)
+        listings = t.put("listings", layers.listings, PARTITION_COL)
+        t.put_monthly_copies(listings)
+        hh = t.put("host_history", star.host_history(listings))
+        ph = t.put("property_history", star.property_history(listings))
+        t.put("fact_month", marts.monthly_fact(t.read("fact"), ph, hh), "month_start")
+        t.put_references(layers)
+        return cls(layers.spark, base)
+
+    @classmethod
+    def update(cls, layers: Layers, base: str, bronze: str) -> "MaterialisedLayers":
+        """Bring the tables up to date with the loaded bronze at ``bronze``.
+
+        Bronze only grows, so the months whose row counts differ are those with
+        new rows; only their partitions of the monthly tables are rewritten.
+        Months later than all built ones are merged into the histories; an older
+        month changes versions in between, so then the histories are rebuilt.
+        Facts of other months keep their attributes: every fact has a version
+        that starts at its own date.  The result equals a full ``build``.
+        """
+        spark, t = layers.spark, _Tables(layers.spark, base)
+        if not t.exists("listings"):
+            return cls.build(layers, base)
+        raw = spark.read.parquet(bronze)
+        n_of = lambda df, month: df.groupBy(F.col(month).alias("m")).agg(F.count("*").alias("n"))
+        built = n_of(t.read("listings"), PARTITION_COL)
+        differ = n_of(raw, BRONZE_PARTITION).join(built.select("m", F.col("n").alias("built")), "m", "left")
+        months = [r.m for r in differ.where("built is null or built != n").select("m").collect()]  # calendar months
+        if months:
+            last = built.agg(F.max("m")).first()[0]
+            batch = silver.silver_listings(raw.where(F.col(BRONZE_PARTITION).isin(months)))
+            t.put("listings", batch, PARTITION_COL, only=True)
+            listings = t.read("listings")
+            batch = listings.where(F.col(PARTITION_COL).isin(months))
+            t.put_monthly_copies(batch, only=True)
+            histories = []
+            for name, rebuild, key, attrs in (
+                    ("host_history", star.host_history, "host_id", star.HOST_ATTRS),
+                    ("property_history", star.property_history, "listing_id", star.PROPERTY_ATTRS)):
+                if last is None or min(months) <= last:
+                    new = rebuild(listings)
+                else:
+                    rows = star.with_updated_at(batch.select(key, *attrs, "scraped_date"))
+                    new = scd2.apply_batch(t.read(name), rows, key, attrs)
+                histories.append(t.replace(name, new))
+            hh, ph = histories
+            fact = t.read("fact").where(F.col(PARTITION_COL).isin(months))
+            t.put("fact_month", marts.monthly_fact(fact.drop(PARTITION_COL), ph, hh), "month_start", only=True)
+        t.put_references(layers)
         return cls(spark, base)
+
+
+class _Tables:
+    """Writes the Parquet tables of one warehouse folder."""
+
+    def __init__(self, spark: SparkSession, base: str):
+        self.spark, self.base = spark, base.rstrip("/")
+
+    def path(self, name: str) -> str:
+        return f"{self.base}/{name}"
+
+    def read(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(self.path(name))
+
+    def exists(self, name: str) -> bool:
+        fs, p = files._fs(self.spark, self.path(name))
+        return fs.exists(p)
+
+    def put(self, name: str, df: DataFrame, by: str | None = None, only: bool = False) -> DataFrame:
+        """Write a table, by month if ``by`` names the month column (rebalance
+        lets AQE size the files); ``only``: just the months that ``df`` has."""
+        if by == PARTITION_COL:
+            df = df.withColumn(by, F.trunc(F.col("scraped_date"), "month"))
+        writer = (df.hint("rebalance", by) if by else df).write.mode("overwrite")
+        if by:
+            writer = writer.partitionBy(by).option("partitionOverwriteMode", "dynamic" if only else "static")
+        writer.parquet(self.path(name))
+        return self.read(name)
+
+    def replace(self, name: str, df: DataFrame) -> DataFrame:
+        """Write a table that ``df`` itself reads: beside it first, then swapped."""
+        beside = f"{self.path(name)}__next"
+        df.write.mode("overwrite").parquet(beside)
+        fs, old = files._fs(self.spark, self.path(name))
+        fs.delete(old, True)
+        fs.rename(files._fs(self.spark, beside)[1], old)
+        self.spark.catalog.refreshByPath(self.path(name))
+        return self.read(name)
+
+    def put_monthly_copies(self, listings: DataFrame, only: bool = False) -> None:
+        """Tables made of the listings row by row or date by date."""
+        self.put("dim_host_silver", silver.silver_dim_host(listings), PARTITION_COL, only)
+        self.put("dim_property_silver", silver.silver_dim_property(listings), PARTITION_COL, only)
+        self.put("fact", star.fact_listings(listings), PARTITION_COL, only)
+
+    def put_references(self, layers: Layers) -> None:
+        """Current dimensions and the small area and census tables."""
+        for name in ("census_g01", "census_g02", "lga_code", "lga_suburb"):
+            self.put(name, getattr(layers, name))
+        self.put("dim_host", star.dim_host_current(self.read("host_history")))
+        self.put("dim_listing", star.dim_listing(self.read("property_history")))
+        self.put("dim_suburb", star.dim_suburb(self.read("lga_suburb")))
+        self.put("dim_lga", star.dim_lga(self.read("lga_code")))

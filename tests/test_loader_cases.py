@@ -139,11 +139,41 @@ def test_earlier_row_of_a_closed_key_is_ignored(spark):
     assert got == [("a", ts(1), ts(6)), ("c", ts(7), None)]
 
 
+@pytest.mark.parametrize("late", [False, True])
+def test_update_writes_the_new_month_and_equals_a_rebuild(spark, late):
+    from lodgelake.plans.layers import MaterialisedLayers
+    from lodgelake.plans.q_ingest import landing
+    source = landing(spark, "/root/testdata/sf0.001")
+    months = sorted({files.month_of_name(n) for n in files.select_files(files.list_files(spark, source)) if files.month_of_name(n)})
+    order = [months[0], months[2], months[1]] if late else months[:3]
+    wh = scratch_path(spark, "wh")
+    bronze, ledger = f"{wh}/bronze/airbnb_raw", f"{wh}/bronze/_ledger"
+    for kind in cli.CENSUS_KINDS:
+        picked = files.select_files(files.list_files(spark, source), kind)
+        ingest.full_refresh(f"{wh}/bronze/{kind}", ingest.read_census(spark, [f"{source}/{n}" for n in picked], kind))
+    for month in order[:2]:
+        ingest.load_month(spark, source, bronze, ledger, scratch_path(spark, "s"), month)
+    cli.build(spark, wh, None)
+    stamp = lambda m: {st.getPath().getName(): st.getModificationTime() for st in (
+        lambda fs, p: fs.listStatus(p))(*files._fs(spark, f"{wh}/tables/listings/scrape_month={m[0]}-{m[1]:02d}-01"))}
+    kept = stamp(order[0])
+    ingest.load_month(spark, source, bronze, ledger, scratch_path(spark, "s"), order[2])
+    cli.build(spark, wh, None)
+    assert stamp(order[0]) == kept  # the month's files were not written again
+    fresh = scratch_path(spark, "fresh")
+    from lodgelake.plans.layers import Layers
+    MaterialisedLayers.build(Layers(spark, bronze=cli.bronze_tables(spark, wh)), fresh)
+    for name in MaterialisedLayers.TABLES:
+        a, b = (spark.read.parquet(f"{base}/{name}") for base in (f"{wh}/tables", fresh))
+        assert a.columns == b.columns
+        assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect())), name
+
+
 def test_cli_keeps_the_session_it_is_given(spark, monkeypatch):
     before = (spark.sparkContext.master, spark.conf.get("spark.sql.shuffle.partitions"),
               spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes"))
     got = {}
-    monkeypatch.setattr(cli, "build", lambda s, wh, sf: got.update(spark=s))
+    monkeypatch.setattr(cli, "build", lambda s, *rest: got.update(spark=s))
     cli.main(["build", "--warehouse", "w"])
     s = got["spark"]
     assert (s.sparkContext.master, s.conf.get("spark.sql.shuffle.partitions"),
