@@ -60,12 +60,13 @@ mapped AS (
     CAST(NULL AS BIGINT) AS scrape_id,
     CAST(l.l_shipdate AS DATE) AS scraped_date,
     o.o_custkey AS host_id,
-    c.c_name AS host_name,
+    CASE l.l_linenumber WHEN 3 THEN c.c_name || ' "Jr", x' WHEN 4 THEN c.c_name || chr(10) || '2' ELSE c.c_name END AS host_name,
     CASE WHEN l.l_linenumber <> 1 THEN CAST(o.o_orderdate AS DATE) END AS host_since,
     CASE WHEN o.o_orderpriority = '1-URGENT' THEN 't'
          WHEN o.o_orderpriority = '5-LOW' THEN NULL ELSE 'f' END AS host_is_superhost,
     hn.n_name AS host_neighbourhood,
-    ln.n_name AS listing_neighbourhood,
+    CASE WHEN l.l_linenumber = 5 AND l.l_suppkey % 3 = 0 THEN NULL WHEN l.l_linenumber = 5 AND l.l_suppkey % 3 = 1 THEN ' '
+         WHEN l.l_linenumber = 6 THEN '  ' || lower(ln.n_name) || ' ' ELSE ln.n_name END AS listing_neighbourhood,
     p.p_type AS property_type,
     split_part(p.p_name, ' ', 2) AS room_type,
     CAST(p.p_size % 8 + 1 AS INTEGER) AS accommodates,
@@ -129,10 +130,15 @@ regions AS (
   SELECT r_regionkey, r_name AS lga_name, CAST(10000 + r_regionkey AS VARCHAR) AS lga_code
   FROM region
 ),
-nsw_lga_code AS (SELECT lga_code, lga_name FROM regions),
+nsw_lga_code AS (
+  SELECT lga_code, lga_name FROM regions
+  UNION ALL SELECT NULL, lga_name || ' OLD' FROM regions WHERE r_regionkey = 0
+),
 nsw_lga_suburb AS (
-  SELECT r.r_name AS lga_name, n.n_name AS suburb_name
-  FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
+  SELECT CASE WHEN n_nationkey <> 2 THEN r_name END AS lga_name, n_name AS suburb_name
+  FROM (SELECT n_nationkey, n_name, n_regionkey FROM nation WHERE n_nationkey <> 3
+        UNION ALL SELECT n_nationkey, n_name, (n_regionkey + 1) % 5 FROM nation WHERE n_nationkey = 5) n
+  JOIN region ON n.n_regionkey = r_regionkey
 ),
 lga_code_cleaned AS (SELECT lga_code, lga_name FROM nsw_lga_code WHERE lga_code IS NOT NULL),
 lga_suburb_cleaned AS (

@@ -66,8 +66,12 @@ def landing(spark: SparkSession, sf: str) -> str:
     if key in _LANDINGS:
         return _LANDINGS[key]
     land = scratch_path(spark, "landing")
-    files.write_month_files(spark, listing_text(spark, sf), land, scratch_path(spark, "staging"),
-                            date_col="_date", order_cols=EXTRA + ["_junk"])
+    text = listing_text(spark, sf)
+    reverse = text.select(*schemas.LISTING_COLUMNS[::-1], *EXTRA, "_junk", "_date")
+    even = F.month("_date") % 2 == 0
+    for rows, prefix in ((text.where(~even), "listings"), (reverse.where(even), "reversed")):  # two column orders
+        files.write_month_files(spark, rows, land, scratch_path(spark, "staging"),
+                                date_col="_date", order_cols=EXTRA + ["_junk"], prefix=prefix)
     bronze = testdata.bronze_tables(spark, sf)
     for kind, name in CENSUS_FILES.items():
         df = bronze[kind]

@@ -88,6 +88,10 @@ def _rename_parts(spark: SparkSession, staging: str, landing: str, naming) -> li
     return sorted(moved)
 
 
+# quotes inside a cell are doubled, blanks around it stay
+_WRITE = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def write_month_files(spark: SparkSession, rows: DataFrame, landing: str, staging: str,
                       date_col: str, order_cols: list[str], prefix: str = "listings") -> list[str]:
     """Write rows as monthly CSV drops named ``{prefix}_{part}_{MM}_{YYYY}.csv``.
@@ -101,7 +105,7 @@ def write_month_files(spark: SparkSession, rows: DataFrame, landing: str, stagin
     renamed = tagged.select(*[F.col(c).alias(c.upper()) for c in rows.columns], "_month")
     (renamed.repartitionByRange("_month", "LISTING_ID")
      .sortWithinPartitions("_month", *[c.upper() for c in order_cols])
-     .write.mode("overwrite").options(header=True, escape='"').partitionBy("_month").csv(staging))
+     .write.mode("overwrite").options(**_WRITE).partitionBy("_month").csv(staging))
     return _rename_parts(spark, staging, landing,
                          lambda month, task: f"{prefix}_{task:05d}_{month}.csv")
 
@@ -109,6 +113,6 @@ def write_month_files(spark: SparkSession, rows: DataFrame, landing: str, stagin
 def write_named_csv(spark: SparkSession, df: DataFrame, landing: str, staging: str,
                     file_name: str) -> str:
     """Write a small reference table (one row per area) as one named CSV."""
-    df.repartition(1).write.mode("overwrite").options(header=True, escape='"').csv(staging)
+    df.repartition(1).write.mode("overwrite").options(**_WRITE).csv(staging)
     _rename_parts(spark, staging, landing, lambda _v, _t: file_name)
     return file_name

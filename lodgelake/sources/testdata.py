@@ -7,12 +7,16 @@ One row of lineitem becomes one listing snapshot:
   host_since = date(o_orderdate), NULL on line 1 (exercises the default)
   superhost  = 't' for 1-URGENT orders, NULL for 5-LOW, else 'f'
   host / listing neighbourhood = nation of the customer / of the supplier
+  untidy cells: host_name with quotes and a comma on line 3 and a line break on
+  line 4; listing area NULL or blank on line 5 (by supplier), padded lower case
+  on line 6
   property_type = p_type, room_type = 2nd word of p_name, accommodates = p_size % 8 + 1
   price = l_extendedprice as '$1,234.50' text, has_availability = 'f' on returns
   availability_30 = l_quantity (NULL on line 7), number_of_reviews = l_linenumber
   review_scores_rating = l_discount * 1000
 
-Suburb -> LGA is nation -> region; the LGA code is 10000 + r_regionkey (the
+Suburb -> LGA is nation -> region; nation 2 has a NULL LGA, nation 3 is not
+mapped, nation 5 lies in two LGAs, and one LGA has no code.  The LGA code is 10000 + r_regionkey (the
 census tables spell it 'LGA1000x').  Census G01 counts customers per region by
 sex (c_custkey % 2) and by eleven balance bands standing in for age bands;
 G02 medians are linear in the region key.  Everything grows with the input.
@@ -60,17 +64,19 @@ def listing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = (li.join(orders, "l_orderkey").join(cust, "o_custkey").join(host_area, "c_nationkey")
          .join(supp, "l_suppkey").join(listing_area, "s_nationkey").join(part, "l_partkey"))
     prio = F.col("o_orderpriority")
-    line = F.col("l_linenumber")
+    line, area, third = F.col("l_linenumber"), F.col("listing_neighbourhood"), F.col("l_suppkey") % 3
     cols = {
         "listing_id": F.col("l_partkey"),
         "scrape_id": F.lit(None).cast("bigint"),
         "scraped_date": F.to_date("l_shipdate"),
         "host_id": F.col("o_custkey"),
-        "host_name": F.col("c_name"),
+        "host_name": F.when(line == 3, F.concat("c_name", F.lit(' "Jr", x')))
+                      .when(line == 4, F.concat("c_name", F.lit("\n2"))).otherwise(F.col("c_name")),
         "host_since": F.when(line != 1, F.to_date("o_orderdate")),
         "host_is_superhost": F.when(prio == "1-URGENT", "t").when(prio == "5-LOW", None).otherwise("f"),
         "host_neighbourhood": F.col("host_neighbourhood"),
-        "listing_neighbourhood": F.col("listing_neighbourhood"),
+        "listing_neighbourhood": F.when((line == 5) & (third == 0), None).when((line == 5) & (third == 1), " ")
+                                  .when(line == 6, F.concat(F.lit("  "), F.lower(area), F.lit(" "))).otherwise(area),
         "property_type": F.col("p_type"),
         "room_type": F.split_part("p_name", F.lit(" "), F.lit(2)),
         "accommodates": (F.col("p_size") % 8 + 1).cast("int"),
@@ -101,14 +107,20 @@ def _regions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_lga_code(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _regions(spark, sf_dir).select("lga_code", "lga_name")
+    r = _regions(spark, sf_dir)
+    closed = r.where("r_regionkey = 0").select(
+        F.lit(None).cast("string").alias("lga_code"), F.concat("lga_name", F.lit(" OLD")).alias("lga_name"))
+    return r.select("lga_code", "lga_name").union(closed)
 
 
 def bronze_lga_suburb(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = read_table(spark, sf_dir, "nation")
     r = read_table(spark, sf_dir, "region")
-    return (n.join(r, n.n_regionkey == r.r_regionkey)
-            .select(F.col("r_name").alias("lga_name"), F.col("n_name").alias("suburb_name")))
+    second = n.where("n_nationkey = 5").withColumn("n_regionkey", (F.col("n_regionkey") + 1) % 5)
+    rows = n.where("n_nationkey != 3").union(second)
+    return (rows.join(r, rows.n_regionkey == r.r_regionkey)
+            .select(F.when(F.col("n_nationkey") != 2, F.col("r_name")).alias("lga_name"),
+                    F.col("n_name").alias("suburb_name")))
 
 
 def bronze_census_g02(spark: SparkSession, sf_dir: str) -> DataFrame:
