@@ -27,6 +27,18 @@ _WORDS = bytes(
 CHUNK_BYTES = 2_000_000
 
 
+#: Rows of an Arrow batch at most: texts may be long, and a batch is held whole
+#: by the JVM and by the Python worker.
+BATCH_ROWS = 512
+
+
+def bounded_batches() -> None:
+    """Keep the session's Arrow batches small (a smaller setting stays)."""
+    conf, key = SparkSession.active().conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+
+
 def alnum_words(text: bytes) -> list[bytes]:
     """Lower-cased words made of digits, letters and non-ASCII characters."""
     return text.translate(_WORDS).split()

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodgelake.llm.common import alnum_words, fresh, list_array, row_key, stored, texts_of
+from lodgelake.llm.common import alnum_words, bounded_batches, fresh, list_array, row_key, stored, texts_of
 
 #: Words of a window; a document is contaminated if hit words times SHARE
 #: reach its words.
@@ -127,6 +127,7 @@ def build_index(docs: DataFrame, windows: DataFrame | None = None) -> DataFrame:
     n_words and the postings as arrays term[], at[].  With ``windows`` only
     postings that can be part of one of their phrases are stored (enough for
     ``search`` with slop 0); without, all."""
+    bounded_batches()
     held = docs.sparkSession.sparkContext.broadcast(None if windows is None else _maps(windows))
 
     def index(batches):

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodgelake.llm.common import bits_fraction, chunks, is_fold, stored, texts_of
+from lodgelake.llm.common import bits_fraction, bounded_batches, chunks, is_fold, stored, texts_of
 
 ORDER = 3
 #: Documents a language is learnt from (expected number: those whose hash falls
@@ -103,6 +103,8 @@ def learn(docs: DataFrame, fit_docs: int = FIT_DOCS) -> dict[str, Tree]:
         .select("doc_id", "lang").distinct(), "language-sample")
     sample = known.join(small(picked), ["doc_id", "lang"])
 
+    bounded_batches()
+
     def count(batches):
         for b in batches:
             text_of: dict[str, list[bytes]] = {}
@@ -131,6 +133,7 @@ def has_letter(text: bytes) -> bool:
 def predict(text: Column, trees: dict[str, Tree]) -> Column:
     """Struct of lang_pred and score: the posterior of the language with the
     shortest code, all languages being equally likely beforehand."""
+    bounded_batches()
     spark_trees = _broadcast(trees)
 
     @F.arrow_udf("struct<lang_pred:string,score:double>")

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodgelake.llm.common import alnum_words, chunks, list_array, texts_of
+from lodgelake.llm.common import alnum_words, bounded_batches, chunks, list_array, texts_of
 
 
 @dataclass(frozen=True)
@@ -108,6 +108,7 @@ def template_positions(spark: SparkSession, templates=TEMPLATES, gram: int = GRA
 def grams_column(text: Column, templates=TEMPLATES, gram: int = GRAM) -> Column:
     """Struct of n_words and the k-grams (pos, hash) that have a hash, for each
     gram length the templates need."""
+    bounded_batches()
     number = vocabulary(templates)
     lengths = sorted({min(gram, len(t.words)) for t in templates})
 

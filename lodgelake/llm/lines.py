@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodgelake.llm.common import chunks, list_array, texts_of
+from lodgelake.llm.common import bounded_batches, chunks, list_array, texts_of
 
 #: Documents the weights are fitted on at most (smallest hashes of labelled ids),
 #: and bytes of text fitted on at most (whole documents, in that order).
@@ -185,6 +185,8 @@ def read_text(text: bytes) -> tuple[tuple[int, int, int, int, int], np.ndarray,
 
 
 def _bins_column(text: Column) -> Column:
+    bounded_batches()
+
     @F.arrow_udf("array<smallint>")
     def bins(column: pa.Array) -> pa.Array:
         rows = [read_text(t)[1].ravel().astype(np.int16) for t in texts_of(column)]
@@ -226,6 +228,8 @@ _RESULT = ("struct<n_words:bigint,word_chars:bigint,n_symbols:bigint,n_dup_lines
 
 
 def _judge_column(text: Column, model: LineModel) -> Column:
+    bounded_batches()
+
     @F.arrow_udf(_RESULT)
     def judge(column: pa.Array) -> pa.Array:
         out = []

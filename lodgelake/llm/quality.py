@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodgelake.llm.common import chunks, is_fold, texts_of
+from lodgelake.llm.common import bounded_batches, chunks, is_fold, texts_of
 
 #: Bound of the labelled sample the trees are fitted on, and of the label
 #: table broadcast to find it: the labelled ids with the smallest hashes.
@@ -162,6 +162,8 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 4, bins: int
 
 
 def _statistics_column(text: Column) -> Column:
+    bounded_batches()
+
     @F.arrow_udf("array<float>")
     def stats(column: pa.Array) -> pa.Array:
         rows = [statistics(c) for c in chunks(texts_of(column))]
@@ -193,6 +195,8 @@ def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Trees
 
 def score_column(text: Column, model: Trees) -> Column:
     """Score of each text under ``model`` (a few thousand numbers in the closure)."""
+    bounded_batches()
+
     @F.arrow_udf("double")
     def score(column: pa.Array) -> pa.Array:
         parts = [model.score(statistics(c)) for c in chunks(texts_of(column))]

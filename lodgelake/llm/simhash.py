@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodgelake.llm.common import chunks, fresh, row_key, stored, texts_of
+from lodgelake.llm.common import bounded_batches, chunks, fresh, row_key, stored, texts_of
 
 SHINGLE, BITS, SEED = 3, 2, 42
 #: Points a shard should hold, sample points for each cut-off leaf of the top
@@ -66,6 +66,8 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
 
 def fingerprint_column(text: Column, shingle: int = SHINGLE, seed: int = SEED) -> Column:
     """Fingerprint of each text as a signed 64-bit number."""
+    bounded_batches()
+
     @F.arrow_udf("bigint")
     def mark(column: pa.Array) -> pa.Array:
         out = [fingerprint(t, shingle, seed) for part in chunks(texts_of(column)) for t in part]

@@ -15,7 +15,7 @@ its path is a parameter.  A piece that starts with a blank is word-initial, one
 without any blank is a continuation, other pieces are not used.
 
 Scale: one pass over the text without a shuffle; the automaton (bounded by the
-vocabulary) is broadcast, and each task remembers the counts of words it met,
+vocabulary) is broadcast, and each worker remembers the counts of words it met,
 up to ``MEMORY`` words at a time.
 
 Cases: null and empty text has no words and no tokens; words are split at blanks
@@ -33,9 +33,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgelake.llm.common import texts_of
+from lodgelake.llm.common import bounded_batches, texts_of
 
-#: Default vocabulary, and words whose counts a task remembers at once.
+#: Default vocabulary, and words whose counts a worker remembers at once.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 MEMORY = 200_000
 
@@ -94,6 +94,7 @@ class Automaton:
                     link[u], popped[u] = children[z][byte[u]], n
             level = [v for u in level for v in children[u].values()]
         self.children, self.link, self.popped = children, link, popped
+        self.known: dict[bytes, int] = {}  # counts of words a worker has met
 
     def count(self, word: bytes) -> int:
         """Pieces of the greedy longest match; -1 if there is none."""
@@ -117,12 +118,12 @@ class Automaton:
 def counts_column(text: Column, automaton: Automaton) -> Column:
     """Struct of n_words, n_tokens and n_unknown (words without segmentation,
     one token each) of a text."""
+    bounded_batches()
     held = SparkSession.active().sparkContext.broadcast(automaton)
 
     @F.arrow_udf("struct<n_words:bigint,n_tokens:bigint,n_unknown:bigint>")
     def count(column: pa.Array) -> pa.Array:
-        one = held.value.count
-        known: dict[bytes, int] = {}
+        one, known = held.value.count, held.value.known
         rows = np.zeros((3, len(column)), np.int64)
         for i, text in enumerate(texts_of(column)):
             words = text.split()

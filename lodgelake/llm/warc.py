@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodgelake.llm.common import stored, texts_of
+from lodgelake.llm.common import bounded_batches, stored, texts_of
 from lodgelake.session import scratch_path
 
 #: Payloads from this size on are written once and revisited.
@@ -151,6 +151,7 @@ def write_archives(pages: DataFrame, folder: str, least: int = LEAST) -> DataFra
             if out is not None:
                 out.close()
 
+    bounded_batches()
     fs, path = store_of(folder)
     fs.create_dir(path, recursive=True)
     return stored(told.mapInArrow(write, INDEX), "warc-index")

@@ -1,7 +1,5 @@
 """The pipeline against its stages' plain versions, and its edge cases."""
 
-from collections import Counter
-
 import corpus_pipeline
 from lodgelake.llm import lines, mixing, quality
 from tests.llm.conftest import SF
@@ -44,9 +42,9 @@ def test_stages_keep_columns_and_bear_odd_tables(spark, docs_of, tmp_path):
             docs = stage(spark, docs, str(tmp_path))
             assert docs.columns == docs_of([], extra=True).columns
         out = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path))
-        ids = Counter(r.doc_id for r in docs.collect())
-        assert ids == (Counter({1: 1, 5: 1}) if made else Counter()) or (made and ids == Counter({1: 1}))
-        out.count()
+        ids = {r.doc_id for r in docs.collect()}  # row 5 may or may not be a near copy of 1
+        assert docs.count() == len(ids) and ids - {5} == ({1} if made else set())
+        assert {r.doc_id for r in out.collect()} <= ids
 
 
 def test_names():
