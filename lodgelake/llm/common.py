@@ -112,6 +112,14 @@ def bits_fraction(c: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(c), 11) / F.lit(float(1 << 53))
 
 
+def first_by_hash(rows: DataFrame, key: str, n: int) -> Column:
+    """Condition that all but about ``2 n`` keys of ``rows`` fail, and no key
+    that is among the ``n`` smallest by xxhash64: it goes before a sort with a
+    limit, whose last task then reads so few rows however many there are."""
+    keys = float(rows.agg(F.approx_count_distinct(key, 0.01)).first()[0])
+    return (F.xxhash64(key) / F.lit(2.0**64) + 0.5) * keys <= 2.0 * n + 1000
+
+
 def row_key(df: DataFrame, names: list[str]) -> DataFrame:
     """``df`` with three non-null columns that tell its rows apart: the id (0
     if null), whether it is null, and a hash of the text."""

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodgelake.llm.common import bounded_batches, chunks, is_fold, texts_of
+from lodgelake.llm.common import bounded_batches, chunks, first_by_hash, is_fold, texts_of
 
 #: Bound of the labelled sample the trees are fitted on, and of the label
 #: table broadcast to find it: the labelled ids with the smallest hashes.
@@ -177,9 +177,10 @@ def _statistics_column(text: Column) -> Column:
 def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Trees:
     """Fit the trees on at most ``fit_rows`` labelled documents outside the
     held-out fold."""
+    known = labels.select("doc_id", "quality").where("doc_id is not null and quality is not null").where(
+        ~is_fold("doc_id", FOLDS, HELD))
     marked = (
-        labels.select("doc_id", "quality").where("doc_id is not null and quality is not null")
-        .where(~is_fold("doc_id", FOLDS, HELD))
+        known.where(first_by_hash(known, "doc_id", fit_rows))
         .groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("y"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
     )
