@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodgelake.llm.common import bounded_batches, chunks, list_array, texts_of
+from lodgelake.llm.common import bounded_batches, chunks, first_by_hash, list_array, texts_of
 
 #: Documents the weights are fitted on at most (smallest hashes of labelled ids),
 #: and bytes of text fitted on at most (whole documents, in that order).
@@ -198,8 +198,9 @@ def _bins_column(text: Column) -> Column:
 
 def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, fit_bytes: int = FIT_BYTES) -> LineModel:
     """Fit on a bounded sample of labelled documents."""
+    known = labels.select("doc_id", "quality").where("doc_id is not null and quality is not null")
     marked = (
-        labels.select("doc_id", "quality").where("doc_id is not null and quality is not null")
+        known.where(first_by_hash(known, "doc_id", fit_rows))
         .groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("y"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
     )
