@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodgelake.llm.common import bounded_batches, chunks, fresh, row_key, stored, texts_of
+from lodgelake.llm.common import bounded_batches, chunks, first_by_hash, fresh, row_key, stored, texts_of
 
 SHINGLE, BITS, SEED = 3, 2, 42
 #: Points a shard should hold, sample points for each cut-off leaf of the top
@@ -193,7 +193,7 @@ def links(points: np.ndarray, guests: np.ndarray, bits: int, exact: int = EXACT)
 def _forest(nodes: DataFrame, bits: int, shard_points: int) -> DataFrame:
     """Links (fp, other) whose components are those of all pairs of ``nodes``."""
     want = min(MAX_SAMPLE, LEAF_SAMPLE * -(-nodes.count() // shard_points))
-    sample = nodes.orderBy(F.xxhash64("fp"), "fp").limit(want).select("fp").toArrow()["fp"]
+    sample = nodes.where(first_by_hash(nodes, "fp", want)).orderBy(F.xxhash64("fp"), "fp").limit(want).select("fp").toArrow()["fp"]
     tree = top_tree(sample.to_numpy().view(np.uint64), bits)
     held = nodes.sparkSession.sparkContext.broadcast(tree)  # at most MAX_SAMPLE / LEAF_SAMPLE cuts
 
