@@ -74,29 +74,29 @@ def source_rates(docs: DataFrame, alpha: float = ALPHA, epochs: float = EPOCHS,
     return per.select("source", "n_docs", "n_words", F.when(F.col("weight") > 0, rate).otherwise(0.0).alias("rate"))
 
 
-def poisson_steps(rate: Column) -> Column:
-    """Cumulative Poisson probabilities of 0, 1, 2, ... up to where the rest is
-    below what a fraction can resolve; by logarithms, so any rate works."""
+def poisson_number(rate: Column, u: Column) -> Column:
+    """The Poisson number at the fraction ``u``: how many of the cumulative
+    probabilities of 0, 1, 2, ... are at or below it, up to where the rest is
+    less than a fraction can resolve.  By logarithms, so any rate works; a
+    document's steps are about as many as its copies."""
     last = F.ceil(rate + 10 * F.sqrt(rate) + 20).cast("int")
-    zero = F.struct((-rate).alias("log_p"), F.array(F.exp(-rate)).alias("steps"))
+    zero = F.struct((-rate).alias("log_p"), F.lit(0.0).alias("upto"), F.lit(0).alias("n"), u.alias("u"))
 
     def add(state: Column, k: Column) -> Column:
-        log_p = state["log_p"] + F.log(rate) - F.log(k.cast("double"))
-        return F.struct(log_p.alias("log_p"), F.array_append(
-            state["steps"], F.element_at(state["steps"], -1) + F.exp(log_p)).alias("steps"))
+        upto = state["upto"] + F.exp(state["log_p"])
+        return F.struct((state["log_p"] + F.log(rate) - F.log(k.cast("double"))).alias("log_p"), upto.alias("upto"),
+                        (state["n"] + (upto <= state["u"]).cast("int")).alias("n"), state["u"].alias("u"))
 
-    return F.when(rate > 0, F.aggregate(F.sequence(F.lit(1), last), zero, add, lambda s: s["steps"])).otherwise(
-        F.array(F.lit(1.0)))
+    return F.when(rate > 0, F.aggregate(F.sequence(F.lit(1), last + 1), zero, add, lambda s: s["n"])).otherwise(0)
 
 
 def replicate(docs: DataFrame, alpha: float = ALPHA, epochs: float = EPOCHS,
               weights: dict[str, float] | None = None, seed: str = SEED) -> DataFrame:
     """Every document times its Poisson number, in a global random order:
     the columns of ``docs`` plus copies, copy_no (from 1) and mix_key."""
-    steps, of = fresh(docs, "mix_steps", "mix_source")
-    rates = source_rates(docs, alpha, epochs, weights).select(
-        F.col("source").alias(of), poisson_steps(F.col("rate")).alias(steps))
-    size = rates.agg(F.sum(F.octet_length(F.coalesce(of, F.lit(""))) + 8 * F.size(steps) + 64)).first()[0]
+    rate, of = fresh(docs, "mix_rate", "mix_source")
+    rates = source_rates(docs, alpha, epochs, weights).select(F.col("source").alias(of), F.col("rate").alias(rate))
+    size = rates.agg(F.sum(F.octet_length(F.coalesce(of, F.lit(""))) + 64)).first()[0]
     if (size or 0) <= SMALL_RATES:  # else a sort-merge join, whose hot sources AQE splits
         rates = F.broadcast(rates)
     who = identity(F.col("doc_id"), F.col("text"))
@@ -105,7 +105,7 @@ def replicate(docs: DataFrame, alpha: float = ALPHA, epochs: float = EPOCHS,
     kept = [c for c in docs.columns if c.lower() not in ("copies", "copy_no", "mix_key")]
     return (
         joined.select(*(f"`{c}`" for c in kept),
-                      F.size(F.filter(F.col(steps), lambda p: p <= drawn)).alias("copies"))
+                      poisson_number(F.col(rate), drawn).alias("copies"))
         .where("copies > 0")
         .withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("copies"))))
         .withColumn("mix_key", F.substring(F.md5(F.concat_ws(

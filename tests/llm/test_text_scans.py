@@ -168,20 +168,23 @@ def test_url_tree_generalises(spark):
     assert verdict("/news/") == {"allow"} and verdict("mixed") == {"allow"}
 
 
-def test_poisson_steps(spark):
-    """Cumulative probabilities for no, small and very large rates."""
-    rates = [0.0, 0.2, 1.0, 3.7, 40.0, 900.0]
-    got = spark.createDataFrame([(r,) for r in rates], "rate double").withColumn(
-        "s", mixing.poisson_steps(F.col("rate"))).collect()
-    for r in got:
-        if r.rate == 0:
-            assert r.s == [1.0]
+def test_poisson_number(spark):
+    """Inversion at no, small and very large rates, at fractions beside every
+    cumulative probability that a double tells from 1."""
+    rows, want = [], []
+    for rate in (0.0, 0.2, 1.0, 3.7, 40.0, 900.0, 20_000.0):
+        if rate == 0:
+            rows, want = rows + [(rate, u) for u in (0.0, 0.5, 1 - 2.0**-52)], want + [0] * 3
             continue
-        upto = 0.0
-        for k, v in enumerate(r.s):
-            upto += math.exp(-r.rate + k * math.log(r.rate) - math.lgamma(k + 1))
-            assert abs(v - upto) < 1e-9
-        assert r.s[-1] > 1 - 1e-9
+        upto, last = 0.0, int(rate + 6 * math.sqrt(rate) + 6)
+        for k in range(last):
+            p = math.exp(-rate + k * math.log(rate) - math.lgamma(k + 1))
+            if p > 1e-6 and k % max(1, last // 60) == 0:
+                rows, want = rows + [(rate, upto + p * 0.1), (rate, upto + p * 0.9)], want + [k, k]
+            upto += p
+    got = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, rate double, u double").select(
+        "i", mixing.poisson_number(F.col("rate"), F.col("u")).alias("n")).orderBy("i").collect()
+    assert [r.n for r in got] == want and len(want) > 100
 
 
 def test_mixing_reaches_weights(spark, docs_of):
