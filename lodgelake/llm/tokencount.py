@@ -16,7 +16,7 @@ without any blank is a continuation, other pieces are not used.
 
 Scale: one pass over the text without a shuffle; the automaton (bounded by the
 vocabulary) is broadcast, and each worker remembers the counts of words it met,
-up to ``MEMORY`` words at a time.
+up to ``MEMORY`` words of at most ``LONGEST`` bytes at a time.
 
 Cases: null and empty text has no words and no tokens; words are split at blanks
 and control characters 9-13; a very long word is walked like any other;
@@ -35,9 +35,10 @@ from pyspark.sql import functions as F
 
 from lodgelake.llm.common import bounded_batches, texts_of
 
-#: Default vocabulary, and words whose counts a worker remembers at once.
+#: Default vocabulary, words whose counts a worker remembers at once, and bytes
+#: of the longest word that it remembers.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-MEMORY = 200_000
+MEMORY, LONGEST = 200_000, 64
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -134,7 +135,9 @@ def counts_column(text: Column, automaton: Automaton) -> Column:
                     if n is None:
                         if len(known) >= MEMORY:
                             known.clear()
-                        n = known[words[k]] = one(words[k])
+                        n = one(words[k])
+                        if len(words[k]) <= LONGEST:
+                            known[words[k]] = n
                     got[k] = n
             bad = got.count(-1)
             rows[:, i] = len(words), sum(got) + 2 * bad, bad
