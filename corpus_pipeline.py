@@ -18,8 +18,12 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules and the line labels keep."""
-    return lines.keep_content(docs, table(spark, sf_dir, "labels"))
+    """Documents that the base rules and the line labels keep.  The lines are
+    learnt from the whole table: ``docs`` have lost their boilerplate, so they
+    hold one class only."""
+    labels = table(spark, sf_dir, "labels")
+    whole = table(spark, sf_dir, "documents") if lines.has_classes(labels) else None
+    return lines.keep_content(docs, labels, whole)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

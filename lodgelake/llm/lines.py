@@ -265,6 +265,15 @@ def apply_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return docs.select("doc_id", judge(F.col("text"), learn(docs, labels)).alias("r")).select("doc_id", "r.*")
 
 
-def keep_content(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows of ``docs`` that are kept, with the columns of ``docs``."""
-    return docs.where(judge(F.col("text"), learn(docs, labels))["kept"])
+def has_classes(labels: DataFrame) -> bool:
+    """Whether the labels differ; if not, nothing can be learnt from any documents."""
+    low, high = labels.where("doc_id is not null").agg(F.min("quality"), F.max("quality")).first()
+    return low is not None and low < high
+
+
+def keep_content(docs: DataFrame, labels: DataFrame, learn_from: DataFrame | None = None) -> DataFrame:
+    """Rows of ``docs`` that are kept, with the columns of ``docs``.  Where
+    ``docs`` were filtered by quality before, ``learn_from`` names the unfiltered
+    documents: a filtered sample has one class left, from which nothing is learnt."""
+    model = learn(docs if learn_from is None else learn_from, labels)
+    return docs.where(judge(F.col("text"), model)["kept"])

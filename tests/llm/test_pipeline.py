@@ -47,6 +47,21 @@ def test_stages_keep_columns_and_bear_odd_tables(spark, docs_of, tmp_path):
         assert {r.doc_id for r in out.collect()} <= ids
 
 
+def test_boilerplate_that_stage_1_keeps_is_rejected_by_stage_2(spark):
+    """The line labels are learnt from the whole table: what stage 1 leaves has
+    one class, from which no boilerplate can be told."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    good = docs.join(labels.where("quality = 1").select("doc_id"), "doc_id", "left_semi")
+    bad = docs.join(labels.where("quality = 0").select("doc_id"), "doc_id").selectExpr(
+        "doc_id + 1000000000 AS doc_id", *docs.columns[1:])  # without a label
+    texts = {r.doc_id: r.text for r in bad.collect()}
+    passing = {k for k, t in texts.items() if not plain_counts(t)[-1]}
+    kept = {r.doc_id for r in corpus_pipeline.quality_rules(spark, good.unionByName(bad), sf).collect()}
+    assert passing and not passing & kept
+    assert len(kept) >= 0.95 * good.count()
+
+
 def test_names():
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality classifier", "quality rules", "simhash near-dedup", "benchmark decontamination", "mixing"]
