@@ -8,7 +8,10 @@ many pieces are popped when its link is taken, so a word costs one walk.
 For a node u (a string that is a prefix of some piece) the link is the node of
 what remains after the pieces that greedy matching cuts off the front of u once
 no child fits, and ``popped[u]`` is their number.  Where nothing can be cut off,
-the word has no segmentation and counts as one unknown token.
+the word has no segmentation and counts as one unknown token.  A bare blank
+among the pieces is word-initial with an empty body: a word whose beginning no
+other word-initial piece has is the blank, then continuations (in the default
+vocabulary most Chinese, Korean and Thai words).
 
 The vocabulary file (a byte-level vocabulary as ranks) is read on the driver;
 its path is a parameter.  A piece that starts with a blank is word-initial, one
@@ -48,11 +51,12 @@ def read_ranks(path: str) -> list[bytes]:
 
 
 def split_vocabulary(pieces: Iterable[bytes]) -> tuple[set[bytes], set[bytes]]:
-    """Word-initial pieces (without their blank) and continuations."""
+    """Word-initial pieces (without their blank; of a bare blank nothing is left)
+    and continuations."""
     first, rest = set(), set()
     for p in pieces:
         body = p[1:] if p[:1] == b" " else p
-        if body and not set(body) & set(b" \t\n\r\x0b\x0c"):
+        if p and not set(body) & set(b" \t\n\r\x0b\x0c"):
             (first if p[:1] == b" " else rest).add(body)
     return first, rest
 
@@ -81,6 +85,8 @@ class Automaton:
                     u = v
                 ends[u] = True
         link, popped = [-1] * len(children), [0] * len(children)
+        if ends[1]:  # the bare blank
+            link[1], popped[1] = 0, 1
         level = [*children[0].values(), *children[1].values()]
         while level:  # by depth: links lead to nodes that are done
             for u in level:

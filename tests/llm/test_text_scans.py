@@ -86,6 +86,33 @@ def test_token_counts(spark, docs_of):
     assert tokencount.count_tokens(docs_of([])).count() == 0
 
 
+def test_words_without_an_initial_piece_are_spelt(docs_of):
+    """Chinese, Korean and Thai words are the bare blank and continuations, each
+    the longest there is; with it every word can be spelt."""
+    pieces = set(tokencount.read_ranks(tokencount.VOCABULARY))
+    blanks = set(b" \t\n\r\x0b\x0c")
+
+    def plain(word):
+        n, at = 0, 0
+        while at < len(word):
+            lead = b" " if n == 0 else b""
+            end = next((e for e in range(len(word), at, -1) if lead + word[at:e] in pieces and not set(word[at:e]) & blanks), at)
+            assert end > at or n == 0
+            n, at = n + 1, end
+        return n
+
+    texts = ["数据处理是一个非常重要的研究领域，语言模型需要大量的文本。" * 20, "데이터 처리는 매우 중요한 연구 분야입니다", "ภาษาไทยเป็นภาษาที่สวยงาม การประมวลผล",
+             "日本語の文章 one two", "\u0905\u0928\u0941 \U0001F600"]
+    got = by_id(tokencount.count_tokens(docs_of(list(enumerate(texts)))))
+    for k, t in enumerate(texts):
+        words = t.encode().split()
+        assert (got[k].n_words, got[k].n_tokens, got[k].n_unknown) == (len(words), sum(map(plain, words)), 0), t
+    assert got[0].n_words == 1 and got[0].n_tokens > 300
+    for first, rest, word, n in (({b""}, {b"a"}, b"aa", 3), ({b"", b"ab"}, {b"a", b"c"}, b"abc", 2),
+                                 ({b"", b"ab"}, {b"a", b"c"}, b"ac", 3), ({b""}, {b"a"}, b"ab", -1)):
+        assert tokencount.Automaton(first, rest).count(word) == n
+
+
 def test_warc_round_trip(spark):
     rows = [(1, "http://a/x", "<p>one</p>"), (2, "http://a/y", "<p>one</p>"), (5, "http://b/\r\nX: y", "<p>one</p>"),
             (3, None, None), (4, "http://c", ""), (6, "http://d", "a\r\n\r\nWARC/1.1\r\nb é"), (7, "http://e", "z" * 300_000),
