@@ -8,10 +8,11 @@ of path templates that is grown per host from all URLs:
    are one template.
 2. Labels: URLs a block rule fits and URLs with a seed word in host or path are
    positive, all others count as negative (unlabelled URLs are mostly good).
-3. Level by level a node's segments become its branches: with very many
-   siblings the rare ones are one wildcard, and branches whose share of
-   positives does not differ significantly from their parent's (two-sided z
-   test) merge into one; the others stand alone.
+3. Level by level a node's segments become its branches.  A segment whose share
+   of positives differs significantly from its parent's (two-sided z test)
+   stands alone, however rare it is and however many siblings it has.  Of the
+   others the rare ones are one wildcard, which is tested in the same way; what
+   does not differ merges into one branch.
 4. A leaf is rejected when its smoothed purity, (positives + PRIOR * the overall
    share) / (URLs + PRIOR), reaches PURITY.
 
@@ -42,10 +43,10 @@ RULES = (
 )
 #: Words of a host or path that label a URL positive when between non-letters.
 SEED_WORDS = ("ads", "adult", "bets", "casino", "pills", "porn", "spam", "viagra", "xxx")
-#: Segments of a template; siblings from which, and share under which, a segment
-#: is a wildcard; z beyond which a branch stands alone; weight of the overall
-#: share; purity that rejects.
-DEPTH, SIBLINGS, RARE, Z, PRIOR, PURITY = 3, 20, 0.05, 2.58, 5.0, 0.6
+#: Segments of a template; share of its parent's URLs under which a segment that
+#: does not differ is a wildcard; z beyond which a branch stands alone; weight of
+#: the overall share; purity that rejects.
+DEPTH, RARE, Z, PRIOR, PURITY = 3, 0.05, 2.58, 5.0, 0.6
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -77,6 +78,12 @@ def template(path: Column, depth: int = DEPTH) -> Column:
     return F.when(F.size(parts) > depth + 1, F.array_append(top, F.lit("**"))).otherwise(top)
 
 
+def _differs() -> Column:
+    """Whether a branch's share (bad of n) differs from its parent's (all_bad of all_n)."""
+    pool = F.col("all_bad") / F.col("all_n")
+    return F.abs(F.col("bad") / F.col("n") - pool) > Z * F.sqrt(pool * (1 - pool) / F.col("n"))
+
+
 def grow(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
     """(host, template, purity) for the rows (host, template, n, bad)."""
     total = counts.agg(F.sum("n"), F.sum("bad")).first()  # two numbers
@@ -85,16 +92,13 @@ def grow(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
     for level in range(depth + 1):
         tree = tree.withColumn("segment", F.coalesce(F.get("template", F.lit(level)), F.lit("")))
         child = tree.groupBy("node", "segment").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-        parent = child.groupBy("node").agg(
-            F.count("*").alias("siblings"), F.sum("n").alias("all_n"), F.sum("bad").alias("all_bad"))
-        rare = (F.col("siblings") > SIBLINGS) & (F.col("n") < RARE * F.col("all_n"))
-        child = child.join(parent, "node").withColumn("branch", F.when(rare, "*").otherwise(F.col("segment")))
+        parent = child.groupBy("node").agg(F.sum("n").alias("all_n"), F.sum("bad").alias("all_bad"))
+        rare = ~_differs() & (F.col("n") < RARE * F.col("all_n"))
+        child = child.join(parent, "node").withColumn("branch", F.when(rare, "/*").otherwise(F.col("segment")))
         branch = child.groupBy("node", "branch").agg(
             F.sum("n").alias("n"), F.sum("bad").alias("bad"),
             F.max("all_n").alias("all_n"), F.max("all_bad").alias("all_bad"))
-        pool = F.col("all_bad") / F.col("all_n")
-        merges = F.abs(F.col("bad") / F.col("n") - pool) <= Z * F.sqrt(pool * (1 - pool) / F.col("n"))
-        step = branch.select("node", "branch", F.when(merges, "//").otherwise(F.concat(F.lit("/"), "branch")).alias("step"))
+        step = branch.select("node", "branch", F.when(_differs(), F.concat(F.lit("/"), "branch")).otherwise("//").alias("step"))
         named = child.select("node", "segment", "branch").join(step, ["node", "branch"]).select("node", "segment", "step")
         tree = stored(tree.join(named, ["node", "segment"]).select(
             "host", "template", "n", "bad", F.concat("node", "step").alias("node")), "url-tree")

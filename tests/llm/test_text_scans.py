@@ -195,6 +195,16 @@ def test_url_tree_generalises(spark):
     assert verdict("/news/") == {"allow"} and verdict("mixed") == {"allow"}
 
 
+def test_a_rare_url_branch_that_differs_stands_alone(spark):
+    """However many siblings a spam branch has, and however rare it is."""
+    urls = [f"http://hot{clean}.example.com/{p}/{i}" for clean in (3, 19, 20, 24, 60) for i in range(40)
+            for p in ("casino", *(f"topic-{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(clean)))]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    got = urltree.judge(pages).select("host", "path", "verdict").distinct().collect()
+    assert {(r.host, r.verdict) for r in got if "casino" in r.path} == {(f"hot{n}.example.com", "block") for n in (3, 19, 20, 24, 60)}
+    assert {r.verdict for r in got if "topic" in r.path} == {"allow"}
+
+
 def test_poisson_number(spark):
     """Inversion at no, small and very large rates, at fractions beside every
     cumulative probability that a double tells from 1."""
