@@ -3,23 +3,26 @@
 Rules (host, path) decide the URLs they fit.  The others are judged by a tree
 of path templates that is grown per host from all URLs:
 
-1. A path is cut into its first DEPTH segments; what lies deeper is one segment
-   ``**``.  In a segment every run of digits is a wildcard, so numbered leaves
-   are one template.
+1. A path is cut into all of its segments.  In a segment every run of digits is
+   a wildcard, so numbered leaves are one template.
 2. Labels: URLs a block rule fits and URLs with a seed word in host or path are
    positive, all others count as negative (unlabelled URLs are mostly good).
 3. Level by level a node's segments become its branches.  A segment whose share
    of positives differs significantly from its parent's (two-sided z test)
    stands alone, however rare it is and however many siblings it has.  Of the
    others the rare ones are one wildcard, which is tested in the same way; what
-   does not differ merges into one branch.
+   does not differ merges into one branch.  A node is a leaf when its URLs are
+   all positive or all negative, or are one template: no cut could differ.  There
+   is no other bound on the depth; a run of segments that all of a node's
+   templates share is passed in one step.
 4. A leaf is rejected when its smoothed purity, (positives + PRIOR * the overall
    share) / (URLs + PRIOR), reaches PURITY.
 
 Everything is a DataFrame expression: URLs are first aggregated to (host,
 template) counts, so a host with a third of all URLs is combined before the
 shuffle, and the tree is made of those counts; the verdict returns by a join on
-(host, template) that AQE may broadcast or split.
+(host, template) that AQE may broadcast or split.  There are as many rounds as
+levels at which mixed nodes branch, each over the counts of mixed nodes only.
 
 Cases: a null URL, or one without ``://``, has empty host and path, fits no rule
 and is judged as a URL of the empty host; repeated rows are judged each (and
@@ -33,6 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodgelake.llm.common import stored
+from lodgelake.session import scratch_path
 
 #: Rules: verdict, host, path.
 RULES = (
@@ -43,10 +47,10 @@ RULES = (
 )
 #: Words of a host or path that label a URL positive when between non-letters.
 SEED_WORDS = ("ads", "adult", "bets", "casino", "pills", "porn", "spam", "viagra", "xxx")
-#: Segments of a template; share of its parent's URLs under which a segment that
-#: does not differ is a wildcard; z beyond which a branch stands alone; weight of
-#: the overall share; purity that rejects.
-DEPTH, RARE, Z, PRIOR, PURITY = 3, 0.05, 2.58, 5.0, 0.6
+#: Share of its parent's URLs under which a segment that does not differ is a
+#: wildcard; z beyond which a branch stands alone; weight of the overall share;
+#: purity that rejects.
+RARE, Z, PRIOR, PURITY = 0.05, 2.58, 5.0, 0.6
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -70,12 +74,10 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return name, verdict
 
 
-def template(path: Column, depth: int = DEPTH) -> Column:
-    """The path's first ``depth`` segments with runs of digits as wildcards;
-    ``**`` stands for deeper ones."""
+def template(path: Column) -> Column:
+    """The path's segments with runs of digits as wildcards."""
     parts = F.split(F.regexp_replace(path, r"[0-9]+", "*"), "/", -1)
-    top = F.slice(parts, 2, depth)
-    return F.when(F.size(parts) > depth + 1, F.array_append(top, F.lit("**"))).otherwise(top)
+    return F.slice(parts, 2, F.size(parts))
 
 
 def _differs() -> Column:
@@ -84,41 +86,68 @@ def _differs() -> Column:
     return F.abs(F.col("bad") / F.col("n") - pool) > Z * F.sqrt(pool * (1 - pool) / F.col("n"))
 
 
-def grow(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
+def _shared(a: Column, b: Column) -> Column:
+    """Number of leading segments that two templates share."""
+    apart = F.array_position(F.zip_with(a, b, lambda x, y: x.eqNullSafe(y)), False)
+    return F.when(apart > 0, apart - 1).otherwise(F.size(a)).cast("int")
+
+
+def grow(counts: DataFrame) -> DataFrame:
     """(host, template, purity) for the rows (host, template, n, bad)."""
+    spark = counts.sparkSession
     total = counts.agg(F.sum("n"), F.sum("bad")).first()  # two numbers
     share = float(total[1] or 0) / float(total[0] or 1)
-    tree = counts.withColumn("node", F.col("host"))
-    for level in range(depth + 1):
-        tree = tree.withColumn("segment", F.coalesce(F.get("template", F.lit(level)), F.lit("")))
-        child = tree.groupBy("node", "segment").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-        parent = child.groupBy("node").agg(F.sum("n").alias("all_n"), F.sum("bad").alias("all_bad"))
+    purity = (F.col("all_bad") + PRIOR * share) / (F.col("all_n") + PRIOR)
+    leaves = scratch_path(spark, "url-leaves")
+    going = F.when(F.size("rest") > 0, F.col("rest"))  # null for a template that ends above
+    tree = counts.select("host", "template", "n", "bad", F.col("host").alias("node"), F.col("template").alias("rest"))
+    while True:
+        nodes = stored(tree.groupBy("node").agg(
+            F.sum("n").alias("all_n"), F.sum("bad").alias("all_bad"),
+            F.min("rest").alias("least"), F.max("rest").alias("most"),
+            F.min(going).alias("low"), F.max(going).alias("high"),
+        ).select(
+            "node", "all_n", "all_bad",
+            ((F.col("all_bad") > 0) & (F.col("all_bad") < F.col("all_n")) & (F.col("least") != F.col("most"))).alias("open"),
+            # beside templates that end above, the last shared segment is a cut of its own
+            F.greatest(F.lit(0), _shared(F.col("low"), F.col("high")) - F.when(F.size("least") == 0, 1).otherwise(0)).alias("skip"),
+        ), "url-nodes")
+        tree.join(nodes.where("not open"), "node").select("host", "template", purity.alias("purity")) \
+            .write.mode("append").parquet(leaves)
+        if nodes.where("open").isEmpty():
+            break
+        # segments hold no "/", so that no two ways down give one name of a node
+        tree = tree.join(nodes.where("open"), "node").withColumn(
+            "segment", F.coalesce(F.concat(F.lit("="), F.get("rest", F.col("skip"))), F.lit("end")))
+        child = tree.groupBy("node", "segment").agg(
+            F.sum("n").alias("n"), F.sum("bad").alias("bad"),
+            F.max("all_n").alias("all_n"), F.max("all_bad").alias("all_bad"))
         rare = ~_differs() & (F.col("n") < RARE * F.col("all_n"))
-        child = child.join(parent, "node").withColumn("branch", F.when(rare, "/*").otherwise(F.col("segment")))
+        child = child.withColumn("branch", F.when(rare, "*").otherwise(F.col("segment")))
         branch = child.groupBy("node", "branch").agg(
             F.sum("n").alias("n"), F.sum("bad").alias("bad"),
             F.max("all_n").alias("all_n"), F.max("all_bad").alias("all_bad"))
-        step = branch.select("node", "branch", F.when(_differs(), F.concat(F.lit("/"), "branch")).otherwise("//").alias("step"))
+        step = branch.select("node", "branch", F.concat(F.lit("/"), F.when(_differs(), F.col("branch")).otherwise("-")).alias("step"))
         named = child.select("node", "segment", "branch").join(step, ["node", "branch"]).select("node", "segment", "step")
+        below = F.slice("rest", F.col("skip") + 2, F.size("rest"))
         tree = stored(tree.join(named, ["node", "segment"]).select(
-            "host", "template", "n", "bad", F.concat("node", "step").alias("node")), "url-tree")
-    purity = (F.sum("bad") + PRIOR * share) / (F.sum("n") + PRIOR)
-    leaves = tree.groupBy("node").agg(purity.alias("purity"))
-    return tree.join(leaves, "node").select("host", "template", "purity")
+            "host", "template", "n", "bad", F.concat("node", "step").alias("node"),
+            F.when(F.size("rest") > 0, below).otherwise(F.col("rest")).alias("rest")), "url-tree")
+    return spark.read.schema(counts.select("host", "template", F.lit(0.0).alias("purity")).schema).parquet(leaves)
 
 
-def judge(pages: DataFrame, rules=RULES, seed_words=SEED_WORDS, depth: int = DEPTH) -> DataFrame:
+def judge(pages: DataFrame, rules=RULES, seed_words=SEED_WORDS) -> DataFrame:
     """page_id, host, path, rule, verdict and purity (of the leaf that decided
     where no rule fits) of every row of ``pages``."""
     host, path = host_and_path(F.col("url"))
     urls = pages.select("page_id", host.alias("host"), path.alias("path"))
     rule, ruled = rule_of(F.col("host"), F.col("path"), rules)
-    urls = urls.select("*", rule.alias("rule"), ruled.alias("ruled"), template(F.col("path"), depth).alias("template"))
+    urls = urls.select("*", rule.alias("rule"), ruled.alias("ruled"), template(F.col("path")).alias("template"))
     words = rf"(?i)(^|[^a-z])({'|'.join(seed_words)})([^a-z]|$)"
     positive = F.coalesce(F.col("ruled") == "block", F.concat("host", "path").rlike(words))
     counts = stored(urls.groupBy("host", "template").agg(
         F.count("*").alias("n"), F.count(F.when(positive, 1)).alias("bad")), "url-counts")
-    return urls.join(grow(counts, depth), ["host", "template"]).select(
+    return urls.join(grow(counts), ["host", "template"]).select(
         "page_id", "host", "path", "rule",
         F.coalesce("ruled", F.when(F.col("purity") >= PURITY, "block").otherwise("allow")).alias("verdict"),
         F.when(F.col("rule").isNull(), F.col("purity")).alias("purity"))

@@ -205,6 +205,24 @@ def test_a_rare_url_branch_that_differs_stands_alone(spark):
     assert {r.verdict for r in got if "topic" in r.path} == {"allow"}
 
 
+def test_url_tree_sees_the_whole_path(spark):
+    """Branches at any depth are told apart: below a shared prefix, below a
+    segment that merges, beside templates that end above, and along a chain of
+    700 segments (passed in one step)."""
+    deep = "/".join(["a"] * 700)
+    spam = [*(f"http://one.example.com/a/b/c/casino/{i}" for i in range(30)),
+            *(f"http://two.example.com/{x}/{y}/q/spam/page{i}" for x in "ab" for y in "cd" for i in range(30)),
+            *(f"http://far.example.com/{deep}/pills/{i}" for i in range(30))]
+    fair = [*(f"http://one.example.com/a/b/c/news/{i}" for i in range(20)),
+            *(f"http://two.example.com/{x}/{y}/q/text/page{i}" for x in "ab" for y in "cd" for i in range(40)),
+            *(f"http://two.example.com/{x}" for x in "ab"), "http://two.example.com/a/c/q",
+            *(f"http://far.example.com/{deep}/tales/{i}" for i in range(30))]
+    pages = spark.createDataFrame(list(enumerate(spam + fair)), "page_id bigint, url string")
+    got = {r.page_id: r.verdict for r in urltree.judge(pages).collect()}
+    assert len(got) == len(spam + fair)
+    assert [got[k] for k in range(len(got))] == ["block"] * len(spam) + ["allow"] * len(fair)
+
+
 def test_poisson_number(spark):
     """Inversion at no, small and very large rates, at fractions beside every
     cumulative probability that a double tells from 1."""
