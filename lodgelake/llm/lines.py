@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 from lodgelake.llm.common import bounded_batches, chunks, first_by_hash, list_array, texts_of
 
 #: Documents the weights are fitted on at most (smallest hashes of labelled ids),
-#: and bytes of text fitted on at most (whole documents, in that order).
+#: and bytes of text fitted on at most (whole documents, in that order; one that
+#: does not fit is left out and the next ones are tried).
 FIT_ROWS, FIT_BYTES = 4_000, 16_000_000
 #: A document is kept when at least this share of its words is on content lines.
 CONTENT_SHARE = 0.5
@@ -204,13 +205,16 @@ def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, fit_byte
         .groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("y"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
     )
-    sizes = (  # one row per id; ids in hash order until the bytes are used up
+    sizes = (  # one row per id, in hash order
         docs.select("doc_id", F.octet_length("text").alias("size")).join(F.broadcast(marked), "doc_id")
         .groupBy("doc_id").agg(F.max("size").alias("size"), F.first("y").alias("y"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").toArrow()
     )
-    room = np.cumsum(np.array(sizes["size"].fill_null(0).to_numpy(), np.int64)) <= fit_bytes if sizes.num_rows else []
-    ids = [i for i, fits in zip(sizes["doc_id"].to_pylist(), room) if fits]
+    ids, used = [], 0
+    for i, size in zip(sizes["doc_id"].to_pylist(), sizes["size"].to_pylist()):
+        if used + (size or 0) <= fit_bytes:
+            ids.append(i)
+            used += size or 0
     if not ids:
         return fit([], np.zeros(0))
     chosen = marked.where(F.col("doc_id").isin(ids))

@@ -108,6 +108,19 @@ def test_line_rules_cases(spark, docs_of):
     assert lines.keep_content(docs_of([(1, clean), (2, None)], extra=True), labels).count() == 1
 
 
+def test_one_long_document_does_not_end_the_line_sample(spark, docs_of):
+    from pyspark.sql import functions as F
+    first = spark.range(20).orderBy(F.xxhash64("id"), "id").first().id
+    good = "\n".join(f"Plain words of line {k}, all of them told apart." for k in range(8))
+    bad = "\n".join("BUY NOW!!! $$$ ###" for _ in range(8))
+    texts = [(k, good if k % 2 else bad) for k in range(20)]
+    labels = spark.createDataFrame([(k, k % 2) for k, _ in texts], "doc_id bigint, quality int")
+    texts[first] = (first, texts[first][1] * 500)
+    model = lines.learn(docs_of(texts), labels, fit_bytes=20_000)
+    assert model.decode(lines.read_text(good.encode())[1]).all()
+    assert not model.decode(lines.read_text(bad.encode())[1]).any()
+
+
 def test_viterbi_is_the_best_path():
     rng = np.random.default_rng(2)
     for _ in range(40):
