@@ -131,3 +131,55 @@ SELECT doc_id, text, lang, source, n_chars, copies, copy_no::INTEGER AS copy_no,
        substr(md5('mix-1:order:' || who || ':' || CAST(copy_no AS VARCHAR)), 1, 16) AS mix_key
 FROM doc JOIN copies USING (r), unnest(range(1, copies + 1)) AS t(copy_no)
 """
+
+SQL["op11_hard_negatives"] = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.r, a.vec_id AS anchor_id, b.r AS o, b.vec_id AS id, a.label = b.label AS same,
+         CAST(list_dot_product(a.e, b.e) AS BIGINT) AS s
+  FROM v AS a, v AS b WHERE a.vec_id % 50 = 0 AND a.r <> b.r
+), positive AS (
+  SELECT * FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY r ORDER BY s DESC, id) <= 5
+)
+SELECT p.anchor_id, p.id AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.r, p.o ORDER BY n.s DESC, n.id) AS INTEGER) AS rank,
+       n.id AS negative_id, p.s AS positive_score, n.s AS negative_score
+FROM positive AS p JOIN scored AS n ON n.r = p.r AND NOT n.same AND 50 * p.s <= 100 * n.s AND 100 * n.s <= 95 * p.s
+QUALIFY row_number() OVER (PARTITION BY p.r, p.o ORDER BY n.s DESC, n.id) <= 3
+"""
+
+_PARTS = r"""string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')"""
+
+SQL["op12_collocations"] = rf"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(p, '[^\x20\x09]+') AS w
+  FROM documents, unnest({_PARTS}) AS t(p)
+), f AS (
+  SELECT lang, k, list_slice(w, s, s + k - 1) AS g, count(*) AS n
+  FROM piece, unnest([1, 2, 3]) AS t(k), unnest(range(1, len(w) - k + 2)) AS u(s)
+  GROUP BY ALL
+), phrase AS (SELECT lang, k, g, n AS a FROM f WHERE k > 1 AND n >= 10),
+cut AS (
+  SELECT p.*, c, l.n AS l, r.n AS r,
+         CAST(1000000::HUGEINT * p.a * p.a // (l.n::HUGEINT * r.n) AS BIGINT) AS score
+  FROM phrase AS p, unnest(range(1, k)) AS t(c)
+  JOIN f AS l ON l.lang = p.lang AND l.g = list_slice(p.g, 1, c)
+  JOIN f AS r ON r.lang = p.lang AND r.g = list_slice(p.g, c + 1, p.k)
+), worst AS (
+  SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, c) = 1
+), inside AS (
+  SELECT lang, list_slice(g, s, s + 1) AS g, max(a) AS most
+  FROM phrase, unnest([1, 2]) AS t(s) WHERE k = 3 GROUP BY ALL
+), kept AS (
+  SELECT w.*, array_to_string(w.g, ' ') AS phrase FROM worst AS w LEFT JOIN inside AS i ON i.lang = w.lang AND i.g = w.g
+  WHERE i.most IS NULL OR 100 * i.most < 50 * w.a
+), total AS (SELECT lang, sum(n)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN total USING (lang)
+QUALIFY rank <= 2000
+"""

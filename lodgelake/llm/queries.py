@@ -6,9 +6,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lodgelake.llm import (
-    decontaminate, langid, licenses, lines, mixing, quality, simhash, tokencount, urltree, warc,
+    collocate, decontaminate, hardneg, langid, licenses, lines, minhash, mixing, quality, simhash, tokencount, urltree,
+    warc,
 )
 from lodgelake.llm.common import table
 from lodgelake.llm.oracle_sql import SQL
@@ -57,11 +59,25 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.replicate(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fiftieth row is an anchor; labels of every seventh are moved on first."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("bigint") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(table(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("id") % 50 == 0)
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocate.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality, op2_decontaminate, op3_licenses, op4_warc, op5_language, op6_url_tree, op7_line_rules,
-        op8_simhash, op9_token_counts, op10_mixing,
+        op8_simhash, op9_token_counts, op10_mixing, op11_hard_negatives, op12_collocations, op13_minhash,
     )
 } | {"pipeline": corpus_pipeline.run}
 

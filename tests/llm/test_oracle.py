@@ -25,13 +25,14 @@ def test_equals_sql(spark, con, key):
 @pytest.mark.parametrize("key,table", [
     ("op1_quality", "documents"), ("op2_decontaminate", "documents"), ("op3_licenses", "documents"),
     ("op4_warc", "pages"), ("op5_language", "documents"), ("op6_url_tree", "pages"),
-    ("op7_line_rules", "documents"), ("op8_simhash", "documents"), ("op9_token_counts", "documents")])
+    ("op7_line_rules", "documents"), ("op8_simhash", "documents"), ("op9_token_counts", "documents"),
+    ("op13_minhash", "documents")])
 def test_one_row_each(spark, con, key, table):
     ident = "page_id" if table == "pages" else "doc_id"
     got = sorted(r[0] for r in QUERIES[key](spark, SF).select(ident).collect())
     assert got == sorted(r[0] for r in con.execute(f"select {ident} from {table}").fetchall())
 
 
-def test_all_ten_and_pipeline_are_registered():
+def test_all_operators_and_pipeline_are_registered():
     numbers = {int(k[2:].split("_")[0]) for k in QUERIES if k.startswith("op")}
-    assert numbers == set(range(1, 11)) and "pipeline" in QUERIES
+    assert numbers == set(range(1, 14)) and "pipeline" in QUERIES
