@@ -128,3 +128,29 @@ def row_key(df: DataFrame, names: list[str]) -> DataFrame:
         names[1]: F.col("doc_id").isNull(),
         names[2]: F.xxhash64(F.coalesce("text", F.lit(""))),
     })
+
+
+#: Bits of a map of hashes (2 MB, whatever it holds).
+MAP_BITS = 1 << 24
+
+
+class BitMap:
+    """A bit map of hashes; ``has`` may be true for a hash that was not put in."""
+
+    def __init__(self, bits: np.ndarray):
+        self.bits = bits
+
+    def has(self, h: np.ndarray) -> np.ndarray:
+        at = h & np.uint64(8 * len(self.bits) - 1)
+        return (self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
+def bit_map_of(rows: DataFrame, h: Column) -> BitMap:
+    """The bit map of a column of hashes; 4 KB for each 32768 bits come to the driver."""
+    at = h.bitwiseAND(F.lit(MAP_BITS - 1))
+    got = rows.groupBy(F.shiftright(at, 15).alias("part")).agg(
+        F.bitmap_construct_agg(F.pmod(at, F.lit(1 << 15))).alias("bits")).toArrow()
+    bits = np.zeros((MAP_BITS >> 15, 1 << 12), np.uint8)
+    for part, data in zip(got["part"].to_pylist(), got["bits"].to_pylist()):
+        bits[part] = np.frombuffer(data, np.uint8)
+    return BitMap(bits.ravel())

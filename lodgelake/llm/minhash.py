@@ -10,17 +10,18 @@ banded buckets, star-shaped candidates and confirmation on whole sets.
    one row each however many there are.
 4. ``rows`` values make a band's key; nodes with equal keys share a bucket.  A
    bucket proposes a star: the edges from its centre to its other members.
-5. Candidates of fitting sizes are joined with the whole sets and kept where
-   the intersection is large enough; links give components.
+5. A candidate goes on if its sizes fit and its odd sketches (parity bit maps of
+   the sets) allow a link: the bits in which two sketches differ are never more
+   than the elements in which the sets differ, so no link is refused here.  It
+   is a link if the whole sets say so: they are built again from the texts of
+   the documents in question, so that the sets of all are never stored.
 6. A star alone would lose links between two members that the centre is not
    close to.  Buckets that still hold several components are therefore
-   compared within tasks, in tiles of bounded size, by odd sketches (parity bit
-   maps of the sets): the bits in which two of them differ are never more than
-   the elements in which the sets differ, so a pair over the bound is surely no
-   link.  Of the pairs left, a spanning forest and the nearest few of each
-   member go on to 5; a refuted pair is not proposed again.  Rounds end when no
-   bucket holds an untested pair of different components: within a bucket no
-   link is lost, and pairs are never written out group by group.
+   compared within tasks by their sketches, in tiles of bounded size.  Of the
+   pairs that may be links, a spanning forest and the nearest few of each
+   member are confirmed as in 5; a refuted pair is not proposed again.  Rounds
+   end when no bucket holds an untested pair of different components: within a
+   bucket no link is lost, and pairs are never written out group by group.
 
 A pair at a similarity s shares no bucket with a chance of about
 ``(1 - s**rows) ** bands``: 6e-9 at 0.85.
@@ -42,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodgelake.llm.common import chunks, list_array, row_key, stored, texts_of
+from lodgelake.llm.common import bit_map_of, chunks, list_array, row_key, stored, texts_of
 from lodgelake.llm.simhash import components
 
 SHINGLE, PERCENT, BANDS, ROWS, SEED = 3, 85, 40, 6, 42
@@ -120,29 +121,33 @@ def folded(sketches: np.ndarray, words: int) -> np.ndarray:
     return sketches
 
 
-_MARKS = ("n_set bigint, set_a bigint, set_b bigint, band_keys array<bigint>, sketch binary, hashes array<bigint>")
+KEY = ["id", "no_id", "text_hash"]
+_MARKS = "n_set bigint, set_a bigint, set_b bigint, band_keys array<bigint>, sketch binary"
+
 
 
 def _marks(texts: list[bytes], shingle: int, rows: int, order: np.ndarray) -> list[pa.Array]:
     sets = [shingle_set(t, shingle) for t in texts]
     sums = [xxhash.xxh3_128_intdigest(s.tobytes()) for s in sets]
     keys = [band_keys(signature(s, order), rows) if len(s) else s for s in sets]
-    flat = lambda arrays: list_array(
-        np.array([len(a) for a in arrays]), pa.array(np.concatenate(arrays).view(np.int64)))
     return [
         pa.array([len(s) for s in sets], pa.int64()),
         pa.array(np.array([v >> 64 for v in sums], np.uint64).view(np.int64)),
         pa.array(np.array([v & (2**64 - 1) for v in sums], np.uint64).view(np.int64)),
-        flat(keys),
+        _lists(keys),
         pa.array([odd_sketch(s).tobytes() for s in sets], pa.binary()),
-        flat(sets),
     ]
 
 
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    return list_array(np.array([len(a) for a in arrays]), pa.array(np.concatenate(arrays).view(np.int64)))
+
+
 def marked(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
-    """Every row with a number of its own, its set, its band keys and its sketch."""
-    keyed = row_key(docs.select("doc_id", "text"), ["id", "no_id", "text_hash"]).select(
-        "id", "no_id", F.monotonically_increasing_id().alias("row"), "text")
+    """Every row with a number of its own, its set's size and hash, its band keys
+    and its sketch."""
+    keyed = row_key(docs.select("doc_id", "text"), KEY).select(
+        *KEY, F.monotonically_increasing_id().alias("row"), "text")
 
     def mark(batches):
         order = donors(bands * rows)
@@ -152,22 +157,65 @@ def marked(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
                 s = slice(at, at + len(part))
                 at += len(part)
                 yield pa.RecordBatch.from_arrays(
-                    [b[c][s] for c in ("id", "no_id", "row")] + _marks(part, shingle, rows, order),
-                    names=["id", "no_id", "row", *(x.split()[0] for x in _MARKS.split(", "))])
+                    [b[c][s] for c in (*KEY, "row")] + _marks(part, shingle, rows, order),
+                    names=[*KEY, "row", *(x.split()[0] for x in _MARKS.split(", "))])
+
+    return keyed.mapInArrow(mark, f"id bigint, no_id boolean, text_hash bigint, row bigint, {_MARKS}")
+
 
-    return keyed.mapInArrow(mark, f"id bigint, no_id boolean, row bigint, {_MARKS}")
+def _sets(docs: DataFrame, need: DataFrame, shingle: int) -> DataFrame:
+    """(row, hashes): the whole sets of the rows ``need`` (row and KEY), built
+    again from their texts.  A bit map of fixed size lets few other rows through."""
+    spark = docs.sparkSession
+    held = spark.sparkContext.broadcast(bit_map_of(need, F.xxhash64(*KEY)))
+
+    def build(batches):
+        done = set()
+        for b in batches:
+            keys = b["key"].to_numpy()
+            at = np.flatnonzero(held.value.has(keys.view(np.uint64)))
+            at = [k for k in at.tolist() if not (keys[k] in done or done.add(keys[k]))]
+            own = b.take(pa.array(at, pa.int64()))
+            texts, k = texts_of(own["text"]), 0
+            for part in chunks(texts):
+                s = slice(k, k + len(part))
+                k += len(part)
+                yield pa.RecordBatch.from_arrays(
+                    [own[c][s] for c in KEY] + [_lists([shingle_set(t, shingle) for t in part])], names=[*KEY, "hashes"])
+
+    keyed = row_key(docs.select("doc_id", "text"), KEY).select(*KEY, "text").withColumn("key", F.xxhash64(*KEY))
+    sets = keyed.mapInArrow(build, "id bigint, no_id boolean, text_hash bigint, hashes array<bigint>")
+    return sets.join(need, KEY).select("row", "hashes")
+
+
+def may_link(n: np.ndarray, sketches: list[np.ndarray], a: np.ndarray, b: np.ndarray,
+             percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """For the pairs (a, b) of members: the bits in which their sketches differ,
+    and whether these and the sizes allow a link: a link's sets differ in at most
+    ``(n_a + n_b) * (100 - percent) / (100 + percent)`` elements."""
+    width = np.array([len(s) for s in sketches], np.int64)
+    place, stack = np.zeros(len(n), np.int64), {}
+    for w in np.unique(width).tolist():
+        at = np.flatnonzero(width == w)
+        place[at], stack[w] = np.arange(len(at)), np.stack([sketches[k] for k in at])
+    bits = np.zeros(len(a), np.int64)
+    for wa, sa in stack.items():
+        for wb, sb in stack.items():
+            words = min(wa, wb)
+            here = np.flatnonzero((width[a] == wa) & (width[b] == wb))
+            step = max(1, 16 * PAIRS // max(wa, wb))
+            for p in range(0, len(here), step):
+                at = here[p:p + step]
+                x, y = folded(sa[place[a[at]]], words), folded(sb[place[b[at]]], words)
+                bits[at] = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+    fit = 100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b])
+    return bits, fit & (bits * (100 + percent) <= (n[a] + n[b]) * (100 - percent))
 
 
 def survivors(root: np.ndarray, n: np.ndarray, sketches: list[np.ndarray], left: np.ndarray, right: np.ndarray,
               percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(a, b, bits that differ) of the pairs of a member of ``left`` and one of
     ``right`` that lie in different components and whose sketches allow a link."""
-    width = np.array([len(s) for s in sketches])
-    by_width = {w: (np.flatnonzero(width == w), np.stack([sketches[k] for k in np.flatnonzero(width == w)]))
-                for w in np.unique(width)}
-    place = np.zeros(len(n), np.int64)
-    for at, _ in by_width.values():
-        place[at] = np.arange(len(at))
     found = []
     step = max(1, PAIRS // max(1, len(right)))
     for k in range(0, len(left), step):
@@ -177,16 +225,8 @@ def survivors(root: np.ndarray, n: np.ndarray, sketches: list[np.ndarray], left:
         i, j = np.nonzero((root[own][:, None] != root[right][None, :]) & (100 * small >= percent * large)
                           & (own[:, None] != right[None, :]))
         a, b = own[i], right[j]
-        for wa, (_, sa) in by_width.items():
-            for wb, (_, sb) in by_width.items():
-                here = np.flatnonzero((width[a] == wa) & (width[b] == wb))
-                words = min(wa, wb)
-                for p in range(0, len(here), max(1, 16 * PAIRS // words)):
-                    at = here[p:p + max(1, 16 * PAIRS // words)]
-                    x, y = (folded(s[place[v[at]]], words) for s, v in ((sa, a), (sb, b)))
-                    bits = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
-                    fit = bits * (100 + percent) <= (n[a[at]] + n[b[at]]) * (100 - percent)
-                    found.append((a[at][fit], b[at][fit], bits[fit]))
+        bits, fit = may_link(n, sketches, a, b, percent)
+        found.append((a[fit], b[fit], bits[fit]))
     if not found:
         none = np.zeros(0, np.int64)
         return none, none, none
@@ -229,14 +269,33 @@ def _merge(label: np.ndarray, x: np.ndarray, y: np.ndarray) -> None:
     label[:] = to[label]
 
 
-def _confirmed(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(u, v, linked): whether the whole sets of a candidate are similar enough."""
-    own, other = sets.toDF("u", "set_u"), sets.toDF("v", "set_v")
+def _confirmed(edges: DataFrame, docs: DataFrame, nodes: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """(u, v, linked): whether the whole sets of a (written) candidate are similar enough."""
+    ends = edges.select(F.explode(F.array("u", "v")).alias("row")).distinct()
+    sets = _sets(docs, stored(nodes.select("row", *KEY).join(ends, "row"), "minhash-ends"), shingle)
     both = F.size(F.array_intersect("set_u", "set_v"))
-    return edges.join(own, "u").join(other, "v").select(
+    return edges.join(sets.toDF("u", "set_u"), "u").join(sets.toDF("v", "set_v"), "v").select(
         "u", "v", (100 * both >= percent * (F.size("set_u") + F.size("set_v") - both)).alias("linked"))
 
 
+def _allowed(edges: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Candidates (u, v) whose sizes and sketches allow a link."""
+    def sift(batches):
+        for b in batches:
+            n = np.concatenate([b[c].to_numpy() for c in ("n_u", "n_v")])
+            sketches = [np.frombuffer(x, np.uint64) for c in ("sketch_u", "sketch_v") for x in b[c].to_pylist()]
+            own = np.arange(b.num_rows)
+            fit = pa.array(may_link(n, sketches, own, own + b.num_rows, percent)[1])
+            yield pa.RecordBatch.from_arrays([b["u"].filter(fit), b["v"].filter(fit)], ["u", "v"])
+
+    of = nodes.select("row", "n_set", "sketch")
+    small, large = F.least("n_u", "n_v"), F.greatest("n_u", "n_v")
+    return (
+        edges.join(of.toDF("u", "n_u", "sketch_u"), "u").join(of.toDF("v", "n_v", "sketch_v"), "v")
+        .where(100 * small >= percent * large).mapInArrow(sift, "u bigint, v bigint")
+    )
+
+
 def _tiles(members: DataFrame, percent: int, each: int) -> DataFrame:
     """Candidates (u, v) of the open buckets' members (key, size, row, root, n_set,
     sketch, refuted), compared tile by tile."""
@@ -277,22 +336,19 @@ def _tiles(members: DataFrame, percent: int, each: int) -> DataFrame:
         compare, "u bigint, v bigint").distinct()
 
 
-def _linked(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _linked(docs: DataFrame, nodes: DataFrame, shingle: int, percent: int) -> DataFrame:
     """(row, root) of the nodes that have a link: the components of all links
-    between nodes (row, n_set, band_keys, sketch, copies) that share a bucket."""
+    between nodes (row, KEY, n_set, band_keys, sketch, copies) that share a bucket."""
     in_band = nodes.select("row", "copies", F.explode("band_keys").alias("key"))
     buckets = in_band.groupBy("key").agg(
         F.count("*").alias("size"), F.min(F.struct((-F.col("copies")).alias("few"), "row")).getField("row").alias("centre"),
     ).where("size > 1")
     members = stored(in_band.join(buckets, "key").select("key", "row", "size", "centre"), "minhash-buckets")
-    size = nodes.select("row", "n_set")
-    small, large = F.least("n_u", "n_v"), F.greatest("n_u", "n_v")
-    star = (
-        members.where("row != centre").select(F.least("row", "centre").alias("u"), F.greatest("row", "centre").alias("v"))
-        .distinct().join(size.toDF("u", "n_u"), "u").join(size.toDF("v", "n_v"), "v")
-        .where(100 * small >= percent * large).select("u", "v")
-    )
-    tested = stored(_confirmed(star, sets, percent), "minhash-tested")
+    star = members.where("row != centre").select(
+        F.least("row", "centre").alias("u"), F.greatest("row", "centre").alias("v")).distinct()
+    confirmed = lambda edges: stored(_confirmed(
+        stored(edges, "minhash-candidates"), docs, nodes, shingle, percent).dropDuplicates(["u", "v"]), "minhash-tested")
+    tested = confirmed(_allowed(star, nodes, percent))
     each = 0
     while True:
         roots = components(tested.where("linked").select(F.col("u").alias("fp"), F.col("v").alias("other")))
@@ -303,9 +359,7 @@ def _linked(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             rooted.join(open_.select("key"), "key").select("key", "size", "row", "root")
             .join(nodes.select("row", "n_set", "sketch"), "row").join(refuted, "row", "left")
             .withColumn("refuted", F.coalesce("refuted", F.array().cast("array<bigint>"))), "minhash-open")
-        if left.isEmpty():
-            return roots.toDF("row", "root")
-        more = stored(_confirmed(_tiles(left, percent, each), sets, percent), "minhash-tested")
+        more = confirmed(_tiles(left, percent, each)) if not left.isEmpty() else left
         if more.isEmpty():
             return roots.toDF("row", "root")
         tested = stored(tested.union(more), "minhash-tested")
@@ -320,9 +374,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     full = rows_.where("n_set > 0")
     classes = stored(full.groupBy("set_a", "set_b").agg(least, F.count("*").alias("copies")), "minhash-classes")
     nodes = stored(
-        full.select("row", "n_set", "band_keys", "sketch")
+        full.select("row", *KEY, "n_set", "band_keys", "sketch")
         .join(classes.select(F.col("least.row").alias("row"), "copies"), "row"), "minhash-nodes")
-    roots = _linked(nodes, rows_.select("row", "hashes"), percent)
+    roots = _linked(docs, nodes, shingle, percent)
     named = classes.join(roots.withColumnRenamed("row", "rep"), F.col("least.row") == F.col("rep"), "left").select(
         "set_a", "set_b", "least", F.coalesce("root", "least.row").alias("root"))
     firsts = named.groupBy("root").agg(F.min("least").alias("first"))
