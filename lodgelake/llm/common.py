@@ -5,6 +5,7 @@ folder named by ``spark.checkpoint.dir``."""
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,19 @@ def bounded_batches() -> None:
         conf.set(key, str(BATCH_ROWS))
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: int = 8 << 20):
+    """Arrow batches of at most about ``size`` bytes for what runs inside; the
+    caller's setting holds again afterwards."""
+    conf, key = spark.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = conf.get(key)
+    conf.set(key, str(size))
+    try:
+        yield
+    finally:
+        conf.set(key, before)
+
+
 def alnum_words(text: bytes) -> list[bytes]:
     """Lower-cased words made of digits, letters and non-ASCII characters."""
     return text.translate(_WORDS).split()
