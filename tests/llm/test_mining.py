@@ -148,8 +148,8 @@ def test_collocations_in_a_long_text_and_without_candidates(spark, docs_of):
 
 def test_collocation_products_beyond_64_bits(spark):
     big = 3_000_000_000
-    words = spark.createDataFrame([("en", 1, 2 * big), ("en", 2, 3 * big)], "lang string, c1 bigint, n bigint")
-    pairs = spark.createDataFrame([("en", 1, 2, big)], "lang string, c1 bigint, c2 bigint, n bigint")
+    words = spark.createDataFrame([(7, 1, 2 * big), (7, 2, 3 * big)], "lang_hash bigint, c1 bigint, n bigint")
+    pairs = spark.createDataFrame([(7, 1, 2, big)], "lang_hash bigint, c1 bigint, c2 bigint, n bigint")
     got = collocate._scored([words, pairs], 2).select("worst.score").first()[0]
     assert got == 10**6 * big * big // (6 * big * big)
 
