@@ -305,9 +305,9 @@ _COVERAGE = oracle_analysis.COVERAGE.strip()
     "SELECT host_id, listing_id, rev_12m_c FROM earned JOIN single USING (host_id)", _COVERAGE))
 def q_join_using(spark, sf):
     L = _L(spark, sf)
-    rows = analysis.coverage_rows(L.listings, L.lga_suburb, L.lga_code)
-    return (analysis.earned_12m(rows).join(analysis.sole_owners(L.listings), "host_id")
-            .select("host_id", "listing_id", "rev_12m_c"))
+    earned = analysis.tenures_12m(L.listings, analysis.suburb_areas(L.lga_suburb, L.lga_code)).where("nights > 0")
+    return (earned.join(analysis.single_listing_hosts(L.listings), "host_id")
+            .select("host_id", "listing_id", F.col("cents").alias("rev_12m_c")))
 
 
 @register("covers_flag", with_base("""
