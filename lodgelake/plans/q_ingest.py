@@ -137,6 +137,11 @@ text_rows AS (
 _LISTING_COLS = ", ".join(schemas.LISTING_COLUMNS)
 
 
+# names a landing folder may hold beside the tables' own; only some are taken
+LANDED_NAMES = ["Census_G01_NSW.CSV", "census_g01.csv", "2016Census_G02.Csv", "G01_and_G02.csv", "G02.csv.gz", "G02.txt",
+                "LGA_SUBURB.csv", "LGA_CODE.csv", "lga_code.csv", "notes_G01.csv.bak", "csv", "05_2020.csv.part"]
+
+
 # -- queries ----------------------------------------------------------------
 
 @register("scan_csv", with_base(f"SELECT {_LISTING_COLS} FROM text_rows", _TEXT_ROWS.strip()))
@@ -150,9 +155,24 @@ def q_normalise_headers(spark, sf):
     return _census(spark, sf, "census_g01")
 
 
-@register("select_files", with_base("SELECT * FROM census_g02"))
+@register("select_files", """
+SELECT name, kind FROM (VALUES ('Census_G01_NSW.CSV', 'census_g01'), ('2016Census_G02.Csv', 'census_g02'),
+  ('G01_and_G02.csv', 'census_g01'), ('G01_and_G02.csv', 'census_g02'), ('LGA_SUBURB.csv', 'nsw_lga_suburb'),
+  ('LGA_CODE.csv', 'nsw_lga_code')) AS picked(name, kind)
+UNION ALL
+SELECT 'area_' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') || '_G02.csv', 'census_g02' FROM nation
+UNION ALL
+SELECT DISTINCT strftime(l_shipdate, 'drop_%m_%Y.CSV'), 'month' FROM lineitem""")
 def q_select_files(spark, sf):
-    return _census(spark, sf, "census_g02")
+    """Which of the landed names each kind takes: the suffix in any case, the
+    marker in its own case only; names from the tables lie among them."""
+    nations, items = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("nation", "lineitem"))
+    landed = (
+        spark.createDataFrame([(n,) for n in LANDED_NAMES], "name string")
+        .union(nations.select(F.concat(F.lit("area_"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0"), F.lit("_G02.csv"))))
+        .union(items.select(F.date_format("l_shipdate", "'drop_'MM_yyyy'.CSV'")).distinct())
+    )
+    return files.kinds_of(landed)
 
 
 @register("concat_files", with_base(
@@ -164,11 +184,18 @@ def q_concat_files(spark, sf):
     return typed.where(F.col("scraped_date").isNotNull()).select(*schemas.LISTING_COLUMNS)
 
 
-@register("load_projection", with_base(f"SELECT {_LISTING_COLS} FROM loaded_rows", _LOADED.strip()))
+@register("load_projection", with_base("""
+SELECT listing_id, scraped_date, host_id, price FROM text_rows""", _TEXT_ROWS.strip()))
 def q_load_projection(spark, sf):
-    text = ingest.read_csv_text(spark, _listing_paths(spark, sf), schemas.LISTING_COLUMNS)
-    typed = ingest.type_listings(text)
-    return typed.where(F.col("scraped_date").isNotNull()).select(*schemas.LISTING_COLUMNS)
+    """A declared list of columns, in its order, from files that have many more;
+    a declared column that a file lacks is an error."""
+    paths, wanted = _listing_paths(spark, sf), ["listing_id", "scraped_date", "host_id", "price"]
+    text = ingest.read_csv_text(spark, paths, wanted)
+    try:
+        ingest.read_csv_text(spark, paths[:1], [*wanted, "no_such_column"])
+    except ValueError:
+        return ingest.project(text, wanted)
+    raise AssertionError("a missing declared column was accepted")
 
 
 @register("null_normalise", with_base(

@@ -44,6 +44,15 @@ def select_files(names: list[str], kind: str | None = None) -> list[str]:
     return out
 
 
+def kinds_of(names: DataFrame) -> DataFrame:
+    """(name, kind) of the files that a kind takes, for a table of names; month
+    files have the kind ``month``.  The rule of ``select_files`` on many names."""
+    is_csv = F.lower(F.col("name")).endswith(".csv")
+    kinds = [F.when(F.col("name").contains(marker), F.lit(kind)) for kind, marker in KIND_MARKERS.items()]
+    kinds.append(F.when(F.col("name").rlike(MONTH_FILE_PATTERN), F.lit("month")))
+    return names.where(is_csv).select("name", F.explode(F.array_compact(F.array(*kinds))).alias("kind"))
+
+
 def month_of_name(name: str) -> tuple[int, int] | None:
     """(yyyy, mm) from '..._MM_YYYY.csv', or None."""
     m = _MONTH_RE.search(name)
