@@ -75,6 +75,18 @@ def apply_batch(history: DataFrame, batch: DataFrame, key: str, attrs: Sequence[
             .unionByName(new_v.select(*cols)))
 
 
+def splice(history: DataFrame, batch: DataFrame, key: str, attrs: Sequence[str], ts: str = "updated_at") -> DataFrame:
+    """Merge rows of any time into a history without hard deletes: the versions
+    of the batch's keys are chained again with the new ones in between, those of
+    other keys stay.  Equals a rebuild from all rows; rows met again change nothing."""
+    cols = history.columns
+    touched = batch.where(F.col(ts).isNotNull()).select(key).where(F.col(key).isNotNull()).distinct()
+    rows = [c for c in cols if c not in (FROM, TO)]
+    own = history.join(touched, key, "left_semi").select(*rows)
+    again = build_history(own.unionByName(batch.select(*rows)), key, attrs, ts)
+    return history.join(touched, key, "left_anti").select(*cols).unionByName(again.select(*cols))
+
+
 def asof_join(facts: DataFrame, history: DataFrame, key: str, date_col: str,
               attrs: Sequence[str], how: str = "left", keep_validity: bool = False,
               bounded_per_key: bool = False, probes: DataFrame | None = None) -> DataFrame:

@@ -7,17 +7,18 @@ as Parquet (``materialise``) and the marts stay views over them.
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
 from lodgelake.operators import scd2
 from lodgelake.plans import marts, silver, star
 from lodgelake.plans.analysis import PARTITION_COL
+from lodgelake.plans.versions import VersionedTables
 from lodgelake.session import pin_session
-from lodgelake.sources import files, testdata
+from lodgelake.sources import testdata
 from lodgelake.sources.ingest import BRONZE_PARTITION
 
 
@@ -82,129 +83,125 @@ class Layers:
         return star.fact_listings(self.listings)
 
 
+CURRENT = "is_current"
+
+
 class MaterialisedLayers:
     """The same layers read back from Parquet tables written once.
 
     ``build`` writes each table from the one before it (silver -> history/fact ->
     star; the loaded bronze is not copied), so every step starts from a written table: the lineage is
     cut, a lost executor recomputes at most one step, and each table is read
-    with column pruning and predicate pushdown afterwards.
+    with column pruning and predicate pushdown afterwards.  Monthly tables are
+    partitioned by month, histories into open and closed versions.  All tables
+    change at once, by the commit at a run's end.
     """
 
     TABLES = ["listings", "dim_host_silver", "dim_property_silver", "census_g01", "census_g02", "lga_code",
               "lga_suburb", "host_history", "property_history", "fact", "fact_month", "dim_host", "dim_listing",
               "dim_suburb", "dim_lga"]
+    HISTORIES = (("host_history", star.host_history, "host_id", star.HOST_ATTRS),
+                 ("property_history", star.property_history, "listing_id", star.PROPERTY_ATTRS))
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark, self.base = spark, base.rstrip("/")
+        tables = VersionedTables(spark, base)
         for name in self.TABLES:
-            df = spark.read.parquet(f"{self.base}/{name}")
+            df = tables.read(name)
             # only the trailing-window analyses prune by the listings' month
-            setattr(self, name, df if name == "listings" else df.drop(PARTITION_COL))
+            setattr(self, name, df if name == "listings" else df.drop(PARTITION_COL, CURRENT))
 
     @classmethod
     def build(cls, layers: Layers, base: str) -> "MaterialisedLayers":
         """Write every table anew."""
-        t = _Tables(layers.spark, base)
-        listings = t.put("listings", layers.listings, PARTITION_COL)
-        t.put_monthly_copies(listings)
-        hh = t.put("host_history", star.host_history(listings))
-        ph = t.put("property_history", star.property_history(listings))
-        t.put("fact_month", marts.monthly_fact(t.read("fact"), ph, hh), "month_start")
-        t.put_references(layers)
+        t = VersionedTables(layers.spark, base)
+        listings = t.put("listings", _by_month(layers.listings), PARTITION_COL)
+        _put_monthly_copies(t, listings)
+        hh, ph = (put_history(t, name, whole(listings)) for name, whole, _, _ in cls.HISTORIES)
+        t.put("fact_month", marts.monthly_fact(t.read("fact").drop(PARTITION_COL), ph, hh), "month_start")
+        _put_references(t, layers)
+        t.commit(months=_months(listings, PARTITION_COL))
         return cls(layers.spark, base)
 
     @classmethod
     def update(cls, layers: Layers, base: str, bronze: str) -> "MaterialisedLayers":
         """Bring the tables up to date with the loaded bronze at ``bronze``.
 
-        Bronze only grows, so the months whose row counts differ are those with
-        new rows; only their partitions of the monthly tables are rewritten.
-        Months later than all built ones are merged into the histories; an older
-        month changes versions in between, so then the histories are rebuilt.
-        Facts of other months keep their attributes: every fact has a version
-        that starts at its own date.  The result equals a full ``build``.
+        A commit records how many bronze rows of each month its tables hold.
+        Bronze only grows, so the months whose counts differ are those with new
+        rows; only their partitions of the monthly tables are written again.
+        Months later than all built ones are merged into the open versions of
+        the histories; an older month is spliced in between the versions of the
+        keys it has.  Facts of other months keep their attributes: every fact
+        has a version that starts at its own date.  The result equals a full
+        ``build``.  A run that stops before its commit changes nothing.
         """
-        spark, t = layers.spark, _Tables(layers.spark, base)
-        if not t.exists("listings"):
+        spark, t = layers.spark, VersionedTables(layers.spark, base)
+        built = t.notes().get("months")
+        if built is None:
             return cls.build(layers, base)
         raw = spark.read.parquet(bronze)
-        n_of = lambda df, month: df.groupBy(F.col(month).alias("m")).agg(F.count("*").alias("n"))
-        built = n_of(t.read("listings"), PARTITION_COL)
-        differ = n_of(raw, BRONZE_PARTITION).join(built.select("m", F.col("n").alias("built")), "m", "left")
-        months = [r.m for r in differ.where("built is null or built != n").select("m").collect()]  # calendar months
+        loaded = _months(raw, BRONZE_PARTITION)
+        months = [m for m, n in loaded.items() if built.get(m) != n]
         if months:
-            last = built.agg(F.max("m")).first()[0]
-            batch = silver.silver_listings(raw.where(F.col(BRONZE_PARTITION).isin(months)))
-            t.put("listings", batch, PARTITION_COL, only=True)
-            listings = t.read("listings")
-            batch = listings.where(F.col(PARTITION_COL).isin(months))
-            t.put_monthly_copies(batch, only=True)
-            histories = []
-            for name, rebuild, key, attrs in (
-                    ("host_history", star.host_history, "host_id", star.HOST_ATTRS),
-                    ("property_history", star.property_history, "listing_id", star.PROPERTY_ATTRS)):
-                if last is None or min(months) <= last:
-                    new = rebuild(listings)
-                else:
-                    rows = star.with_updated_at(batch.select(key, *attrs, "scraped_date"))
-                    new = scd2.apply_batch(t.read(name), rows, key, attrs)
-                histories.append(t.replace(name, new))
-            hh, ph = histories
-            fact = t.read("fact").where(F.col(PARTITION_COL).isin(months))
-            t.put("fact_month", marts.monthly_fact(fact.drop(PARTITION_COL), ph, hh), "month_start", only=True)
-        t.put_references(layers)
+            other = lambda m: m not in months
+            of_months = lambda df, c: df.where(F.col(c).isin(*map(dt.date.fromisoformat, months)))
+            t.put("listings", _by_month(silver.silver_listings(of_months(raw, BRONZE_PARTITION))), PARTITION_COL, other)
+            batch = of_months(t.read("listings"), PARTITION_COL)
+            _put_monthly_copies(t, batch, other)
+            late = bool(built) and min(months) <= max(built)
+            hh, ph = (
+                merge_history(t, name, star.with_updated_at(batch.select(key, *attrs, "scraped_date")), key, attrs, late)
+                for name, _, key, attrs in cls.HISTORIES)
+            fact = of_months(t.read("fact"), PARTITION_COL).drop(PARTITION_COL)
+            t.put("fact_month", marts.monthly_fact(fact, ph, hh), "month_start", other)
+        _put_references(t, layers)
+        t.commit(months=loaded)
         return cls(spark, base)
 
 
-class _Tables:
-    """Writes the Parquet tables of one warehouse folder."""
+def _months(rows: DataFrame, month: str) -> dict[str, int]:
+    """Rows of each calendar month."""
+    return {str(r.m): r.n for r in rows.groupBy(F.col(month).cast("date").alias("m")).agg(F.count("*").alias("n")).collect()}
+
+
+def _by_month(df: DataFrame) -> DataFrame:
+    return df.withColumn(PARTITION_COL, F.trunc(F.col("scraped_date"), "month"))
+
+
+def _put_monthly_copies(t: VersionedTables, listings: DataFrame, keep=None) -> None:
+    """Tables made of the listings row by row or date by date."""
+    for name, make in (("dim_host_silver", silver.silver_dim_host), ("dim_property_silver", silver.silver_dim_property),
+                       ("fact", star.fact_listings)):
+        t.put(name, _by_month(make(listings)), PARTITION_COL, keep)
+
+
+def _put_references(t: VersionedTables, layers: Layers) -> None:
+    """Current dimensions (of the open versions only) and the small area and census tables."""
+    for name in ("census_g01", "census_g02", "lga_code", "lga_suburb"):
+        t.put(name, getattr(layers, name))
+    t.put("dim_host", star.dim_host_current(open_versions(t.read("host_history"))))
+    t.put("dim_listing", star.dim_listing(open_versions(t.read("property_history"))))
+    t.put("dim_suburb", star.dim_suburb(t.read("lga_suburb")))
+    t.put("dim_lga", star.dim_lga(t.read("lga_code")))
+
+
+def put_history(t: VersionedTables, name: str, history: DataFrame) -> DataFrame:
+    """Write a whole history, open and closed versions apart."""
+    return t.put(name, history.withColumn(CURRENT, F.col(scd2.TO).isNull()), CURRENT)
+
+
+def open_versions(history: DataFrame) -> DataFrame:
+    """Open versions of a written history: one partition of it."""
+    return history.where(F.col(CURRENT)).drop(CURRENT)
 
-    def __init__(self, spark: SparkSession, base: str):
-        self.spark, self.base = spark, base.rstrip("/")
 
-    def path(self, name: str) -> str:
-        return f"{self.base}/{name}"
-
-    def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
-
-    def exists(self, name: str) -> bool:
-        fs, p = files._fs(self.spark, self.path(name))
-        return fs.exists(p)
-
-    def put(self, name: str, df: DataFrame, by: str | None = None, only: bool = False) -> DataFrame:
-        """Write a table, by month if ``by`` names the month column (rebalance
-        lets AQE size the files); ``only``: just the months that ``df`` has."""
-        if by == PARTITION_COL:
-            df = df.withColumn(by, F.trunc(F.col("scraped_date"), "month"))
-        writer = (df.hint("rebalance", by) if by else df).write.mode("overwrite")
-        if by:
-            writer = writer.partitionBy(by).option("partitionOverwriteMode", "dynamic" if only else "static")
-        writer.parquet(self.path(name))
-        return self.read(name)
-
-    def replace(self, name: str, df: DataFrame) -> DataFrame:
-        """Write a table that ``df`` itself reads: beside it first, then swapped."""
-        beside = f"{self.path(name)}__next"
-        df.write.mode("overwrite").parquet(beside)
-        fs, old = files._fs(self.spark, self.path(name))
-        fs.delete(old, True)
-        fs.rename(files._fs(self.spark, beside)[1], old)
-        self.spark.catalog.refreshByPath(self.path(name))
-        return self.read(name)
-
-    def put_monthly_copies(self, listings: DataFrame, only: bool = False) -> None:
-        """Tables made of the listings row by row or date by date."""
-        self.put("dim_host_silver", silver.silver_dim_host(listings), PARTITION_COL, only)
-        self.put("dim_property_silver", silver.silver_dim_property(listings), PARTITION_COL, only)
-        self.put("fact", star.fact_listings(listings), PARTITION_COL, only)
-
-    def put_references(self, layers: Layers) -> None:
-        """Current dimensions and the small area and census tables."""
-        for name in ("census_g01", "census_g02", "lga_code", "lga_suburb"):
-            self.put(name, getattr(layers, name))
-        self.put("dim_host", star.dim_host_current(self.read("host_history")))
-        self.put("dim_listing", star.dim_listing(self.read("property_history")))
-        self.put("dim_suburb", star.dim_suburb(self.read("lga_suburb")))
-        self.put("dim_lga", star.dim_lga(self.read("lga_code")))
+def merge_history(t: VersionedTables, name: str, batch: DataFrame, key: str, attrs, late: bool) -> DataFrame:
+    """Merge rows into a written history.  Rows later than all versions touch the
+    open ones only: these are written again and what they close is added beside
+    the closed ones, which stay as they are.  ``late`` rows are spliced in."""
+    history = t.read(name)
+    if late:
+        return put_history(t, name, scd2.splice(history.drop(CURRENT), batch, key, attrs))
+    merged = scd2.apply_batch(open_versions(history), batch, key, attrs)
+    return t.put(name, merged.withColumn(CURRENT, F.col(scd2.TO).isNull()), CURRENT, lambda value: value == "false")

@@ -20,6 +20,7 @@ from lodgelake.plans.catalog import register
 from lodgelake.plans.layers import Layers
 from lodgelake.plans.oracle_sql import with_base
 from lodgelake.plans.oracle_analysis import HOST_MART
+from lodgelake.plans.versions import VersionedTables
 from lodgelake.session import scratch_path
 from lodgelake.sources import files, ingest, testdata
 
@@ -302,9 +303,12 @@ def q_bronze_passthrough(spark, sf):
 
 @register("materialise_table", with_base("SELECT * FROM airbnb_cleaned"))
 def q_materialise_table(spark, sf):
-    path = scratch_path(spark, "silver_listings")
-    Layers(spark, sf).listings.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    """Written under a version folder and committed; read as a later run does."""
+    base = scratch_path(spark, "silver")
+    tables = VersionedTables(spark, base)
+    tables.put("listings", Layers(spark, sf).listings)
+    tables.commit()
+    return VersionedTables(spark, base).read("listings")
 
 
 @register("materialise_view", HOST_MART)

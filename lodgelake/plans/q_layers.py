@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from lodgelake.operators import scd2
 from lodgelake.plans import analysis, marts, oracle_analysis, star
 from lodgelake.plans.catalog import register
-from lodgelake.plans.layers import Layers
+from lodgelake.plans.layers import Layers, open_versions, put_history
 from lodgelake.plans.oracle_sql import HOST_ATTRS, PROP_ATTRS, asof, with_base
+from lodgelake.plans.versions import VersionedTables
+from lodgelake.session import scratch_path
 
 # ---------------------------------------------------------------- silver ----
 
@@ -54,8 +56,17 @@ def q_silver_dim_property(spark, sf):
 _HIST_COLS = "valid_from, valid_to, updated_at, scraped_date"
 
 
-@register("scd2_host_history", with_base(
-    f"SELECT host_id, {', '.join(HOST_ATTRS)}, {_HIST_COLS} FROM host_snapshot"))
+HISTORY_SQL = with_base(f"SELECT host_id, {', '.join(HOST_ATTRS)}, {_HIST_COLS} FROM host_snapshot")
+
+
+def _open(spark, sf, name):
+    """Open versions of a history written with open and closed versions apart:
+    one partition is read, however long the closed history is."""
+    t = VersionedTables(spark, scratch_path(spark, "history"))
+    return open_versions(put_history(t, name, getattr(Layers(spark, sf), name)))
+
+
+@register("scd2_host_history", HISTORY_SQL)
 def q_scd2_host_history(spark, sf):
     return Layers(spark, sf).host_history
 
@@ -70,7 +81,7 @@ def q_scd2_property_history(spark, sf):
     f"SELECT host_id, {', '.join(HOST_ATTRS)}, {_HIST_COLS} FROM host_snapshot "
     "WHERE valid_to IS NULL"))
 def q_scd2_current(spark, sf):
-    return scd2.current(Layers(spark, sf).host_history)
+    return _open(spark, sf, "host_history")
 
 
 # Incremental runs: history of the rows before the cut, then the whole table
@@ -163,13 +174,13 @@ def q_gold_fact_listings(spark, sf):
 @register("gold_dim_host", with_base(
     f"SELECT host_id, {', '.join(HOST_ATTRS)} FROM host_snapshot WHERE valid_to IS NULL"))
 def q_gold_dim_host(spark, sf):
-    return star.dim_host_current(Layers(spark, sf).host_history)
+    return star.dim_host_current(_open(spark, sf, "host_history"))
 
 
 @register("gold_dim_listing", with_base(
     f"SELECT listing_id, {', '.join(PROP_ATTRS)} FROM property_snapshot WHERE valid_to IS NULL"))
 def q_gold_dim_listing(spark, sf):
-    return star.dim_listing(Layers(spark, sf).property_history)
+    return star.dim_listing(_open(spark, sf, "property_history"))
 
 
 @register("gold_dim_suburb", with_base("SELECT suburb_name, lga_name FROM lga_suburb_cleaned"))
