@@ -97,12 +97,16 @@ class MaterialisedLayers:
     change at once, by the commit at a run's end.
     """
 
-    TABLES = ["listings", "dim_host_silver", "dim_property_silver", "census_g01", "census_g02", "lga_code",
+    TABLES = ["listings", "census_g01", "census_g02", "lga_code",
               "lga_suburb", "host_history", "property_history", "fact", "fact_month", "dim_host", "dim_listing",
               "dim_suburb", "dim_lga"]
     HISTORIES = (("host_history", star.host_history, "host_id", star.HOST_ATTRS),
                  ("property_history", star.property_history, "listing_id", star.PROPERTY_ATTRS))
 
+    #: The silver dimensions are views: no other table is made from them.
+    dim_host_silver = Layers.dim_host_silver
+    dim_property_silver = Layers.dim_property_silver
+
     def __init__(self, spark: SparkSession, base: str):
         self.spark, self.base = spark, base.rstrip("/")
         tables = VersionedTables(spark, base)
@@ -116,7 +120,7 @@ class MaterialisedLayers:
         """Write every table anew."""
         t = VersionedTables(layers.spark, base)
         listings = t.put("listings", _by_month(layers.listings), PARTITION_COL)
-        _put_monthly_copies(t, listings)
+        t.put("fact", _by_month(star.fact_listings(listings)), PARTITION_COL)
         hh, ph = (put_history(t, name, whole(listings)) for name, whole, _, _ in cls.HISTORIES)
         t.put("fact_month", marts.monthly_fact(t.read("fact").drop(PARTITION_COL), ph, hh), "month_start")
         _put_references(t, layers)
@@ -148,7 +152,7 @@ class MaterialisedLayers:
             of_months = lambda df, c: df.where(F.col(c).isin(*map(dt.date.fromisoformat, months)))
             t.put("listings", _by_month(silver.silver_listings(of_months(raw, BRONZE_PARTITION))), PARTITION_COL, other)
             batch = of_months(t.read("listings"), PARTITION_COL)
-            _put_monthly_copies(t, batch, other)
+            t.put("fact", _by_month(star.fact_listings(batch)), PARTITION_COL, other)
             late = bool(built) and min(months) <= max(built)
             hh, ph = (
                 merge_history(t, name, star.with_updated_at(batch.select(key, *attrs, "scraped_date")), key, attrs, late)
@@ -169,13 +173,6 @@ def _by_month(df: DataFrame) -> DataFrame:
     return df.withColumn(PARTITION_COL, F.trunc(F.col("scraped_date"), "month"))
 
 
-def _put_monthly_copies(t: VersionedTables, listings: DataFrame, keep=None) -> None:
-    """Tables made of the listings row by row or date by date."""
-    for name, make in (("dim_host_silver", silver.silver_dim_host), ("dim_property_silver", silver.silver_dim_property),
-                       ("fact", star.fact_listings)):
-        t.put(name, _by_month(make(listings)), PARTITION_COL, keep)
-
-
 def _put_references(t: VersionedTables, layers: Layers) -> None:
     """Current dimensions (of the open versions only) and the small area and census tables."""
     for name in ("census_g01", "census_g02", "lga_code", "lga_suburb"):
