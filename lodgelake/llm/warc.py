@@ -9,8 +9,11 @@ attempt leaves behind is never read.
 
 Reading starts from the index: selected records are sorted by file and offset,
 neighbours closer than ``GAP`` bytes are coalesced into ranges of at most about
-``SPAN`` bytes, ranges are spread over tasks, and each range is one seek and
-one read.  Records are parsed and their payload digests verified.
+``SPAN`` bytes, and each range is one seek and one read.  Tasks are as many as
+the ranges' summed bytes ask for (an index row is small, so its own size says
+nothing), each with neighbouring ranges.  Records are parsed and their payload
+digests verified.  An archive begins with a warcinfo record, and a revisit names
+the record id and URL of its response, so that other readers can follow it.
 
 Archives are opened through pyarrow's file systems by URI, so any store that it
 knows works; they go under the shared folder of the cluster.
@@ -44,6 +47,8 @@ from lodgelake.session import scratch_path
 LEAST = 0
 #: Bytes after which an archive is closed, gap that is read over, and bytes of a range.
 ARCHIVE, GAP, SPAN = 256 << 20, 64 << 10, 4 << 20
+#: Bytes of archives that a reading task takes at most, about.
+TASK = 128 << 20
 
 _DATE = "2020-01-01T00:00:00Z"
 INDEX = ("page_id bigint, url string, payload_digest string, payload_bytes bigint, record_type string, "
@@ -71,23 +76,38 @@ def _one_line(url: str | None) -> str:
     return "".join(c if c >= " " and c != "\x7f" else f"%{ord(c):02X}" for c in url or "")
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, sha: str, refers_to: int | None,
-           revisit: bool, size: int) -> bytes:
-    """One WARC/1.1 record, without compression."""
-    name = uuid.uuid5(uuid.NAMESPACE_URL, f"page:{page_id}:{url}:{sha}")
+def record_id(page_id: int | None, url: str | None, sha: str) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}:{url}:{sha}')}>"
+
+
+def _record(head: list[str], body: bytes) -> bytes:
+    return "\r\n".join(["WARC/1.1", *head, f"Content-Length: {len(body)}"]).encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
+
+
+def info_record(name: str) -> bytes:
+    """The record that an archive begins with."""
+    return _record(["WARC-Type: warcinfo", f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}>",
+                    f"WARC-Date: {_DATE}", f"WARC-Filename: {name.rpartition('/')[2]}",
+                    "Content-Type: application/warc-fields"], b"format: WARC File Format 1.1\r\n")
+
+
+def record(page_id: int | None, url: str | None, payload: bytes, sha: str, refers_to: tuple[int, str | None] | None,
+           size: int) -> bytes:
+    """One WARC/1.1 record, without compression; ``refers_to``: page and URL of
+    the response that it revisits."""
     head = [
-        "WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: <urn:uuid:{name}>",
+        f"WARC-Type: {'revisit' if refers_to else 'response'}", f"WARC-Record-ID: {record_id(page_id, url, sha)}",
         f"WARC-Date: {_DATE}", f"WARC-Target-URI: {_one_line(url)}", f"WARC-Payload-Digest: sha1:{sha}",
         f"X-Page-Id: {'' if page_id is None else page_id}", f"X-Payload-Length: {size}",
     ]
-    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
-    if revisit:
+    body = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
+    if refers_to:
         head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
-                 f"X-Refers-To-Page: {'' if refers_to is None else refers_to}"]
-        payload = b""
-    body = http + payload
-    head += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(body)}"]
-    return "\r\n".join(head).encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
+                 f"WARC-Refers-To: {record_id(*refers_to, sha)}", f"WARC-Refers-To-Target-URI: {_one_line(refers_to[1])}",
+                 f"WARC-Refers-To-Date: {_DATE}", f"X-Refers-To-Page: {refers_to[0]}"]
+    else:
+        body += payload
+    return _record([*head, "Content-Type: application/http; msgtype=response"], body)
 
 
 def parse(raw: bytes) -> tuple[dict[str, str], bytes]:
@@ -112,10 +132,11 @@ def write_archives(pages: DataFrame, folder: str, least: int = LEAST) -> DataFra
     returns the index, stored as a table."""
     pages = pages.select("page_id", "url", "html").withColumn("sha", F.sha1(_payload("html")))
     big = F.octet_length(_payload("html")) >= least
-    newest = pages.where(big).groupBy("sha").agg(F.max("page_id").alias("newest"))
+    newest = pages.where(big).groupBy("sha").agg(F.max(F.struct("page_id", "url")).alias("newest"))
+    revisit = big & F.col("newest.page_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("newest.page_id"))
     told = pages.join(newest, "sha", "left").select(
-        "page_id", "url", "html", "newest",
-        F.coalesce(big & F.col("newest").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("newest")), F.lit(False)).alias("revisit"))
+        "page_id", "url", "html", F.when(revisit, F.col("newest.page_id")).alias("refers_to"),
+        F.when(revisit, F.col("newest.url")).alias("refers_url"))
 
     def write(batches):
         out = name = None
@@ -123,21 +144,23 @@ def write_archives(pages: DataFrame, folder: str, least: int = LEAST) -> DataFra
         try:
             for b in batches:
                 rows = []
-                for page_id, url, payload, newest, revisit in zip(
+                for page_id, url, payload, refers_to, refers_url in zip(
                         b["page_id"].to_pylist(), b["url"].to_pylist(), texts_of(b["html"]),
-                        b["newest"].to_pylist(), b["revisit"].to_pylist()):
+                        b["refers_to"].to_pylist(), b["refers_url"].to_pylist()):
                     if out is not None and offset >= ARCHIVE:
                         out.close()
                         out = None
                     if out is None:
                         name = f"{folder}/{uuid.uuid4().hex}.warc.gz"
                         fs, path = store_of(name)
-                        out, offset = fs.open_output_stream(path, compression=None), 0
+                        out, info = fs.open_output_stream(path, compression=None), gzip.compress(info_record(name), mtime=0)
+                        out.write(info)
+                        offset = len(info)
                     sha = digest(payload)
-                    refers_to = newest if revisit else None
-                    member = gzip.compress(record(page_id, url, payload, sha, refers_to, revisit, len(payload)), 6, mtime=0)
+                    response = None if refers_to is None else (refers_to, refers_url)
+                    member = gzip.compress(record(page_id, url, payload, sha, response, len(payload)), 6, mtime=0)
                     out.write(member)
-                    rows.append((page_id, url, sha, len(payload), "revisit" if revisit else "response", refers_to,
+                    rows.append((page_id, url, sha, len(payload), "revisit" if response else "response", refers_to,
                                  name, offset, len(member)))
                     offset += len(member)
                 cols = list(zip(*rows)) or [()] * 9
@@ -207,8 +230,15 @@ def read_records(index: DataFrame, gap: int = GAP, span: int = SPAN) -> DataFram
         if opened is not None:
             opened.close()
 
-    spread = ranges(index, gap, span).repartition("file", "start").sortWithinPartitions("file", "start")
-    return spread.mapInArrow(read, schema)
+    return spread(stored(ranges(index, gap, span), "warc-ranges")).mapInArrow(read, schema)
+
+
+def spread(parts: DataFrame, task: int = TASK) -> DataFrame:
+    """Ranges dealt to as many tasks as their bytes ask for, and to all cores if
+    there are so many; neighbours stay together, in order."""
+    n, size = parts.agg(F.count("*"), F.sum("size")).first()
+    tasks = max(1, -(-(size or 0) // task), min(n, parts.sparkSession.sparkContext.defaultParallelism))
+    return parts.repartitionByRange(tasks, "file", "start").sortWithinPartitions("file", "start")
 
 
 def round_trip(spark: SparkSession, pages: DataFrame, least: int = LEAST) -> DataFrame:

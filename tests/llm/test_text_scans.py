@@ -143,6 +143,33 @@ def test_warc_round_trip(spark):
     assert warc.round_trip(spark, pages.where("false")).count() == 0
 
 
+def test_warc_reads_are_spread_by_bytes_and_revisits_can_be_followed(spark):
+    pages = spark.createDataFrame([(k, f"http://h/{k}", f"{k % 30}" * 5_000) for k in range(300)], "page_id bigint, url string, html string")
+    index = warc.write_archives(pages.repartition(2), scratch_path(spark, "warc-test"))
+    parts = warc.ranges(index, span=2_000)
+    n, size = parts.agg(F.count("*"), F.sum("size")).first()
+    for task in (size // 7, 10 * size):
+        want = max(-(-size // task), min(n, spark.sparkContext.defaultParallelism))
+        read = warc.spread(parts, task).withColumn("task", F.spark_partition_id()).groupBy("task").count().collect()
+        assert want / 2 < len(read) <= want and n > 20
+    records, infos = {}, 0
+    for file in [r.file for r in index.select("file").distinct().collect()]:
+        fs, path = warc.store_of(file)
+        raw = gzip.decompress(fs.open_input_file(path).read())
+        infos += raw.startswith(b"WARC/1.1\r\nWARC-Type: warcinfo")
+        for chunk in raw.split(b"WARC/1.1\r\n")[1:]:
+            head = dict(x.split(": ", 1) for x in chunk.split(b"\r\n\r\n")[0].decode().split("\r\n"))
+            records[head["WARC-Record-ID"]] = head
+    assert infos == index.select("file").distinct().count()
+    revisits = [h for h in records.values() if h["WARC-Type"] == "revisit"]
+    assert len(revisits) == 270
+    for h in revisits:
+        response = records[h["WARC-Refers-To"]]
+        assert response["WARC-Type"] == "response" and response["X-Page-Id"] == h["X-Refers-To-Page"]
+        assert response["WARC-Target-URI"] == h["WARC-Refers-To-Target-URI"]
+        assert response["WARC-Payload-Digest"] == h["WARC-Payload-Digest"]
+
+
 def test_warc_small_payloads_are_responses(spark):
     pages = spark.createDataFrame([(1, "u", "abc"), (2, "u", "abc"), (3, "u", "abcdef"), (4, "u", "abcdef")],
                                   "page_id bigint, url string, html string")
