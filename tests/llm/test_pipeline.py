@@ -14,15 +14,15 @@ def test_run_against_plain_stages(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
     good = {r.doc_id for r in quality.score_quality(docs, labels).where("predicted = 1").collect()}
-    docs = docs.where(docs.doc_id.isin(list(good)))
-    verdicts = lines.apply_rules(docs, labels).collect()
+    whole, docs = docs, docs.where(docs.doc_id.isin(list(good)))
+    verdicts = [r for r in lines.apply_rules(whole, labels).collect() if r.doc_id in good]  # learnt from all, as run() does
     text_of = {r.doc_id: r.text for r in docs.collect()}
     for r in verdicts:
         assert r.base_failed == plain_counts(text_of[r.doc_id])[-1]
     kept = sorted(r.doc_id for r in verdicts if r.kept)
     root = plain_components([plain_fingerprint(text_of[k]) for k in kept])
     single = [k for i, k in enumerate(kept) if root[i] == i]
-    dirty = {eval(r)[0] for r in plain_contamination([(k, text_of[k]) for k in single], items) if eval(r)[-1]}  # noqa: S307
+    dirty = {r[0] for r in plain_contamination([(k, text_of[k]) for k in single], items) if r[-1]}
     clean = [k for k in single if k not in dirty]
     assert 0 < len(clean) < len(single) < len(kept) < len(text_of)
     want = mixing.replicate(docs.where(docs.doc_id.isin(clean)))
