@@ -224,8 +224,12 @@ SELECT count(*) AS rows_read, CAST(count_if(junk = 1) AS BIGINT) AS rows_dropped
   CAST(count_if(junk = 0) AS BIGINT) AS rows_kept
 FROM text_rows""", _TEXT_ROWS.strip()))
 def q_load_quality(spark, sf):
+    """Counted by the load itself: the valid rows are written, once, and the
+    metrics of that write are the result."""
     typed = ingest.type_listings(ingest.read_csv_text(spark, _listing_paths(spark, sf), schemas.LISTING_COLUMNS))
-    return ingest.quality_summary(typed)
+    good, seen = ingest.quality_split(typed)
+    good.select(*schemas.LISTING_COLUMNS).write.parquet(scratch_path(spark, "loaded"))
+    return ingest.quality_summary(spark, seen)
 
 
 @register("file_ledger", with_base("""
