@@ -17,7 +17,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from lodgelake.operators import scd2  # noqa: E402
-from lodgelake.plans import analysis, marts, star  # noqa: E402
+from lodgelake.plans import analysis, star  # noqa: E402
 from lodgelake.plans.layers import Layers, MaterialisedLayers  # noqa: E402
 from lodgelake.session import build_session, scratch_path  # noqa: E402
 
@@ -38,10 +38,9 @@ def main() -> None:
 
     L = built
     plan = {
-        "mart_listing_neighbourhood": lambda: marts.listing_neighbourhood_kpis(L.fact_month),
-        "mart_property_type": lambda: marts.property_type_kpis(L.fact_month),
-        "mart_host_neighbourhood": lambda: marts.mart_host_neighbourhood(
-            L.fact, L.host_history, L.lga_suburb),
+        "mart_listing_neighbourhood": lambda: L.mart_listing_neighbourhood(),
+        "mart_property_type": lambda: L.mart_property_type(),
+        "mart_host_neighbourhood": lambda: L.mart_host_neighbourhood(),
         "top_bottom_demographics": lambda: analysis.top_bottom_demographics(
             L.listings, L.lga_suburb, L.lga_code, L.census_g01, L.census_g02),
         "age_vs_revenue": lambda: analysis.age_vs_revenue(

@@ -17,7 +17,7 @@ from __future__ import annotations
 import argparse
 
 from lodgelake import schemas
-from lodgelake.plans import analysis, marts
+from lodgelake.plans import analysis
 from lodgelake.plans.layers import Layers, MaterialisedLayers
 from lodgelake.session import cluster_session, scratch_path
 from lodgelake.sources import files, ingest
@@ -68,9 +68,9 @@ def build(spark, warehouse: str, sf_dir: str | None, full: bool = False) -> Mate
 def report(spark, warehouse: str, out: str, fmt: str) -> None:
     L = MaterialisedLayers(spark, f"{warehouse.rstrip('/')}/tables")
     results = {
-        "dm_listing_neighbourhood": marts.listing_neighbourhood_kpis(L.fact_month),
-        "dm_property_type": marts.property_type_kpis(L.fact_month),
-        "dm_host_neighbourhood": marts.mart_host_neighbourhood(L.fact, L.host_history, L.lga_suburb),
+        "dm_listing_neighbourhood": L.mart_listing_neighbourhood(),
+        "dm_property_type": L.mart_property_type(),
+        "dm_host_neighbourhood": L.mart_host_neighbourhood(),
         "top_bottom_demographics": analysis.top_bottom_demographics(
             L.listings, L.lga_suburb, L.lga_code, L.census_g01, L.census_g02),
         "age_vs_revenue": analysis.age_vs_revenue(L.listings, L.lga_suburb, L.lga_code, L.census_g02),

@@ -87,9 +87,24 @@ def splice(history: DataFrame, batch: DataFrame, key: str, attrs: Sequence[str],
     return history.join(touched, key, "left_anti").select(*cols).unionByName(again.select(*cols))
 
 
+def _carried_over(side: DataFrame, versions: DataFrame, key: str) -> DataFrame:
+    """For every (key, bucket) with facts the last version of the buckets before
+    it, as a version that sorts before all of the bucket's rows."""
+    ends = versions.groupBy(key, "_asof_b").agg(F.max_by("_asof_v", "_asof_t").alias("_end"))
+    asked = side.groupBy(key, "_asof_b").agg(F.lit(True).alias("_asked"))
+    before = Window.partitionBy(key).orderBy("_asof_b").rowsBetween(Window.unboundedPreceding, -1)
+    both = asked.unionByName(ends, allowMissingColumns=True).groupBy(key, "_asof_b").agg(
+        F.max("_asked").alias("_asked"), F.first("_end", ignorenulls=True).alias("_end"))
+    return (both.withColumn("_asof_v", F.last("_end", ignorenulls=True).over(before))
+            .where(F.col("_asked") & F.col("_asof_v").isNotNull())
+            .select(key, F.lit(None).cast("timestamp_ntz").alias("_asof_t"), F.lit(-1).alias("_asof_kind"),
+                    "_asof_v", "_asof_b"))
+
+
 def asof_join(facts: DataFrame, history: DataFrame, key: str, date_col: str,
               attrs: Sequence[str], how: str = "left", keep_validity: bool = False,
-              bounded_per_key: bool = False, probes: DataFrame | None = None) -> DataFrame:
+              bounded_per_key: bool = False, probes: DataFrame | None = None,
+              bucket: str | None = None) -> DataFrame:
     """Attach the version valid at each fact's date: key equal and
     valid_from <= date < valid_to (or valid_to NULL).
 
@@ -110,6 +125,12 @@ def asof_join(facts: DataFrame, history: DataFrame, key: str, date_col: str,
     so the reduction is not computed a second time for the probe branch.
     Versions of a key must be disjoint, as history builds them.  Facts with a
     NULL key or date match nothing.
+
+    ``bucket`` (a unit of ``date_trunc``: "year" to "second") is for keys with
+    very many instants: a window then holds one (key, bucket), so a key with a
+    third of all rows is spread over as many windows as it has buckets.  What a
+    bucket begins with is the last version of the buckets before it, carried
+    over by a scan of one row per (key, bucket).
     """
     t = "_asof_t"
     vf, vt = "_asof_from", "_asof_to"
@@ -126,7 +147,12 @@ def asof_join(facts: DataFrame, history: DataFrame, key: str, date_col: str,
             has_key).distinct().withColumn(
             "_asof_solo", F.lit(None).cast("long"))
     side = side.withColumn(t, F.col(date_col).cast("timestamp_ntz")).withColumn("_asof_kind", F.lit(1))
-    w = (Window.partitionBy(key, "_asof_solo").orderBy(t, "_asof_kind")
+    within = [key, "_asof_solo"]
+    if bucket:
+        within.append("_asof_b")
+        side, versions = (df.withColumn("_asof_b", F.date_trunc(bucket, F.col(t).cast("timestamp"))) for df in (side, versions))
+        versions = versions.unionByName(_carried_over(side.where(F.col("_asof_solo").isNull()), versions, key))
+    w = (Window.partitionBy(*within).orderBy(t, "_asof_kind")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     cur = F.col("_asof_cur")
     carried = (side.unionByName(versions.withColumn("_asof_solo", F.lit(None).cast("long")),

@@ -93,13 +93,15 @@ class MaterialisedLayers:
     star; the loaded bronze is not copied), so every step starts from a written table: the lineage is
     cut, a lost executor recomputes at most one step, and each table is read
     with column pruning and predicate pushdown afterwards.  Monthly tables are
-    partitioned by month, histories into open and closed versions.  All tables
-    change at once, by the commit at a run's end.
+    partitioned by month, histories into open and closed versions.  The marts'
+    ingredients are kept by month (``neighbourhood_month``, ``property_month``,
+    ``host_area_month``), so a mart reads a row per group and month and no facts.
+    All tables change at once, by the commit at a run's end.
     """
 
     TABLES = ["listings", "census_g01", "census_g02", "lga_code",
               "lga_suburb", "host_history", "property_history", "fact", "fact_month", "dim_host", "dim_listing",
-              "dim_suburb", "dim_lga"]
+              "dim_suburb", "dim_lga", "neighbourhood_month", "property_month", "host_area_month"]
     HISTORIES = (("host_history", star.host_history, "host_id", star.HOST_ATTRS),
                  ("property_history", star.property_history, "listing_id", star.PROPERTY_ATTRS))
 
@@ -123,6 +125,7 @@ class MaterialisedLayers:
         t.put("fact", _by_month(star.fact_listings(listings)), PARTITION_COL)
         hh, ph = (put_history(t, name, whole(listings)) for name, whole, _, _ in cls.HISTORIES)
         t.put("fact_month", marts.monthly_fact(t.read("fact").drop(PARTITION_COL), ph, hh), "month_start")
+        put_mart_parts(t)
         _put_references(t, layers)
         t.commit(months=_months(listings, PARTITION_COL))
         return cls(layers.spark, base)
@@ -159,10 +162,21 @@ class MaterialisedLayers:
                 for name, _, key, attrs in cls.HISTORIES)
             fact = of_months(t.read("fact"), PARTITION_COL).drop(PARTITION_COL)
             t.put("fact_month", marts.monthly_fact(fact, ph, hh), "month_start", other)
+        put_mart_parts(t, months)
         _put_references(t, layers)
         t.commit(months=loaded)
         return cls(spark, base)
 
+    # marts, from the ingredients kept by month
+    def mart_listing_neighbourhood(self) -> DataFrame:
+        return marts.neighbourhood_from_parts(self.neighbourhood_month)
+
+    def mart_property_type(self) -> DataFrame:
+        return marts.property_from_parts(self.property_month)
+
+    def mart_host_neighbourhood(self) -> DataFrame:
+        return marts.host_area_from_parts(self.host_area_month, self.lga_suburb)
+
 
 def _months(rows: DataFrame, month: str) -> dict[str, int]:
     """Rows of each calendar month."""
@@ -173,6 +187,26 @@ def _by_month(df: DataFrame) -> DataFrame:
     return df.withColumn(PARTITION_COL, F.trunc(F.col("scraped_date"), "month"))
 
 
+def put_mart_parts(t: VersionedTables, months: list[str] | None = None) -> None:
+    """Write the marts' ingredients of all months, or (``months``) of these: only
+    their facts are read, and the folders of other months stay.  Every group's
+    ingredients come from one month, so nothing is added up across months; what
+    a mart compares with the month before it takes from the stored rows."""
+    makers = (
+        ("neighbourhood_month", lambda of: marts.neighbourhood_parts(of("fact_month", "month_start"))),
+        ("property_month", lambda of: marts.property_parts(of("fact_month", "month_start"))),
+        ("host_area_month", lambda of: marts.host_area_parts(
+            of("fact", PARTITION_COL).drop(PARTITION_COL), t.read("host_history").drop(CURRENT))),
+    )
+    for name, make in makers:
+        if months is None or name not in t.tables:  # a warehouse of before has none
+            t.put(name, make(lambda table, _: t.read(table)), "month_start")
+        elif months:
+            days = [dt.date.fromisoformat(m) for m in months]
+            t.put(name, make(lambda table, by: t.read(table).where(F.col(by).isin(days))),
+                  "month_start", lambda m: m not in months)
+
+
 def _put_references(t: VersionedTables, layers: Layers) -> None:
     """Current dimensions (of the open versions only) and the small area and census tables."""
     for name in ("census_g01", "census_g02", "lga_code", "lga_suburb"):

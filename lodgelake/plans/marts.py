@@ -18,7 +18,7 @@ from lodgelake.functions import (
     pct_change_rounded, ratio_half_up, round_cents_half_up, stays_30,
 )
 from lodgelake.operators import scd2
-from lodgelake.operators.dedupe import latest_per_key, top1_window
+from lodgelake.operators.dedupe import latest_per_key
 from lodgelake.operators.median import exact_median
 
 UNKNOWN_AREA = "Unknown"  # fixed value: label of facts without a matching version
@@ -131,11 +131,21 @@ def mart_listing_neighbourhood(fact: DataFrame, prop_hist: DataFrame,
         _latest_enriched(fact, prop_hist, host_hist, ["listing_neighbourhood"]))
 
 
+def neighbourhood_parts(latest: DataFrame) -> DataFrame:
+    """The exact ingredients of the neighbourhood mart: a row per neighbourhood
+    and month, from that month's rows alone."""
+    area = F.coalesce(F.col("listing_neighbourhood"), F.lit(UNKNOWN_AREA))
+    return _aggregate(latest.withColumn("listing_neighbourhood", area),
+                      ["listing_neighbourhood", "month_start"], active_superhost_only=False)
+
+
 def listing_neighbourhood_kpis(latest: DataFrame) -> DataFrame:
     """The neighbourhood mart from the monthly fact."""
-    area = F.coalesce(F.col("listing_neighbourhood"), F.lit(UNKNOWN_AREA))
-    a = _aggregate(latest.withColumn("listing_neighbourhood", area),
-                   ["listing_neighbourhood", "month_start"], active_superhost_only=False)
+    return neighbourhood_from_parts(neighbourhood_parts(latest))
+
+
+def neighbourhood_from_parts(a: DataFrame) -> DataFrame:
+    """The neighbourhood mart from its ingredients of all months."""
     w = Window.partitionBy("listing_neighbourhood").orderBy("month_start")
     a = (a.withColumn("prev_active_ct", F.lag("active_ct").over(w))
           .withColumn("prev_inactive_ct", F.lag("inactive_ct").over(w)))
@@ -162,14 +172,25 @@ def listing_neighbourhood_kpis(latest: DataFrame) -> DataFrame:
 def mart_property_type(fact: DataFrame, prop_hist: DataFrame, host_hist: DataFrame) -> DataFrame:
     """KPIs per (property type, room type, accommodates) and month, unrounded;
     the superhost rate counts only hosts with an active listing."""
-    keys = ["property_type", "room_type", "accommodates"]
-    return property_type_kpis(_latest_enriched(fact, prop_hist, host_hist, keys))
+    return property_type_kpis(_latest_enriched(fact, prop_hist, host_hist, PROPERTY_KEYS))
+
+
+PROPERTY_KEYS = ["property_type", "room_type", "accommodates"]
+
+
+def property_parts(latest: DataFrame) -> DataFrame:
+    """The exact ingredients of the property-type mart by group and month."""
+    return _aggregate(latest, PROPERTY_KEYS + ["month_start"], active_superhost_only=True)
 
 
 def property_type_kpis(latest: DataFrame) -> DataFrame:
     """The property-type mart from the monthly fact."""
-    keys = ["property_type", "room_type", "accommodates"]
-    a = _aggregate(latest, keys + ["month_start"], active_superhost_only=True)
+    return property_from_parts(property_parts(latest))
+
+
+def property_from_parts(a: DataFrame) -> DataFrame:
+    """The property-type mart from its ingredients of all months."""
+    keys = PROPERTY_KEYS
     w = Window.partitionBy(*keys).orderBy("month_start")
     a = (a.withColumn("prev_active_ct", F.lag("active_ct").over(w))
           .withColumn("prev_inactive_ct", F.lag("inactive_ct").over(w)))
@@ -192,17 +213,14 @@ def property_type_kpis(latest: DataFrame) -> DataFrame:
     ).orderBy(*[F.col(k).asc_nulls_last() for k in keys], "month_start")
 
 
-def mart_host_neighbourhood(fact: DataFrame, host_hist: DataFrame,
-                            lga_suburb: DataFrame) -> DataFrame:
-    """Hosts and revenue per host LGA and month.
-
-    Per (listing, month) the most-booked scrape is kept (ties: the later one);
-    the host's area as of that scrape is mapped to its LGA by lower-case name,
-    falling back to the raw area.  The pick depends on nights and date only, so
-    it runs first (one map-side-combined aggregation) and the lookup sees one
-    row per listing and month; copies made by a suburb lying in several LGAs
-    are then reduced to the smallest LGA name, which is where the same ordering
-    ends when the pick runs after the lookup.
+def host_area_parts(fact: DataFrame, host_hist: DataFrame) -> DataFrame:
+    """Active listings and revenue by a host's own area, month and host, from
+    the facts of the month alone.
+
+    Per (listing, month) the most-booked scrape is kept (ties: the later one)
+    with the host's area as of that scrape.  The pick depends on nights and date
+    only, so it runs first (one map-side-combined aggregation) and the lookup
+    sees one row per listing and month.
     """
     base = _base_fact(fact).select(
         "month_start", "host_id", "listing_id", "scraped_date", "price",
@@ -212,19 +230,35 @@ def mart_host_neighbourhood(fact: DataFrame, host_hist: DataFrame,
                              ["stays_in_30_days", "scraped_date"])
     e = scd2.asof_join(busiest, host_hist, "host_id", "scraped_date", ["host_neighbourhood"],
                        probes=base)
-    sub = lga_suburb.select(F.lower(F.col("suburb_name")).alias("_sub_lc"),
-                            F.col("lga_name").alias("_lga"))
-    e = (e.join(sub, F.lower(F.col("host_neighbourhood")) == F.col("_sub_lc"), "left")
-         .withColumn("host_neighbourhood_lga", F.coalesce(F.col("_lga"), F.col("host_neighbourhood"))))
-    # fan-out copies of one scrape: bounded by the number of LGAs of a suburb
-    top = top1_window(e, ["listing_id", "month_start"],
-                      [F.col("host_neighbourhood_lga").asc_nulls_last()])
     act = F.col("is_active") == 1
     rev = (F.when(act, F.col("stays_in_30_days")).otherwise(0) * cents(F.col("price"))).cast("decimal(38,0)")
-    a = top.groupBy("host_neighbourhood_lga", "month_start").agg(
-        F.count_distinct("host_id").alias("distinct_hosts_count"),
-        F.sum(F.col("is_active")).alias("_active"),
-        F.sum(rev).alias("_rev"))
+    return e.groupBy("host_neighbourhood", "month_start", "host_id").agg(
+        F.sum("is_active").alias("active_ct"), F.sum(rev).alias("sum_rev_cents"))
+
+
+def mart_host_neighbourhood(fact: DataFrame, host_hist: DataFrame,
+                            lga_suburb: DataFrame) -> DataFrame:
+    """Hosts and revenue per host LGA and month."""
+    return host_area_from_parts(host_area_parts(fact, host_hist), lga_suburb)
+
+
+def host_area_from_parts(parts: DataFrame, lga_suburb: DataFrame) -> DataFrame:
+    """The host mart from its ingredients of all months and the present LGA map.
+
+    An area is mapped to its LGA by lower-case name, falling back to the raw
+    area; a suburb lying in several LGAs counts for the smallest name only.
+    """
+    lga = lga_suburb.groupBy(F.lower(F.col("suburb_name")).alias("_sub_lc")).agg(
+        F.min("lga_name").alias("_lga"), F.max(F.col("lga_name").isNull()).alias("_unnamed"))
+    area = F.col("host_neighbourhood")
+    e = parts.join(lga, F.lower(area) == F.col("_sub_lc"), "left").withColumn(
+        "host_neighbourhood_lga", F.when(F.col("_unnamed"), F.least("_lga", area)).otherwise(F.coalesce("_lga", area)))
+    # hosts first, then areas: a host counts once in an LGA of several suburbs
+    hosts = e.groupBy("host_neighbourhood_lga", "month_start", "host_id").agg(
+        F.sum("active_ct").alias("_active"), F.sum("sum_rev_cents").alias("_rev"))
+    a = hosts.groupBy("host_neighbourhood_lga", "month_start").agg(
+        F.count("host_id").alias("distinct_hosts_count"),
+        F.sum("_active").alias("_active"), F.sum("_rev").alias("_rev"))
     c = F.col
     return a.select(
         "host_neighbourhood_lga", "month_start", "distinct_hosts_count",

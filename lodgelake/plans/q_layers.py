@@ -133,7 +133,7 @@ def q_scd2_asof_join(spark, sf):
     L = Layers(spark, sf)
     facts = L.fact.select("listing_id", "scraped_date", "host_id")
     return scd2.asof_join(facts, L.property_history, "listing_id", "scraped_date",
-                          ["listing_neighbourhood", "property_type"], bounded_per_key=True)
+                          ["listing_neighbourhood", "property_type"], bounded_per_key=True, bucket="year")
 
 
 # History built only from rows on or after 1996-01-01: earlier facts find no
@@ -201,6 +201,23 @@ def q_mart_listing_neighbourhood(spark, sf):
     return marts.mart_listing_neighbourhood(L.fact, L.property_history, L.host_history)
 
 
+# The mart's ingredients are kept by month; the last month comes in by itself.
+@register("mart_month_update", oracle_analysis.LISTING_MART)
+def q_mart_month_update(spark, sf):
+    L = Layers(spark, sf)
+    t = VersionedTables(spark, scratch_path(spark, "mart-months"))
+    facts = t.put("fact_month", marts.monthly_fact(L.fact, L.property_history, L.host_history), "month_start")
+    newest = facts.agg(F.max("month_start")).first()[0]
+    earlier = facts.where(F.col("month_start") < newest)  # all there is before the last month
+    t.put("neighbourhood_month", marts.neighbourhood_parts(earlier), "month_start")
+    t.commit()
+    t = VersionedTables(spark, t.base)
+    month = t.read("fact_month").where(F.col("month_start") == newest)
+    t.put("neighbourhood_month", marts.neighbourhood_parts(month), "month_start", lambda m: m != str(newest))
+    t.commit()
+    return marts.neighbourhood_from_parts(t.read("neighbourhood_month"))
+
+
 @register("mart_property_type", oracle_analysis.PROPERTY_MART)
 def q_mart_property_type(spark, sf):
     L = Layers(spark, sf)

@@ -87,6 +87,45 @@ def test_asof_boundaries(spark):
                    (2, D(2020, 2, 1), None)]
 
 
+def test_asof_buckets_with_a_hot_key(spark):
+    """One key with a third of all rows, each at its own instant: the same rows
+    as by brute force, and no window of more than a bucket's rows."""
+    import bisect
+    import random
+    rnd, start = random.Random(5), dt.datetime(2020, 1, 1)
+    at = lambda s: start + dt.timedelta(seconds=s)
+    day = 86_400
+    starts = {k: sorted(rnd.sample(range(60 * day), 700 if k == 0 else 4)) for k in range(200)}
+    starts[7] = []  # a key without versions
+    starts[8] = [90 * day]  # one whose versions come after all facts
+    history = spark.createDataFrame(
+        [(k, f"{k}-{a}", at(a), at(b) if b is not None else None)
+         for k, ss in starts.items() for a, b in zip(ss, [*ss[1:], None])],
+        "k long, v string, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    history = history.where("not (k = 3 and valid_to is null)")  # key 3 is closed for good
+    facts = [(0, s) for s in rnd.sample(range(60 * day), 3000)] + [
+        (rnd.randrange(1, 200), rnd.randrange(60 * day)) for _ in range(6000)] + [(0, s) for s in starts[0][:50]]
+    facts = [(k, at(s)) for k, s in sorted(set(facts))] + [(None, at(5)), (4, None)]
+    probe = spark.createDataFrame(facts, "k long, t timestamp_ntz")
+
+    def valid(k, t):
+        if k is None or t is None:
+            return None
+        s = (t - start).total_seconds()
+        i = bisect.bisect_right(starts[k], s) - 1
+        return None if i < 0 or (k == 3 and i == len(starts[k]) - 1) else f"{k}-{starts[k][i]}"
+
+    want = sorted((repr((k, t, valid(k, t))) for k, t in facts))
+    for bucket in ("hour", "day", "year"):
+        for bounded in (True, False):
+            got = scd2.asof_join(probe, history, "k", "t", ["v"], bounded_per_key=bounded, bucket=bucket)
+            assert sorted(repr((r.k, r.t, r.v)) for r in got.select("k", "t", "v").collect()) == want, (bucket, bounded)
+    per = probe.where("k = 0").groupBy(F.date_trunc("day", F.col("t").cast("timestamp"))).count().agg(F.max("count")).first()[0]
+    assert per < 120  # of 3050 rows of the key
+    inner = scd2.asof_join(probe, history, "k", "t", ["v"], how="inner", bounded_per_key=True, bucket="day")
+    assert inner.count() == sum(not w.endswith("None)") for w in want)
+
+
 def test_first_per_key_null_keys_never_conflict(spark):
     df = spark.createDataFrame([(1, 2, "x"), (1, 1, "y"), (None, 1, "n1"), (None, 2, "n2")],
                                "k long, o long, v string")
@@ -139,5 +178,10 @@ def test_materialised_warehouse_gives_same_answers(spark):
         lambda L: marts.mart_host_neighbourhood(L.fact, L.host_history, L.lga_suburb),
     ):
         assert rows(L_fn(raw)) == rows(L_fn(mat))
+    assert rows(mat.mart_host_neighbourhood()) == rows(
+        marts.mart_host_neighbourhood(raw.fact, raw.host_history, raw.lga_suburb))
+    assert rows(mat.mart_property_type()) == rows(
+        marts.mart_property_type(raw.fact, raw.property_history, raw.host_history))
+    assert rows(mat.mart_listing_neighbourhood()) == rows(marts.listing_neighbourhood_kpis(mat.fact_month))
     assert rows(marts.listing_neighbourhood_kpis(mat.fact_month)) == rows(
         marts.mart_listing_neighbourhood(raw.fact, raw.property_history, raw.host_history))
