@@ -49,27 +49,9 @@ FROM page
 """
 
 
-def _url_tree(depth: int = 3, siblings: int = 20, rare: float = 0.05, z: float = 2.58, prior: float = 5.0,
-              purity: float = 0.6) -> str:
-    levels = []
-    for k in range(depth + 1):
-        levels.append(f"""
-seg{k} AS (SELECT *, coalesce(template[{k + 1}], '') AS segment FROM tree{k}),
-child{k} AS (
-  SELECT *, CASE WHEN siblings > {siblings} AND n < CAST({rare} AS DOUBLE) * all_n THEN '*' ELSE segment END AS branch
-  FROM (SELECT node, segment, n, bad, count(*) OVER w AS siblings, sum(n) OVER w AS all_n, sum(bad) OVER w AS all_bad
-        FROM (SELECT node, segment, sum(n) AS n, sum(bad) AS bad FROM seg{k} GROUP BY node, segment)
-        WINDOW w AS (PARTITION BY node))
-), branch{k} AS (
-  SELECT node, branch, CASE WHEN abs(sum(bad)::DOUBLE / sum(n)::DOUBLE - p) <= {z}::DOUBLE * sqrt(p * (1 - p) / sum(n)::DOUBLE)
-         THEN '//' ELSE '/' || branch END AS step
-  FROM (SELECT *, all_bad::DOUBLE / all_n::DOUBLE AS p FROM child{k}) GROUP BY node, branch, p
-), tree{k + 1} AS (
-  SELECT host, template, n, bad, node || step AS node
-  FROM seg{k} JOIN child{k} USING (node, segment) JOIN branch{k} USING (node, branch)
-)""".replace("SELECT host, template, n, bad, node", f"SELECT host, template, seg{k}.n, seg{k}.bad, node"))
+def _url_tree(z: float = 2.58, prior: float = 5.0, purity: float = 0.6, bins: int = 100) -> str:
     return rf"""
-WITH url AS (
+WITH RECURSIVE url AS (
   SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
 ), part AS (
   SELECT page_id, coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1), {_LOWER}), '') AS host,
@@ -83,21 +65,37 @@ WITH url AS (
   FROM part
 ), ruled AS (
   SELECT *, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow' END AS ruled,
-         list_slice(parts, 2, {depth + 1}) || (CASE WHEN len(parts) > {depth + 1} THEN ['**'] ELSE CAST([] AS VARCHAR[]) END) AS template
+         list_slice(parts, 2, len(parts)) AS template
   FROM (SELECT *, string_split(regexp_replace(path, '[0-9]+', '*', 'g'), '/') AS parts FROM judged)
-), tree0 AS (
-  SELECT host, template, count(*) AS n, host AS node, count(*) FILTER (coalesce(ruled = 'block', regexp_matches(
-         host || path, '(?i)(^|[^a-z])(ads|adult|bets|casino|pills|porn|spam|viagra|xxx)([^a-z]|$)'))) AS bad
+), counts AS (
+  SELECT host, template, count(*)::BIGINT AS n, count(*) FILTER (coalesce(ruled = 'block', regexp_matches(
+         host || path, '(?i)(^|[^a-z])(ads|adult|bets|casino|pills|porn|spam|viagra|xxx)([^a-z]|$)')))::BIGINT AS bad
   FROM ruled GROUP BY host, template
-), {",".join(levels)},
-total AS (SELECT sum(bad)::DOUBLE / sum(n)::DOUBLE AS share FROM tree0),
+), tree AS (  -- a row of a node that is cut goes on, a segment shorter, into its branch
+  SELECT host, template, n, bad, host AS node, template AS rest, 0 AS level FROM counts
+  UNION ALL
+  SELECT host, template, n, bad, node || '/' || branch, rest[2:], level + 1 FROM (
+    SELECT *, sum(cut) OVER (PARTITION BY node ORDER BY bin) AS branch FROM (
+      SELECT *, CASE WHEN bin <> before AND abs(bin_bad::DOUBLE / bin_n::DOUBLE - last_bad::DOUBLE / last_n::DOUBLE)
+               > {z}::DOUBLE * sqrt(pool * (1 - pool) * (1 / bin_n::DOUBLE + 1 / last_n::DOUBLE)) THEN 1 ELSE 0 END AS cut
+      FROM (SELECT *, (bin_bad + last_bad + 1)::DOUBLE / (bin_n + last_n + 2)::DOUBLE AS pool FROM (
+        SELECT *, lag(bin) OVER o AS before, lag(bin_n) OVER o AS last_n, lag(bin_bad) OVER o AS last_bad FROM (
+          SELECT *, sum(n) OVER (PARTITION BY node, bin)::BIGINT AS bin_n, sum(bad) OVER (PARTITION BY node, bin)::BIGINT AS bin_bad
+          FROM (SELECT *, ({bins} * sum(bad) OVER s)::BIGINT // (sum(n) OVER s)::BIGINT AS bin FROM (
+            SELECT *, sum(bad) OVER k AS all_bad, sum(n) OVER k AS all_n, min(rest) OVER k <> max(rest) OVER k AS several
+            FROM tree WINDOW k AS (PARTITION BY node))
+            WHERE several AND all_bad > 0 AND all_bad < all_n
+            WINDOW s AS (PARTITION BY node, rest[1])))
+        WINDOW o AS (PARTITION BY node ORDER BY bin)))))
+), total AS (SELECT sum(bad)::DOUBLE / sum(n)::DOUBLE AS share FROM counts),
+ends AS (SELECT host, template, n, bad, arg_max(node, level) AS node FROM tree GROUP BY host, template, n, bad),
 leaf AS (
   SELECT node, (sum(bad)::DOUBLE + {prior}::DOUBLE * share) / (sum(n)::DOUBLE + {prior}::DOUBLE) AS purity
-  FROM tree{depth + 1}, total GROUP BY node, share
+  FROM ends, total GROUP BY node, share
 )
 SELECT page_id, host, path, rule,
        coalesce(ruled, CASE WHEN purity >= {purity}::DOUBLE THEN 'block' ELSE 'allow' END) AS verdict
-FROM ruled JOIN tree{depth + 1} USING (host, template) JOIN leaf USING (node)
+FROM ruled JOIN ends USING (host, template) JOIN leaf USING (node)
 """
 
 

@@ -5,16 +5,20 @@ of path templates that is grown per host from all URLs:
 
 1. A path is cut into all of its segments.  In a segment every run of digits is
    a wildcard, so numbered leaves are one template.
-2. Labels: URLs a block rule fits and URLs with a seed word in host or path are
-   positive, all others count as negative (unlabelled URLs are mostly good).
-3. Level by level a node's segments become its branches.  A segment whose share
-   of positives differs significantly from its parent's (two-sided z test)
-   stands alone, however rare it is and however many siblings it has.  Of the
-   others the rare ones are one wildcard, which is tested in the same way; what
-   does not differ merges into one branch.  A node is a leaf when its URLs are
-   all positive or all negative, or are one template: no cut could differ.  There
-   is no other bound on the depth; a run of segments that all of a node's
-   templates share is passed in one step.
+2. Labels: a URL is positive or negative as ``labels`` says, where they are
+   given.  By default URLs a block rule fits and URLs with a seed word in host or
+   path are positive, all others count as negative (unlabelled URLs are mostly good).
+3. Level by level a node's segments become its branches.  Segments are put in
+   order by their share of positives (in bins of a hundredth, so that a node has
+   at most 101 whatever the number of its segments); neighbours whose shares do
+   not differ significantly (two-sided two-sample z test, the pooled share
+   smoothed for small counts) are merged into one branch, so that many rare
+   segments that are bad in the same way are judged together.  The names of a
+   branch's segments are a wildcard from there on; what differs below is told
+   apart at the next levels.  A node is a leaf when its URLs are all positive or
+   all negative, or are one template: no cut could differ.  There is no bound on
+   the depth; a run of segments that all of a node's templates share is passed
+   in one step.
 4. A leaf is rejected when its smoothed purity, (positives + PRIOR * the overall
    share) / (URLs + PRIOR), reaches PURITY.
 
@@ -26,13 +30,14 @@ levels at which mixed nodes branch, each over the counts of mixed nodes only.
 
 Cases: a null URL, or one without ``://``, has empty host and path, fits no rule
 and is judged as a URL of the empty host; repeated rows are judged each (and
-count each); a null page_id passes; an empty table gives no rows; other columns
+count each); a null page_id passes, without a label; several labels of a page: the
+largest counts; a null label is none; an empty table gives no rows; other columns
 are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodgelake.llm.common import stored
@@ -47,10 +52,9 @@ RULES = (
 )
 #: Words of a host or path that label a URL positive when between non-letters.
 SEED_WORDS = ("ads", "adult", "bets", "casino", "pills", "porn", "spam", "viagra", "xxx")
-#: Share of its parent's URLs under which a segment that does not differ is a
-#: wildcard; z beyond which a branch stands alone; weight of the overall share;
-#: purity that rejects.
-RARE, Z, PRIOR, PURITY = 0.05, 2.58, 5.0, 0.6
+#: z beyond which two branches differ; weight of the overall share; purity that
+#: rejects; bins of the share of positives.
+Z, PRIOR, PURITY, BINS = 2.58, 5.0, 0.6, 100
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -80,10 +84,21 @@ def template(path: Column) -> Column:
     return F.slice(parts, 2, F.size(parts))
 
 
-def _differs() -> Column:
-    """Whether a branch's share (bad of n) differs from its parent's (all_bad of all_n)."""
-    pool = F.col("all_bad") / F.col("all_n")
-    return F.abs(F.col("bad") / F.col("n") - pool) > Z * F.sqrt(pool * (1 - pool) / F.col("n"))
+def _differ(n: Column, bad: Column, n2: Column, bad2: Column) -> Column:
+    """Whether two branches differ in their shares of positives."""
+    pool = (bad + bad2 + 1) / (n + n2 + 2)
+    return F.abs(bad / n - bad2 / n2) > Z * F.sqrt(pool * (1 - pool) * (1 / n + 1 / n2))
+
+
+def _branches(child: DataFrame) -> DataFrame:
+    """(node, segment, branch) of the rows (node, segment, n, bad)."""
+    child = child.withColumn("bin", F.expr(f"({BINS} * bad) div n"))
+    order = Window.partitionBy("node").orderBy("bin")  # at most BINS + 1 rows of a node
+    bins = child.groupBy("node", "bin").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    cut = _differ(F.col("n"), F.col("bad"), F.lag("n").over(order), F.lag("bad").over(order))
+    bins = bins.withColumn("cut", F.coalesce(cut, F.lit(False)).cast("int"))
+    return child.select("node", "segment", "bin").join(
+        bins.select("node", "bin", F.sum("cut").over(order).alias("branch")), ["node", "bin"]).drop("bin")
 
 
 def _shared(a: Column, b: Column) -> Column:
@@ -116,36 +131,31 @@ def grow(counts: DataFrame) -> DataFrame:
             .write.mode("append").parquet(leaves)
         if nodes.where("open").isEmpty():
             break
-        # segments hold no "/", so that no two ways down give one name of a node
         tree = tree.join(nodes.where("open"), "node").withColumn(
             "segment", F.coalesce(F.concat(F.lit("="), F.get("rest", F.col("skip"))), F.lit("end")))
-        child = tree.groupBy("node", "segment").agg(
-            F.sum("n").alias("n"), F.sum("bad").alias("bad"),
-            F.max("all_n").alias("all_n"), F.max("all_bad").alias("all_bad"))
-        rare = ~_differs() & (F.col("n") < RARE * F.col("all_n"))
-        child = child.withColumn("branch", F.when(rare, "*").otherwise(F.col("segment")))
-        branch = child.groupBy("node", "branch").agg(
-            F.sum("n").alias("n"), F.sum("bad").alias("bad"),
-            F.max("all_n").alias("all_n"), F.max("all_bad").alias("all_bad"))
-        step = branch.select("node", "branch", F.concat(F.lit("/"), F.when(_differs(), F.col("branch")).otherwise("-")).alias("step"))
-        named = child.select("node", "segment", "branch").join(step, ["node", "branch"]).select("node", "segment", "step")
+        named = _branches(tree.groupBy("node", "segment").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")))
         below = F.slice("rest", F.col("skip") + 2, F.size("rest"))
         tree = stored(tree.join(named, ["node", "segment"]).select(
-            "host", "template", "n", "bad", F.concat("node", "step").alias("node"),
+            "host", "template", "n", "bad", F.concat_ws("/", "node", "branch").alias("node"),
             F.when(F.size("rest") > 0, below).otherwise(F.col("rest")).alias("rest")), "url-tree")
     return spark.read.schema(counts.select("host", "template", F.lit(0.0).alias("purity")).schema).parquet(leaves)
 
 
-def judge(pages: DataFrame, rules=RULES, seed_words=SEED_WORDS) -> DataFrame:
+def judge(pages: DataFrame, rules=RULES, seed_words=SEED_WORDS, labels: DataFrame | None = None) -> DataFrame:
     """page_id, host, path, rule, verdict and purity (of the leaf that decided
-    where no rule fits) of every row of ``pages``."""
+    where no rule fits) of every row of ``pages``.  ``labels`` (page_id, label:
+    1 positive, 0 negative) stand before what rules and seed words say of a page."""
     host, path = host_and_path(F.col("url"))
     urls = pages.select("page_id", host.alias("host"), path.alias("path"))
     rule, ruled = rule_of(F.col("host"), F.col("path"), rules)
     urls = urls.select("*", rule.alias("rule"), ruled.alias("ruled"), template(F.col("path")).alias("template"))
     words = rf"(?i)(^|[^a-z])({'|'.join(seed_words)})([^a-z]|$)"
     positive = F.coalesce(F.col("ruled") == "block", F.concat("host", "path").rlike(words))
-    counts = stored(urls.groupBy("host", "template").agg(
+    marked = urls
+    if labels is not None:
+        known = labels.where("label is not null").groupBy("page_id").agg((F.max("label") > 0).alias("known"))
+        marked, positive = urls.join(known, "page_id", "left"), F.coalesce(F.col("known"), positive)
+    counts = stored(marked.groupBy("host", "template").agg(
         F.count("*").alias("n"), F.count(F.when(positive, 1)).alias("bad")), "url-counts")
     return urls.join(grow(counts), ["host", "template"]).select(
         "page_id", "host", "path", "rule",

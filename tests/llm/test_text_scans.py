@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodgelake.llm import licenses, mixing, tokencount, urltree, warc
+from lodgelake.llm.oracle_sql import SQL
 from lodgelake.session import scratch_path
 from tests.llm.conftest import ALNUM, SF, by_id, lower
 
@@ -250,6 +251,45 @@ def test_url_tree_sees_the_whole_path(spark):
     assert [got[k] for k in range(len(got))] == ["block"] * len(spam) + ["allow"] * len(fair)
 
 
+def test_like_url_branches_are_judged_together(spark):
+    """200 branches of one bad URL each, among 1800 of one clean URL, are one branch."""
+    word = lambda k: "".join(chr(97 + k // 26**i % 26) for i in range(3))
+    urls = [f"http://one.example.com/{word(k)}-{'spam' if k % 10 == 0 else 'text'}" for k in range(2000)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    got = {r.page_id: r.verdict for r in urltree.judge(pages).collect()}
+    assert got == {k: "block" if k % 10 == 0 else "allow" for k in range(2000)}
+
+
+def test_url_labels_come_before_seed_words(spark):
+    urls = [f"http://a.example.com/{p}/{i}" for p in ("casino", "tales") for i in range(40)]
+    pages = spark.createDataFrame([*enumerate(urls), (None, "http://a.example.com/tales/x")], "page_id bigint, url string")
+    labels = spark.createDataFrame([(k, int("tales" in u)) for k, u in enumerate(urls)] + [(3, 0), (50, None), (None, 0)], "page_id bigint, label int")
+    got = {r.page_id: r.verdict for r in urltree.judge(pages, labels=labels).collect()}
+    assert got == {k: "block" if "tales" in u else "allow" for k, u in enumerate(urls)} | {None: "block"}
+
+
+def test_url_tree_equals_sql_on_deep_and_wide_paths(spark):
+    """Paths of 0 to 6 segments, 40 siblings, hosts of all sizes, partly bad
+    branches at every depth: the same verdicts as the recursive SQL."""
+    import duckdb
+    rnd = random.Random(11)
+    words = [f"w{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(40)] + ["spam", "casino"]
+    rows = []
+    for k in range(6000):
+        host = f"h{int(rnd.random() ** 3 * 12)}.example.com"
+        path = [rnd.choice(words[: 4 if d else 42]) if rnd.random() < 0.9 else rnd.choice(words) for d in range(rnd.randrange(7))]
+        if path and path[0] in words[:6] and rnd.random() < 0.8:
+            path.append(rnd.choice(["pills", "pills", "text"]))
+        rows.append((k, f"http://{host}/{'/'.join(path)}" + rnd.choice(["", "/", f"/{k}"])))
+    rows += [(k, u) for k, u in [(6000, None), (6001, ""), (6002, "http://h0.example.com")]]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string")
+    db = duckdb.connect()
+    db.register("pages", pages.toArrow())
+    want = {r[0]: r[4] for r in db.execute(SQL["op6_url_tree"]).fetchall()}
+    got = {r.page_id: r.verdict for r in urltree.judge(pages).collect()}
+    assert got == want and len(got) == len(rows) and 100 < sum(v == "block" for v in got.values()) < 5000
+
+
 def test_poisson_number(spark):
     """Inversion at no, small and very large rates, at fractions beside every
     cumulative probability that a double tells from 1."""
