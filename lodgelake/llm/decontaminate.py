@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodgelake.llm.common import alnum_words, bounded_batches, fresh, list_array, row_key, stored, texts_of
+from lodgelake.session import scratch_path
 
 #: Words of a window; a document is contaminated if hit words times SHARE
 #: reach its words.
@@ -190,11 +191,16 @@ def _find(postings: dict[str, np.ndarray], terms: list[str], offsets: list[int],
 
 def search(index: DataFrame, windows: DataFrame, slop: int = 0) -> DataFrame:
     """(row_id, window, starts) for every window that occurs in a row: exactly
-    (slop 0), or with each term at most ``slop`` words from its place."""
+    (slop 0), or with each term at most ``slop`` words from its place.
+
+    The windows are taken block by block: a block's matches are written before
+    the next one is collected, and its broadcast is destroyed, so the driver and
+    a worker hold one block whatever the number of windows."""
     spark = index.sparkSession
+    matches = scratch_path(spark, "matches")
+    columns = "row_id bigint, window string, starts array<bigint>"
     ranked = stored(_ranked(index, windows), "windows")
     blocks = max(1, -(-ranked.count() // BLOCK_WINDOWS))
-    found = None
     for k in range(blocks):
         own = ranked.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == k).toArrow().to_pylist()
         by_rarest = defaultdict(list)
@@ -224,9 +230,12 @@ def search(index: DataFrame, windows: DataFrame, slop: int = 0) -> DataFrame:
                      pa.array(cols[2], pa.list_(pa.int64()))], ["row_id", "window", "starts"])
 
         part = index.where(F.size("term") > 0).select("row_id", "term", "at").mapInArrow(
-            match, "row_id bigint, window string, starts array<bigint>")
-        found = part if found is None else found.union(part)
-    return found
+            match, columns)
+        try:
+            part.write.mode("append").parquet(matches)
+        finally:
+            held.destroy()
+    return spark.read.schema(columns).parquet(matches)
 
 
 def _covered(starts: Column, size: Column) -> Column:
@@ -246,7 +255,7 @@ def _covered(starts: Column, size: Column) -> Column:
 def _judged(docs: DataFrame, items: DataFrame, window: int, share: int) -> DataFrame:
     windows = stored(windows_of(items, window), "item-windows")
     index = build_index(docs, windows)
-    found = stored(search(index, windows), "matches")
+    found = search(index, windows)
     size = F.size(F.split("window", " ")).cast("bigint")
     hits = (
         found.groupBy("row_id").agg(

@@ -162,3 +162,33 @@ def test_proximity(spark, docs_of):
     near = {row[r.row_id] for r in decontaminate.search(index, windows, slop=2).collect()}
     exact = {row[r.row_id]: r.starts for r in decontaminate.search(index, windows).collect()}
     assert near == {1, 2} and exact == {1: [0]}
+
+
+def test_windows_are_searched_one_block_at_a_time(spark, docs_of, monkeypatch):
+    """Blocks of a few windows give the matches of one block, and each block's
+    broadcast is gone before the next block's is made."""
+    from pyspark import Broadcast, SparkContext
+    words = [f"w{k}" for k in range(40)]
+    texts = [(k, " ".join(words[k % 7 : 20 + k % 20])) for k in range(30)]
+    items = spark.createDataFrame([(k, " ".join(words[k : k + 15])) for k in range(12)], "item_id bigint, text string")
+    docs, windows = docs_of(texts), decontaminate.windows_of(items)
+    index = decontaminate.build_index(docs)
+    found = lambda: sorted((r.row_id, r.window, r.starts) for r in decontaminate.search(index, windows).collect())
+    whole, live, most = found(), set(), []
+    make, destroy = SparkContext.broadcast, Broadcast.destroy
+
+    def counted(self, value):
+        b = make(self, value)
+        live.add(id(b))
+        most.append(len(live))
+        return b
+
+    def ended(self, *args, **kw):
+        live.discard(id(self))
+        return destroy(self, *args, **kw)
+
+    monkeypatch.setattr(SparkContext, "broadcast", counted)
+    monkeypatch.setattr(Broadcast, "destroy", ended)
+    monkeypatch.setattr(decontaminate, "BLOCK_WINDOWS", 4)
+    assert found() == whole and whole
+    assert len(most) > 2 and set(most) == {1} and not live
