@@ -159,12 +159,12 @@ class BitMap:
         return (self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def bit_map_of(rows: DataFrame, h: Column) -> BitMap:
+def bit_map_of(rows: DataFrame, h: Column, size: int = MAP_BITS) -> BitMap:
     """The bit map of a column of hashes; 4 KB for each 32768 bits come to the driver."""
-    at = h.bitwiseAND(F.lit(MAP_BITS - 1))
+    at = h.bitwiseAND(F.lit(size - 1))
     got = rows.groupBy(F.shiftright(at, 15).alias("part")).agg(
         F.bitmap_construct_agg(F.pmod(at, F.lit(1 << 15))).alias("bits")).toArrow()
-    bits = np.zeros((MAP_BITS >> 15, 1 << 12), np.uint8)
+    bits = np.zeros((size >> 15, 1 << 12), np.uint8)
     for part, data in zip(got["part"].to_pylist(), got["bits"].to_pylist()):
         bits[part] = np.frombuffer(data, np.uint8)
     return BitMap(bits.ravel())
