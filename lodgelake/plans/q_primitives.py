@@ -17,6 +17,7 @@ from lodgelake.functions import (
 )
 from lodgelake.operators import scd2
 from lodgelake.operators.dedupe import latest_per_key, top1_window
+from lodgelake.operators.keyfilter import without_keys_of
 from lodgelake.operators.median import exact_median
 from lodgelake.plans import analysis, marts, oracle_analysis
 from lodgelake.plans.catalog import register
@@ -359,7 +360,7 @@ def q_anti_new_keys(spark, sf):
     from lodgelake.sources import testdata
     batch = testdata.listing_rows(spark, sf)
     target = _L(spark, sf).bronze["airbnb_raw"].where(F.col("scraped_date") < F.lit("1998-01-01").cast("date"))
-    new = batch.join(target.select("listing_id", "scraped_date"), ["listing_id", "scraped_date"], "left_anti")
+    new = without_keys_of(batch, target, ["listing_id", "scraped_date"])
     return new.select("listing_id", "scraped_date", "l_orderkey", "l_linenumber")
 
 
