@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from lodgelake.llm.licenses import COVERAGE, GRAM, SLOP, TEMPLATES
+
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 SQL: dict[str, str] = {}
@@ -31,6 +33,45 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM doc LEFT JOIN word USING (r) LEFT JOIN listed USING (r)
 """
 
+_TEMPLATES = ", ".join(f"({k}, '{t.label}', '{t.text}', {t.base})" for k, t in enumerate(TEMPLATES))
+
+SQL["op3_licenses"] = rf"""
+WITH template AS (
+  SELECT template, label, base, {_WORDS} AS w FROM (VALUES {_TEMPLATES}) AS v(template, label, text, base)
+), place AS (
+  SELECT template, label, base, spot, list_slice(w, spot + 1, spot + least({GRAM}, len(w))) AS g,
+         greatest(len(w) - {GRAM} + 1, 1) AS n_grams
+  FROM template, unnest(range(greatest(len(w) - {GRAM} + 1, 1))) AS t(spot)
+), doc AS (
+  SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents
+), word AS (
+  SELECT r, pos, list(w) OVER (PARTITION BY r ORDER BY pos ROWS BETWEEN CURRENT ROW AND {GRAM - 1} FOLLOWING) AS g
+  FROM (SELECT r, unnest(w) AS w, generate_subscripts(w, 1) - 1 AS pos FROM doc)
+), gram AS (
+  SELECT r, pos, list_slice(g, 1, n) AS g FROM word, (SELECT DISTINCT len(g) AS n FROM place) AS size
+  WHERE len(g) >= n AND g[1] IN (SELECT g[1] FROM place)
+), vote AS (
+  SELECT r, template, label, base, n_grams, pos - spot AS diagonal, pos, spot FROM gram JOIN place USING (g)
+), step AS (
+  SELECT *, diagonal - lag(diagonal) OVER (PARTITION BY r, template ORDER BY diagonal) AS gap
+  FROM (SELECT DISTINCT r, template, n_grams, diagonal FROM vote)
+), diagonals AS (
+  SELECT r, template, diagonal, sum(CASE WHEN gap <= CASE WHEN n_grams = 1 THEN 0 ELSE {SLOP} END THEN 0 ELSE 1 END)
+    OVER (PARTITION BY r, template ORDER BY diagonal) AS span
+  FROM step
+), good AS (
+  SELECT r, label, base, min(pos) AS start, count(DISTINCT spot) / n_grams AS coverage
+  FROM vote JOIN diagonals USING (r, template, diagonal)
+  GROUP BY r, template, label, base, n_grams, span HAVING count(DISTINCT spot) / n_grams >= {COVERAGE}
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, count(*) FILTER (WHERE base) AS n_base,
+       (min(start) FILTER (WHERE base))::BIGINT AS first_word, (max(start) FILTER (WHERE base))::BIGINT AS last_word,
+       coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base), '') AS base_labels,
+       coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS labels,
+       coalesce(max(coverage), 0.0)::DOUBLE AS score
+FROM doc LEFT JOIN good USING (r) GROUP BY r, doc_id, len(w)
+"""
+
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 SQL["op4_warc"] = r"""
