@@ -297,7 +297,6 @@ def test_url_labels_come_before_seed_words(spark):
 def test_url_tree_equals_sql_on_deep_and_wide_paths(spark):
     """Paths of 0 to 6 segments, 40 siblings, hosts of all sizes, partly bad
     branches at every depth: the same verdicts as the recursive SQL."""
-    import duckdb
     rnd = random.Random(11)
     words = [f"w{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(40)] + ["spam", "casino"]
     rows = []
