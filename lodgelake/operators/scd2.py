@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodgelake.operators.keyfilter import cannot_match, may_match
+
 FROM, TO = "valid_from", "valid_to"
 
 
@@ -78,13 +80,16 @@ def apply_batch(history: DataFrame, batch: DataFrame, key: str, attrs: Sequence[
 def splice(history: DataFrame, batch: DataFrame, key: str, attrs: Sequence[str], ts: str = "updated_at") -> DataFrame:
     """Merge rows of any time into a history without hard deletes: the versions
     of the batch's keys are chained again with the new ones in between, those of
-    other keys stay.  Equals a rebuild from all rows; rows met again change nothing."""
+    other keys stay.  Equals a rebuild from all rows; rows met again change nothing.
+    Versions whose key cannot be in the batch pass by without a shuffle."""
     cols = history.columns
     touched = batch.where(F.col(ts).isNotNull()).select(key).where(F.col(key).isNotNull()).distinct()
     rows = [c for c in cols if c not in (FROM, TO)]
-    own = history.join(touched, key, "left_semi").select(*rows)
+    near = may_match(history, touched, [key])
+    own = near.join(touched, key, "left_semi").select(*rows)
     again = build_history(own.unionByName(batch.select(*rows)), key, attrs, ts)
-    return history.join(touched, key, "left_anti").select(*cols).unionByName(again.select(*cols))
+    others = cannot_match(history, touched, [key]).unionByName(near.join(touched, key, "left_anti").select(*cols))
+    return others.unionByName(again.select(*cols))
 
 
 def _carried_over(side: DataFrame, versions: DataFrame, key: str) -> DataFrame:
