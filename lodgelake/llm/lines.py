@@ -47,9 +47,10 @@ from lodgelake.llm.common import BitMap, bit_map_of, bounded_batches, chunks, fi
 #: and bytes of text fitted on at most (whole documents, in that order; one that
 #: does not fit is left out and the next ones are tried).
 FIT_ROWS, FIT_BYTES = 4_000, 16_000_000
-#: Lines fitted on at most (pieces of whole chains, in the same order), and lines
-#: of a piece: longer chains are cut for fitting, never for decoding.
-FIT_LINES, PIECE = 100_000, 32
+#: Lines fitted on at most (half for each label, in the same order), lines of one
+#: document among them, and lines of a piece: longer chains are cut for fitting,
+#: never for decoding.
+FIT_LINES, FIT_OF_ONE, PIECE = 100_000, 2_048, 32
 #: Chance that a line shares its document's label, before the line is looked at.
 TRUST = 0.6
 #: Log odds that a line's own evidence adds while fitting (twice that against it).
@@ -180,13 +181,13 @@ def fit(chains: list[np.ndarray], labels: np.ndarray, turns: int = 2, rounds: in
     """Weights from chains whose label is a prior on their lines; classes weigh
     the same."""
     model = LineModel(np.zeros(WIDTH), np.zeros((2, 2)))
-    pieces, y, held = [], [], 0
+    pieces, y, held = [], [], [0, 0]
     for c, label in zip(chains, labels):
-        for a in range(0, len(c), PIECE):
-            if held + len(c[a:a + PIECE]) <= fit_lines:
+        for a in range(0, min(len(c), FIT_OF_ONE), PIECE):
+            if 2 * (held[label] + len(c[a:a + PIECE])) <= fit_lines:
                 pieces.append(c[a:a + PIECE])
                 y.append(int(label))
-                held += len(pieces[-1])
+                held[label] += len(pieces[-1])
     if len(set(y)) < 2:
         return model
     lengths = np.array([len(c) for c in pieces])

@@ -201,6 +201,16 @@ def test_crf_expectations_and_gradient():
                 p[k] -= d
 
 
+def test_one_document_of_very_many_lines_leaves_room_for_others():
+    def bins(text):
+        return lines.read_text(text.encode())[1]
+
+    good = bins("\n".join(f"Plain words of line {k}, all of them told apart." for k in range(20_000)))
+    bad = bins("\n".join(f"BUY {k} NOW!!! $$$ ###" for k in range(20)))
+    model = lines.fit([good, bad, good, bad], np.array([1, 0, 1, 0]), fit_lines=5_000)
+    assert model.decode(good).all() and not model.decode(bad).any()
+
+
 def test_lines_planted_in_documents_of_the_other_label(spark, docs_of):
     """Good documents have menus and footers, bad ones a clean paragraph: labels
     differ inside a document, though only documents are labelled."""
