@@ -11,3 +11,10 @@ def test_select_files_reads_the_files_it_selects(spark):
     got = QUERIES["select_files"](spark, SF)
     assert got.columns == schemas.CENSUS_G02.names and got.count() == 5
     assert "census_g02" in ORACLE["select_files"] and "picked" in ORACLE["file_kinds"]
+
+
+def test_load_projection_loads_every_declared_column(spark):
+    got = QUERIES["load_projection"](spark, SF)
+    assert got.columns == schemas.LISTING_COLUMNS
+    assert got.where("scraped_date is null").isEmpty()
+    assert "loaded_rows" in ORACLE["load_projection"]
