@@ -17,7 +17,7 @@ from lodgelake.operators import scd2
 from lodgelake.plans import marts, silver, star
 from lodgelake.plans.analysis import PARTITION_COL
 from lodgelake.plans.versions import VersionedTables
-from lodgelake.session import pin_session
+from lodgelake.session import pin_session, scratch_path
 from lodgelake.sources import testdata
 from lodgelake.sources.ingest import BRONZE_PARTITION
 
@@ -40,6 +40,14 @@ class Layers:
     def bronze(self) -> dict[str, DataFrame]:
         return testdata.bronze_tables(self.spark, self.sf_dir)
 
+    def written(self) -> "Layers":
+        """The same layers over bronze listings that are written once, for a
+        query that reads them several times: the mapping and the pick per key run
+        once, and every reader takes its own columns of the file."""
+        path = scratch_path(self.spark, "bronze-listings")
+        self.bronze["airbnb_raw"].write.parquet(path)
+        return Layers(self.spark, bronze=self.bronze | {"airbnb_raw": self.spark.read.parquet(path)})
+
     # silver
     @cached_property
     def listings(self) -> DataFrame:

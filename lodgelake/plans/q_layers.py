@@ -197,14 +197,14 @@ def q_gold_dim_lga(spark, sf):
 
 @register("mart_listing_neighbourhood", oracle_analysis.LISTING_MART)
 def q_mart_listing_neighbourhood(spark, sf):
-    L = Layers(spark, sf)
+    L = Layers(spark, sf).written()
     return marts.mart_listing_neighbourhood(L.fact, L.property_history, L.host_history)
 
 
 # The mart's ingredients are kept by month; the last month comes in by itself.
 @register("mart_month_update", oracle_analysis.LISTING_MART)
 def q_mart_month_update(spark, sf):
-    L = Layers(spark, sf)
+    L = Layers(spark, sf).written()
     t = VersionedTables(spark, scratch_path(spark, "mart-months"))
     facts = t.put("fact_month", marts.monthly_fact(L.fact, L.property_history, L.host_history), "month_start")
     newest = facts.agg(F.max("month_start")).first()[0]
@@ -220,7 +220,7 @@ def q_mart_month_update(spark, sf):
 
 @register("mart_property_type", oracle_analysis.PROPERTY_MART)
 def q_mart_property_type(spark, sf):
-    L = Layers(spark, sf)
+    L = Layers(spark, sf).written()
     return marts.mart_property_type(L.fact, L.property_history, L.host_history)
 
 
