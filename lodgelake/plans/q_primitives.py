@@ -294,7 +294,7 @@ FROM fact_listings f
 {asof("a", "property_snapshot", "listing_id")}
 {asof("h", "host_snapshot", "host_id")}"""))
 def q_scd2_double_asof(spark, sf):
-    L = _L(spark, sf)
+    L = _L(spark, sf).written()
     e = marts._enriched(L.fact, L.property_history, L.host_history, ["listing_neighbourhood"])
     return e.select("listing_id", "scraped_date", "listing_neighbourhood", "host_is_superhost")
 
@@ -807,7 +807,7 @@ FROM fact_listings f
 LEFT JOIN (SELECT lower(suburb_name) AS suburb_lc, lga_name FROM lga_suburb_cleaned) l
   ON lower(h.host_neighbourhood) = l.suburb_lc"""))
 def q_coalesce_fallback(spark, sf):
-    L = _L(spark, sf)
+    L = _L(spark, sf).written()
     e = scd2.asof_join(L.fact.select("listing_id", "scraped_date", "host_id"), L.host_history,
                        "host_id", "scraped_date", ["host_neighbourhood"])
     sub = L.lga_suburb.select(F.lower(F.col("suburb_name")).alias("_lc"), F.col("lga_name"))

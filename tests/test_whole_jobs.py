@@ -1,6 +1,9 @@
 """Queries that did part of their job do the whole of it, and each step once."""
 
+import pytest
+
 from lodgelake import schemas
+from lodgelake.plans import q_ingest
 from lodgelake.plans.catalog import ORACLE, QUERIES, load_all
 
 load_all()
@@ -18,3 +21,32 @@ def test_load_projection_loads_every_declared_column(spark):
     assert got.columns == schemas.LISTING_COLUMNS
     assert got.where("scraped_date is null").isEmpty()
     assert "loaded_rows" in ORACLE["load_projection"]
+
+
+# each reads its listings two to four times
+SEVERAL = ["mart_listing_neighbourhood", "mart_property_type", "mart_host_neighbourhood", "scd2_apply",
+           "scd2_asof_join", "scd2_asof_unmatched", "scd2_double_asof", "coalesce_fallback"]
+
+
+@pytest.mark.parametrize("key", SEVERAL)
+def test_listings_are_mapped_once(spark, key):
+    read = QUERIES[key](spark, SF).inputFiles()
+    assert any("bronze-listings" in f for f in read) and not any("lineitem.parquet" in f for f in read)
+
+
+def test_full_refresh_lands_no_listings(spark, monkeypatch):
+    monkeypatch.setattr(q_ingest, "landing", lambda *_: pytest.fail("listings landed"))
+    assert QUERIES["full_refresh"](spark, SF).count() == 5
+
+
+def test_landed_copies_of_a_key_share_a_file(spark):
+    paths = q_ingest._listing_paths(spark, SF)
+    text = q_ingest.ingest.read_csv_text(spark, paths, schemas.LISTING_COLUMNS)
+    good = text.where("scraped_date not like '31/02%'")
+    assert good.groupBy("listing_id", "scraped_date").agg({"_file": "approx_count_distinct"}).where("`approx_count_distinct(_file)` > 1").isEmpty()
+
+
+def test_line_items_are_not_shuffled_by_customer(spark):
+    plan = q_ingest.testdata.joined_rows(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join Inner" in line]
+    assert "l_partkey" in joins[0] and "l_orderkey" in joins[1] and len(joins) == 4  # customers join their orders below
