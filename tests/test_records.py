@@ -83,3 +83,35 @@ def test_empty_and_odd_files(spark):
     with open(unclosed, "w") as f:
         f.write('id,t\n1,a\n2,"b\nc\n')
     assert [r[1] for r in ingest.read_csv_text(spark, [unclosed]).orderBy("id").collect()] == ["a", "b\nc"]
+
+
+def test_records_over_batch_borders(spark, split_size):
+    """Lines come in batches of any size; a record may run over several."""
+    path = written(scratch_path(spark, "csv"), "a.csv", ROWS)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for rows in (1, 2, 3, 5):
+            spark.conf.set(key, str(rows))
+            for at in (23, os.path.getsize(path)):
+                split_size(at)
+                assert cells(ingest.read_csv_text(spark, [path], ["id", "c"])) == ROWS, (rows, at)
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_text_is_scanned_for_quotes_once_and_parsed_once(spark, monkeypatch):
+    """Files with breaks in cells: one scan tells of files and splits, and what is
+    asked of the cells does not parse the text again."""
+    path, seen, scan = written(scratch_path(spark, "csv"), "a.csv", ROWS), [], records._lines
+    monkeypatch.setattr(records, "_lines", lambda *a, **k: seen.append(a) or scan(*a, **k))
+    text = ingest.read_csv_text(spark, [path], ["id", "c"])
+    assert len(seen) == 2  # the quotes, the records
+    plan = text.where("id > 1 and id < 9 and c is not null").select("id", "c")._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.lower().count("csvtostructs") + plan.count("from_csv") <= 2  # records of one split, and joined ones
+
+
+def test_bare_carriage_return_in_a_cell_is_a_break(spark):
+    paths = [written(scratch_path(spark, "csv"), "a.csv", [["1", "a\rb", "c"]]),
+             written(scratch_path(spark, "csv"), "b.csv", [["1", "ab", "c"]])]
+    assert records.broken_paths(spark, paths) == set(paths[:1])
