@@ -8,11 +8,13 @@ as Parquet (``materialise``) and the marts stay views over them.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodgelake import schemas
 from lodgelake.operators import scd2
 from lodgelake.plans import marts, silver, star
 from lodgelake.plans.analysis import PARTITION_COL
@@ -24,12 +26,13 @@ from lodgelake.sources.ingest import BRONZE_PARTITION
 
 class Layers:
     """Lazy layers over the driver tables (``sf_dir``) or over given bronze
-    tables (``bronze``: the five raw tables, e.g. loaded from CSV drops)."""
+    tables (``bronze``: the five raw tables, e.g. loaded from CSV drops).
+    ``columns`` are those of the listings that are read: no others are mapped."""
 
     def __init__(self, spark: SparkSession, sf_dir: str | None = None,
-                 bronze: dict[str, DataFrame] | None = None):
+                 bronze: dict[str, DataFrame] | None = None, columns: Sequence[str] = schemas.LISTING_COLUMNS):
         pin_session(spark)
-        self.spark, self.sf_dir = spark, sf_dir
+        self.spark, self.sf_dir, self.columns = spark, sf_dir, columns
         if bronze is not None:
             self.__dict__["bronze"] = bronze
         elif sf_dir is None:
@@ -38,7 +41,7 @@ class Layers:
     # bronze
     @cached_property
     def bronze(self) -> dict[str, DataFrame]:
-        return testdata.bronze_tables(self.spark, self.sf_dir)
+        return testdata.bronze_tables(self.spark, self.sf_dir, self.columns)
 
     def written(self) -> "Layers":
         """The same layers over bronze listings that are written once, for a

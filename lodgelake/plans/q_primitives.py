@@ -25,13 +25,13 @@ from lodgelake.plans.layers import Layers
 from lodgelake.plans.oracle_sql import (
     asof, cents as sql_cents, digits, initcap, quotient, ratio, stays, stays_clamped, with_base,
 )
-from lodgelake.schemas import AGE_BANDS
+from lodgelake.schemas import AGE_BANDS, LISTING_COLUMNS
 
 MONTH = "CAST(date_trunc('month', scraped_date) AS DATE)"
 
 
-def _L(spark, sf):
-    return Layers(spark, sf)
+def _L(spark, sf, columns=LISTING_COLUMNS):
+    return Layers(spark, sf, columns=columns)
 
 
 # ----------------------------------------------------- projections/filters --
@@ -95,7 +95,7 @@ def _date_text(df):
 @register("filter_valid_date", with_base(
     "SELECT listing_id, scraped_date FROM airbnb_raw WHERE number_of_reviews <> 3"))
 def q_filter_valid_date(spark, sf):
-    raw = _date_text(_L(spark, sf).bronze["airbnb_raw"])
+    raw = _date_text(_L(spark, sf, ["listing_id", "scraped_date", "number_of_reviews"]).bronze["airbnb_raw"])
     parsed = raw.select("listing_id", parse_date_cascade(F.col("date_text")).alias("scraped_date"))
     return parsed.where(F.col("scraped_date").isNotNull())
 

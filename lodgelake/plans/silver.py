@@ -21,10 +21,11 @@ PROPERTY_ATTRS = ["property_type", "room_type", "accommodates", "listing_neighbo
 
 
 def silver_listings(raw: DataFrame) -> DataFrame:
-    """airbnb_cleaned: defaults, numeric price; one projection, no shuffle."""
+    """airbnb_cleaned: defaults, numeric price; one projection, no shuffle.
+    Of a raw table that was made with some of the columns, just these."""
     c = F.col
     out = []
-    for name in schemas.LISTING_COLUMNS:
+    for name in (n for n in schemas.LISTING_COLUMNS if n in raw.columns):
         if name == "scraped_date":
             e = c(name).cast("date")
         elif name == "host_name":

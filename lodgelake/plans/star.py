@@ -11,6 +11,10 @@ from lodgelake.plans.silver import HOST_ATTRS, PROPERTY_ATTRS
 FACT_COLUMNS = ["listing_id", "host_id", "scraped_date", "price", "number_of_reviews",
                 "review_scores_rating", "has_availability", "availability_30"]
 
+# listing columns that the histories are made of
+HOST_ROWS = ["host_id", *HOST_ATTRS, "scraped_date"]
+PROPERTY_ROWS = ["listing_id", *PROPERTY_ATTRS, "scraped_date"]
+
 
 def with_updated_at(dim: DataFrame) -> DataFrame:
     """Version time = scrape date at midnight (time-zone free)."""

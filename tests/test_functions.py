@@ -136,3 +136,26 @@ def test_date_parsers_against_python_calendar(spark):
             assert r.l is None, r
         else:
             assert r.l == r.real, r  # the file month picks the right reading
+
+
+def test_shapes_hide_no_date(spark):
+    """A layout reads what it reads without the look at the text's shape."""
+    from lodgelake.functions import dates
+
+    texts = ["31/02/1995", "30/2/1995", "29/2/1996", "29/02/1995", "31/4/1995", "31/12/1995", "2/30/1995", "12/31/1995", "1/1/95",
+             "001/01/1995", "1-2-1995", "1995-02-28", "1995-02-30", "1995-2-3", "1995/02/03", "1995-02-03 10:11:12", "1995-02-03T10:11:12",
+             "1995-02-03t10:11:12", "3 Feb 1995", "3 february 1995", "Feb 3, 1995", "MAY 31, 1995", "30 Feb 1995", "1/1/12345", "+1995/01/01",
+             "1/1/+12345", "0/1/1995", "1/13/1995", " 1/1/1995", "1/1/1995 ", "1/1/1995\n", "", "x", None]
+    layouts = [dates.SLASH_DAY_FIRST, *dates.CERTAIN, *dates.MONTH_FIRST, *dates.DAY_FIRST]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for row in df.select("t", *[F.struct(dates.to_date_exact(F.col("t"), x).cast("string").alias("a"),
+                                         F.try_to_date("t", x).cast("string").alias("b")).alias(x) for x in layouts]).collect():
+        for x in layouts:
+            assert row[x].a == row[x].b, (row.t, x)
+
+
+def test_date_text_is_trimmed_once(spark):
+    from lodgelake.functions import parse_date_cascade
+
+    df = spark.range(1).select(F.col("id").cast("string").alias("t")).select(parse_date_cascade(F.col("t")).alias("d"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") <= 2

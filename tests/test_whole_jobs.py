@@ -50,3 +50,33 @@ def test_line_items_are_not_shuffled_by_customer(spark):
     plan = q_ingest.testdata.joined_rows(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     joins = [line for line in plan.splitlines() if "Join Inner" in line]
     assert "l_partkey" in joins[0] and "l_orderkey" in joins[1] and len(joins) == 4  # customers join their orders below
+
+
+def test_listings_of_some_columns_are_those_of_all(spark):
+    """The pick takes the same rows whatever columns are read, and moves no others."""
+    from lodgelake.plans import star
+
+    bronze = q_ingest.testdata.bronze_listings
+    whole = bronze(spark, SF)
+    for columns in (["listing_id", "scraped_date", "number_of_reviews"], star.HOST_ROWS, [*star.PROPERTY_ROWS, "price"]):
+        some = bronze(spark, SF, columns)
+        assert some.exceptAll(whole.select(*some.columns)).isEmpty() and some.count() == whole.count()
+    plan = bronze(spark, SF, star.HOST_ROWS)._jdf.queryExecution().optimizedPlan().toString()
+    moved = "\n".join(line for line in plan.splitlines() if "Relation" not in line)
+    assert "p_type" not in moved and "l_quantity" not in moved
+
+
+def test_ties_of_the_load_order_are_picked_alike(spark):
+    """Rows that the load order does not tell apart: all columns decide."""
+    from lodgelake.plans import star
+    from lodgelake.session import scratch_path
+
+    sf = scratch_path(spark, "tied")
+    for t in ("nation", "region", "supplier", "customer", "part", "orders", "lineitem"):
+        df = spark.read.parquet(f"{SF}/{t}.parquet")
+        if t == "orders":  # every order twice, of two customers and dates
+            df = df.union(df.withColumns({"o_custkey": df.o_custkey % 7 + 1, "o_orderdate": df.o_orderdate.cast("timestamp_ntz")}))
+        df.write.parquet(f"{sf}/{t}.parquet")
+    bronze = q_ingest.testdata.bronze_listings
+    whole, some = bronze(spark, sf), bronze(spark, sf, star.HOST_ROWS)
+    assert some.exceptAll(whole.select(*some.columns)).isEmpty() and some.count() == whole.count()
