@@ -43,12 +43,12 @@ def q_silver_lga_suburb(spark, sf):
 
 @register("silver_dim_host", with_base("SELECT * FROM dim_host"))
 def q_silver_dim_host(spark, sf):
-    return Layers(spark, sf).dim_host_silver
+    return Layers(spark, sf, columns=star.HOST_ROWS).dim_host_silver
 
 
 @register("silver_dim_property", with_base("SELECT * FROM dim_property"))
 def q_silver_dim_property(spark, sf):
-    return Layers(spark, sf).dim_property_silver
+    return Layers(spark, sf, columns=[*star.PROPERTY_ROWS, "price"]).dim_property_silver
 
 
 # --------------------------------------------------------------- history ----
@@ -59,29 +59,29 @@ _HIST_COLS = "valid_from, valid_to, updated_at, scraped_date"
 HISTORY_SQL = with_base(f"SELECT host_id, {', '.join(HOST_ATTRS)}, {_HIST_COLS} FROM host_snapshot")
 
 
-def _open(spark, sf, name):
+def _open(spark, sf, name, columns):
     """Open versions of a history written with open and closed versions apart:
     one partition is read, however long the closed history is."""
     t = VersionedTables(spark, scratch_path(spark, "history"))
-    return open_versions(put_history(t, name, getattr(Layers(spark, sf), name)))
+    return open_versions(put_history(t, name, getattr(Layers(spark, sf, columns=columns), name)))
 
 
 @register("scd2_host_history", HISTORY_SQL)
 def q_scd2_host_history(spark, sf):
-    return Layers(spark, sf).host_history
+    return Layers(spark, sf, columns=star.HOST_ROWS).host_history
 
 
 @register("scd2_property_history", with_base(
     f"SELECT listing_id, {', '.join(PROP_ATTRS)}, {_HIST_COLS} FROM property_snapshot"))
 def q_scd2_property_history(spark, sf):
-    return Layers(spark, sf).property_history
+    return Layers(spark, sf, columns=star.PROPERTY_ROWS).property_history
 
 
 @register("scd2_current", with_base(
     f"SELECT host_id, {', '.join(HOST_ATTRS)}, {_HIST_COLS} FROM host_snapshot "
     "WHERE valid_to IS NULL"))
 def q_scd2_current(spark, sf):
-    return _open(spark, sf, "host_history")
+    return _open(spark, sf, "host_history", star.HOST_ROWS)
 
 
 # Incremental runs: history of the rows before the cut, then the whole table
@@ -89,11 +89,17 @@ def q_scd2_current(spark, sf):
 _CUT = "1998-01-01"
 
 
+def _host_rows_written(spark, sf):
+    """The distinct host rows, written once: histories read them several times."""
+    path = scratch_path(spark, "host-rows")
+    star.with_updated_at(Layers(spark, sf, columns=star.HOST_ROWS).dim_host_silver).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 @register("scd2_apply", with_base(
     f"SELECT host_id, {', '.join(HOST_ATTRS)}, {_HIST_COLS} FROM host_snapshot"))
 def q_scd2_apply(spark, sf):
-    L = Layers(spark, sf).written()
-    src = star.with_updated_at(L.dim_host_silver)
+    src = _host_rows_written(spark, sf)
     before = scd2.build_history(src.where(F.col("scraped_date") < F.lit(_CUT).cast("date")),
                                 "host_id", star.HOST_ATTRS)
     return scd2.apply_batch(before, src, "host_id", star.HOST_ATTRS,
@@ -118,8 +124,7 @@ later AS (
 
 @register("scd2_hard_delete", _HARD_DELETE_SQL)
 def q_scd2_hard_delete(spark, sf):
-    L = Layers(spark, sf)
-    src = star.with_updated_at(L.dim_host_silver)
+    src = _host_rows_written(spark, sf)
     cut = F.lit(_DEL_CUT).cast("date")
     before = scd2.build_history(src.where(F.col("scraped_date") < cut), "host_id", star.HOST_ATTRS)
     return scd2.apply_batch(before, src.where(F.col("scraped_date") >= cut), "host_id",
@@ -174,13 +179,13 @@ def q_gold_fact_listings(spark, sf):
 @register("gold_dim_host", with_base(
     f"SELECT host_id, {', '.join(HOST_ATTRS)} FROM host_snapshot WHERE valid_to IS NULL"))
 def q_gold_dim_host(spark, sf):
-    return star.dim_host_current(_open(spark, sf, "host_history"))
+    return star.dim_host_current(_open(spark, sf, "host_history", star.HOST_ROWS))
 
 
 @register("gold_dim_listing", with_base(
     f"SELECT listing_id, {', '.join(PROP_ATTRS)} FROM property_snapshot WHERE valid_to IS NULL"))
 def q_gold_dim_listing(spark, sf):
-    return star.dim_listing(_open(spark, sf, "property_history"))
+    return star.dim_listing(_open(spark, sf, "property_history", star.PROPERTY_ROWS))
 
 
 @register("gold_dim_suburb", with_base("SELECT suburb_name, lga_name FROM lga_suburb_cleaned"))
