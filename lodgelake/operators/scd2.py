@@ -19,10 +19,12 @@ from lodgelake.operators.keyfilter import cannot_match, may_match
 FROM, TO = "valid_from", "valid_to"
 
 
-def _one_per_timestamp(src: DataFrame, key: str, attrs: Sequence[str], ts: str) -> DataFrame:
+def _one_per_timestamp(src: DataFrame, key: str, attrs: Sequence[str], ts: str, untimed: bool = False) -> DataFrame:
+    """``untimed``: a key's rows without a timestamp leave one row too."""
     carried = [c for c in src.columns if c not in (key, ts) and c not in attrs]
     packed = F.struct(*[F.col(c) for c in list(attrs) + carried])
-    return (src.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
+    timed = F.lit(True) if untimed else F.col(ts).isNotNull()
+    return (src.where(F.col(key).isNotNull() & timed)
             .groupBy(key, ts).agg(F.max(packed).alias("_v"))
             .select(key, "_v.*", ts))
 
@@ -55,26 +57,28 @@ def apply_batch(history: DataFrame, batch: DataFrame, key: str, attrs: Sequence[
     from the batch is closed at ``as_of`` (default: the batch's latest ts).
     The caller writes the result to a new location; never over the input.
     """
-    cols = history.columns
-    open_v = current(history)
-    closed_v = history.where(F.col(TO).isNotNull())
-    last = history.groupBy(key).agg(F.max(FROM).alias("_last"), F.max(TO).alias("_ended"))
-    fresh = _one_per_timestamp(batch, key, attrs, ts).join(last, key, "left")
+    cols, held = history.columns, history.schema[TO].dataType
+    closed_v = history.where(F.col(TO).isNotNull())  # stay as they are, unshuffled
+    ends = closed_v.groupBy(key).agg(F.max(FROM).alias(FROM), F.max(TO).alias(TO)).withColumn("_kind", F.lit(0))
+    open_v = current(history).withColumn("_kind", F.lit(1))
+    new_v = _one_per_timestamp(batch, key, attrs, ts, untimed=invalidate_hard_deletes).withColumns(
+        {FROM: F.col(ts), TO: F.lit(None).cast(held), "_kind": F.lit(2)})
+    # one shuffle by key; a key has its open version, its timestamps and one row for all that are closed
+    rows = open_v.select(*cols, "_kind").unionByName(new_v.select(*cols, "_kind")).unionByName(ends, allowMissingColumns=True)
+    own, new = Window.partitionBy(key), F.col("_kind") == 2
+    rows = rows.withColumns({"_last": F.max(F.when(~new, F.col(FROM))).over(own), "_ended": F.max(F.when(~new, F.col(TO))).over(own),
+                             "_seen": F.max(new).over(own)})
     later = (F.col(ts) > F.col("_last")) & (F.col("_ended").isNull() | (F.col(ts) >= F.col("_ended")))
-    fresh = fresh.where(F.col("_last").isNull() | later).drop("_last", "_ended")
-    w = Window.partitionBy(key).orderBy(ts)
-    new_v = fresh.withColumn(FROM, F.col(ts)).withColumn(TO, F.lead(ts).over(w))
-    first_new = fresh.groupBy(key).agg(F.min(ts).alias("_first_new"))
-    reopened = open_v.drop(TO).join(first_new, key, "left")
-    close_at = F.col("_first_new")
+    rows = rows.withColumn("_fresh", new & F.col(ts).isNotNull() & (F.col("_last").isNull() | later))
+    close_at = F.min(F.when(F.col("_fresh"), F.col(ts))).over(own)
     if invalidate_hard_deletes:
-        seen = batch.select(key).where(F.col(key).isNotNull()).distinct().withColumn("_seen", F.lit(True))
         stamp = as_of if as_of is not None else batch.agg(F.max(ts)).scalar()
-        reopened = reopened.join(seen, key, "left")
-        close_at = F.when(F.col("_seen").isNull(), stamp).otherwise(close_at)
-    reopened = reopened.withColumn(TO, close_at.cast(history.schema[TO].dataType))
-    return (closed_v.select(*cols).unionByName(reopened.select(*cols))
-            .unionByName(new_v.select(*cols)))
+        close_at = F.when(F.col("_seen"), close_at).otherwise(stamp)
+    # fresh timestamps are the last of a key's new ones: what follows one is fresh too
+    follows = F.lead(ts).over(Window.partitionBy(key, "_kind").orderBy(ts))
+    rows = rows.withColumn("_until", F.when(new, follows).otherwise(close_at).cast(held))
+    merged = rows.where((F.col("_kind") == 1) | F.col("_fresh")).withColumn(TO, F.col("_until"))
+    return closed_v.select(*cols).unionByName(merged.select(*cols))
 
 
 def splice(history: DataFrame, batch: DataFrame, key: str, attrs: Sequence[str], ts: str = "updated_at") -> DataFrame:

@@ -185,3 +185,23 @@ def test_materialised_warehouse_gives_same_answers(spark):
     assert rows(mat.mart_listing_neighbourhood()) == rows(marts.listing_neighbourhood_kpis(mat.fact_month))
     assert rows(marts.listing_neighbourhood_kpis(mat.fact_month)) == rows(
         marts.mart_listing_neighbourhood(raw.fact, raw.property_history, raw.host_history))
+
+
+def test_batch_is_merged_by_one_shuffle_of_open_versions(spark):
+    """Fresh, stale, absent and untimed keys; closed versions move nowhere."""
+    day = lambda n: dt.datetime(2020, 1, n)
+    kind = "k long, a string, updated_at timestamp_ntz, valid_from timestamp_ntz, valid_to timestamp_ntz"
+    history = spark.createDataFrame([
+        (1, "a", day(1), day(1), day(2)), (1, "b", day(2), day(2), None), (2, "c", day(5), day(5), None),
+        (3, "d", day(1), day(1), day(3)), (4, "e", day(1), day(1), None), (5, "f", day(1), day(1), None),
+        (None, "n", day(1), day(1), None)], kind)
+    batch = spark.createDataFrame([
+        (1, "x", day(2)), (1, "y", day(4)), (1, "z", day(6)), (2, "c", day(4)), (3, "g", day(2)), (3, "h", day(3)),
+        (5, "u", None), (6, "w", day(1)), (None, "m", day(8))], "k long, a string, updated_at timestamp_ntz")
+    out = scd2.apply_batch(history, batch, "k", ["a"], invalidate_hard_deletes=True)
+    rows = {(r.k, r.a): (r.valid_from, r.valid_to) for r in out.collect()}
+    assert rows == {
+        (1, "a"): (day(1), day(2)), (1, "b"): (day(2), day(4)), (1, "y"): (day(4), day(6)), (1, "z"): (day(6), None),
+        (2, "c"): (day(5), None), (3, "d"): (day(1), day(3)), (3, "h"): (day(3), None), (4, "e"): (day(1), day(8)),
+        (5, "f"): (day(1), None), (6, "w"): (day(1), None), (None, "n"): (day(1), day(8))}
+    assert " Join " not in out._jdf.queryExecution().optimizedPlan().toString()
