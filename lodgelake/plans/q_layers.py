@@ -91,7 +91,7 @@ _CUT = "1998-01-01"
 
 def _host_rows_written(spark, sf):
     """The distinct host rows, written once: histories read them several times."""
-    path = scratch_path(spark, "host-rows")
+    path = scratch_path(spark, "bronze-listings-of-hosts")
     star.with_updated_at(Layers(spark, sf, columns=star.HOST_ROWS).dim_host_silver).write.parquet(path)
     return spark.read.parquet(path)
 

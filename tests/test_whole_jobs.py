@@ -80,3 +80,76 @@ def test_ties_of_the_load_order_are_picked_alike(spark):
     bronze = q_ingest.testdata.bronze_listings
     whole, some = bronze(spark, sf), bronze(spark, sf, star.HOST_ROWS)
     assert some.exceptAll(whole.select(*some.columns)).isEmpty() and some.count() == whole.count()
+
+
+@pytest.fixture
+def tables(spark):
+    """Line items of four parts, several a day, from orders in no order."""
+    from pyspark.sql import functions as F
+
+    from lodgelake.session import scratch_path
+
+    sf, n = scratch_path(spark, "tables"), F.col("id")
+    made = {
+        "nation": spark.sql("select * from values (0, 'PERU', 0), (1, 'CHINA', 1) t(n_nationkey, n_name, n_regionkey)"),
+        "region": spark.sql("select * from values (0, 'AMERICA'), (1, 'ASIA') t(r_regionkey, r_name)"),
+        "supplier": spark.range(4).select(n.alias("s_suppkey"), (n % 2).cast("int").alias("s_nationkey")),
+        "customer": spark.range(9).select(n.alias("c_custkey"), F.concat(F.lit("C"), n).alias("c_name"),
+                                          (n % 2).cast("int").alias("c_nationkey"), (n * 10.5).alias("c_acctbal")),
+        "part": spark.range(4).select(n.alias("p_partkey"), F.lit("old hut").alias("p_name"), F.lit("FLAT").alias("p_type"),
+                                      n.cast("int").alias("p_size")),
+        "orders": spark.range(60).select(
+            n.alias("o_orderkey"), (n % 9).alias("o_custkey"), F.lit("2019-01-01 05:00:00").cast("timestamp_ntz").alias("o_orderdate"),
+            F.element_at(F.array(F.lit("1-URGENT"), F.lit("5-LOW"), F.lit("2-HIGH"), F.lit(None)), (n % 4 + 1).cast("int")).alias("o_orderpriority")),
+        "lineitem": spark.range(400).select(
+            (n * 7 % 60).alias("l_orderkey"), (n % 4).alias("l_partkey"), (n % 3).alias("l_suppkey"), (n % 7 + 1).cast("int").alias("l_linenumber"),
+            (n % 5 + 1.0).alias("l_quantity"), (n * 3 % 11 + 0.5).alias("l_extendedprice"), (n % 9 / 100).alias("l_discount"),
+            F.when(n % 3 == 0, "R").when(n % 3 == 1, "N").alias("l_returnflag"),
+            F.timestamp_add("DAY", (n % 10 * 9).cast("int"), F.lit("2020-01-05 10:00:00").cast("timestamp_ntz")).alias("l_shipdate")),
+    }
+    for t, df in made.items():
+        df.write.parquet(f"{sf}/{t}.parquet")
+    return sf
+
+
+@pytest.fixture
+def shuffled(spark):
+    """Joins are shuffled and keep all their partitions."""
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {c: spark.conf.get(c) for c in confs}
+    for c, v in confs.items():
+        spark.conf.set(c, v)
+    yield
+    for c, v in before.items():
+        spark.conf.set(c, v)
+
+
+def test_landing_moves_line_items_twice_and_sorts_them_narrow(spark, tables, shuffled):
+    """By order and by part, not a third time by month; text is made of sorted rows."""
+    plan = q_ingest.listing_text(spark, tables)._jdf.queryExecution().executedPlan().toString().splitlines()
+    moves = [line.strip(" :+-") for line in plan if "Exchange" in line]
+    assert not any("rangepartitioning" in m for m in moves)
+    assert len([m for m in moves if "l_partkey" in m]) == 2  # line items and parts, each once
+    sort, text = (next(i for i, line in enumerate(plan) if mark in line) for mark in ("Sort [_month", "dd/MM/yyyy"))
+    assert text < sort and "dd/MM/yyyy" not in "".join(plan[sort:])
+
+
+@pytest.mark.parametrize("few_files", [False, True])
+def test_landed_files_hold_all_copies_of_a_key_in_load_order(spark, tables, shuffled, few_files):
+    land = q_ingest.landing(spark, tables, few_files)
+    names = q_ingest.files.month_files_sorted(q_ingest.files.list_files(spark, land))
+    rows = q_ingest.ingest.read_csv_text(spark, [f"{land}/{n}" for n in names], schemas.LISTING_COLUMNS).collect()
+    assert len(rows) == 400 + 57  # line 4 comes twice
+    of_key, of_file = {}, {}
+    for r in rows:
+        of_key.setdefault((r.listing_id, r._date), set()).add(r._file)
+        of_file.setdefault(r._file, []).append(r)
+    assert len(of_key) > 10 and all(len(at) == 1 for at in of_key.values())
+    for name, own in of_file.items():
+        own.sort(key=lambda r: (r._block, r._row))
+        order = [(int(r.l_orderkey), int(r.l_linenumber), int(r.l_suppkey), float(r.l_extendedprice), int(r._junk)) for r in own]
+        assert order == sorted(order) and {r._date[:7] for r in own} == {f"{name[-8:-4]}-{name[-11:-9]}"}
+    # orders come with four priorities in turn
+    assert {(int(r.l_orderkey) % 4, r.host_is_superhost) for r in rows} == {(0, "t"), (1, "NaN"), (2, "f"), (3, "f")}
+    assert {(r.host_since, r.l_linenumber == "1") for r in rows} == {("01/01/2019", False), (None, True)}
+    assert tuple(q_ingest.q_load_quality(spark, tables).first()) == (457, 57, 400)
