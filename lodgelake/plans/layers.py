@@ -19,8 +19,8 @@ from lodgelake.operators import scd2
 from lodgelake.plans import marts, silver, star
 from lodgelake.plans.analysis import PARTITION_COL
 from lodgelake.plans.versions import VersionedTables
-from lodgelake.session import pin_session, scratch_path
-from lodgelake.sources import testdata
+from lodgelake.session import own_step, pin_session, scratch_path
+from lodgelake.sources import files, testdata
 from lodgelake.sources.ingest import BRONZE_PARTITION
 
 
@@ -43,13 +43,15 @@ class Layers:
     def bronze(self) -> dict[str, DataFrame]:
         return testdata.bronze_tables(self.spark, self.sf_dir, self.columns)
 
-    def written(self) -> "Layers":
+    def written(self) -> "WrittenLayers":
         """The same layers over bronze listings that are written once, for a
         query that reads them several times: the mapping and the pick per key run
         once, and every reader takes its own columns of the file."""
         path = scratch_path(self.spark, "bronze-listings")
-        self.bronze["airbnb_raw"].write.parquet(path)
-        return Layers(self.spark, bronze=self.bronze | {"airbnb_raw": self.spark.read.parquet(path)})
+        with own_step(self.spark, 0 if self.sf_dir is None else testdata.line_bytes(self.spark, self.sf_dir)):
+            self.bronze["airbnb_raw"].write.parquet(path, compression="zstd")
+        return WrittenLayers(self.spark, bronze=self.bronze | {"airbnb_raw": self.spark.read.parquet(path)},
+                             step_bytes=files.bytes_of(self.spark, path))
 
     # silver
     @cached_property
@@ -94,6 +96,31 @@ class Layers:
         return star.fact_listings(self.listings)
 
 
+class WrittenLayers(Layers):
+    """Layers over written listings whose histories are written too, by the first
+    that reads them, and whose larger results are made in steps (``step``): the
+    shuffle files of one step are gone before the next begins."""
+
+    def __init__(self, spark: SparkSession, bronze: dict[str, DataFrame], step_bytes: int):
+        super().__init__(spark, bronze=bronze)
+        self.step_bytes = step_bytes
+
+    def step(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` written once, as a step that reads about the listings' bytes."""
+        path = scratch_path(self.spark, f"bronze-listings-{name}")
+        with own_step(self.spark, self.step_bytes):
+            df.write.parquet(path, compression="zstd")
+        return self.spark.read.parquet(path)
+
+    @cached_property
+    def host_history(self) -> DataFrame:
+        return self.step(star.host_history(self.listings), "host-history")
+
+    @cached_property
+    def property_history(self) -> DataFrame:
+        return self.step(star.property_history(self.listings), "property-history")
+
+
 CURRENT = "is_current"
 
 

@@ -10,6 +10,8 @@ distinct rewrite, so a hot group is spread over (group, host) keys) -> a
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,6 +26,14 @@ from lodgelake.operators.median import exact_median
 UNKNOWN_AREA = "Unknown"  # fixed value: label of facts without a matching version
 
 
+#: Takes a frame and a name and returns the same rows, written in between or not.
+Step = Callable[[DataFrame, str], DataFrame]
+
+
+def _in_one(df: DataFrame, _name: str) -> DataFrame:
+    return df
+
+
 def _base_fact(fact: DataFrame) -> DataFrame:
     return fact.select(
         "listing_id", "host_id", F.col("scraped_date").cast("date").alias("scraped_date"),
@@ -32,8 +42,9 @@ def _base_fact(fact: DataFrame) -> DataFrame:
 
 
 def _enrich(facts: DataFrame, prop_hist: DataFrame, host_hist: DataFrame,
-            prop_attrs: list[str], probes: DataFrame | None = None) -> DataFrame:
-    """Point-in-time listing and host attributes, plus the activity flags.
+            prop_attrs: list[str], probes: DataFrame | None = None, step: Step = _in_one) -> DataFrame:
+    """Point-in-time listing and host attributes, plus the activity flags; each
+    lookup is a ``step``.
 
     The listing lookup sends the facts themselves through the window (a
     listing has at most one fact per date); the host lookup goes through the
@@ -41,20 +52,22 @@ def _enrich(facts: DataFrame, prop_hist: DataFrame, host_hist: DataFrame,
     """
     e = scd2.asof_join(facts, prop_hist, "listing_id", "scraped_date", prop_attrs,
                        bounded_per_key=True)
+    e = step(e, "with-listing")
     e = scd2.asof_join(e, host_hist, "host_id", "scraped_date", ["host_is_superhost"],
                        probes=probes)
+    e = step(e, "with-host")
     return (e.withColumn("is_active", F.when(F.col("has_availability") == "t", 1).otherwise(0))
             .withColumn("stays_in_30_days", stays_30(F.col("availability_30"))))
 
 
 def _enriched(fact: DataFrame, prop_hist: DataFrame, host_hist: DataFrame,
-              prop_attrs: list[str]) -> DataFrame:
+              prop_attrs: list[str], step: Step = _in_one) -> DataFrame:
     """Every fact with its point-in-time attributes (no monthly reduction)."""
-    return _enrich(_base_fact(fact), prop_hist, host_hist, prop_attrs)
+    return _enrich(_base_fact(fact), prop_hist, host_hist, prop_attrs, step=step)
 
 
 def _latest_enriched(fact: DataFrame, prop_hist: DataFrame, host_hist: DataFrame,
-                     prop_attrs: list[str]) -> DataFrame:
+                     prop_attrs: list[str], step: Step = _in_one) -> DataFrame:
     """One row per (listing, month) - the latest scrape - with its attributes.
 
     The monthly pick depends on the scrape date only and each lookup is per
@@ -62,8 +75,9 @@ def _latest_enriched(fact: DataFrame, prop_hist: DataFrame, host_hist: DataFrame
     lookups see one row per listing and month instead of one per scrape.
     """
     base = _base_fact(fact)
-    latest = latest_per_key(base, ["listing_id", "month_start"], ["scraped_date"])
-    return _enrich(latest, prop_hist, host_hist, prop_attrs, probes=base)
+    latest = step(latest_per_key(base, ["listing_id", "month_start"], ["scraped_date"]), "latest")
+    # what is written is read again at no cost; else the scan it was picked from is cheaper
+    return _enrich(latest, prop_hist, host_hist, prop_attrs, probes=base if step is _in_one else None, step=step)
 
 
 def _aggregate(latest: DataFrame, keys: list[str], active_superhost_only: bool) -> DataFrame:
@@ -117,18 +131,18 @@ def _aggregate(latest: DataFrame, keys: list[str], active_superhost_only: bool)
 MONTHLY_ATTRS = ["listing_neighbourhood", "property_type", "room_type", "accommodates"]
 
 
-def monthly_fact(fact: DataFrame, prop_hist: DataFrame, host_hist: DataFrame) -> DataFrame:
+def monthly_fact(fact: DataFrame, prop_hist: DataFrame, host_hist: DataFrame, step: Step = _in_one) -> DataFrame:
     """One row per (listing, month): the latest scrape with the listing and host
     attributes valid at its date - the shared input of the two KPI marts, worth
     materialising once as a monthly-grain fact table."""
-    return _latest_enriched(fact, prop_hist, host_hist, MONTHLY_ATTRS)
+    return _latest_enriched(fact, prop_hist, host_hist, MONTHLY_ATTRS, step)
 
 
 def mart_listing_neighbourhood(fact: DataFrame, prop_hist: DataFrame,
-                               host_hist: DataFrame) -> DataFrame:
+                               host_hist: DataFrame, step: Step = _in_one) -> DataFrame:
     """KPIs per listing neighbourhood and month, rounded to 2 decimals."""
     return listing_neighbourhood_kpis(
-        _latest_enriched(fact, prop_hist, host_hist, ["listing_neighbourhood"]))
+        _latest_enriched(fact, prop_hist, host_hist, ["listing_neighbourhood"], step))
 
 
 def neighbourhood_parts(latest: DataFrame) -> DataFrame:
@@ -169,10 +183,10 @@ def neighbourhood_from_parts(a: DataFrame) -> DataFrame:
     ).orderBy("listing_neighbourhood", "month_start")
 
 
-def mart_property_type(fact: DataFrame, prop_hist: DataFrame, host_hist: DataFrame) -> DataFrame:
+def mart_property_type(fact: DataFrame, prop_hist: DataFrame, host_hist: DataFrame, step: Step = _in_one) -> DataFrame:
     """KPIs per (property type, room type, accommodates) and month, unrounded;
     the superhost rate counts only hosts with an active listing."""
-    return property_type_kpis(_latest_enriched(fact, prop_hist, host_hist, PROPERTY_KEYS))
+    return property_type_kpis(_latest_enriched(fact, prop_hist, host_hist, PROPERTY_KEYS, step))
 
 
 PROPERTY_KEYS = ["property_type", "room_type", "accommodates"]
@@ -213,7 +227,7 @@ def property_from_parts(a: DataFrame) -> DataFrame:
     ).orderBy(*[F.col(k).asc_nulls_last() for k in keys], "month_start")
 
 
-def host_area_parts(fact: DataFrame, host_hist: DataFrame) -> DataFrame:
+def host_area_parts(fact: DataFrame, host_hist: DataFrame, step: Step = _in_one) -> DataFrame:
     """Active listings and revenue by a host's own area, month and host, from
     the facts of the month alone.
 
@@ -228,8 +242,9 @@ def host_area_parts(fact: DataFrame, host_hist: DataFrame) -> DataFrame:
         stays_30(F.col("availability_30")).alias("stays_in_30_days"))
     busiest = latest_per_key(base, ["listing_id", "month_start"],
                              ["stays_in_30_days", "scraped_date"])
-    e = scd2.asof_join(busiest, host_hist, "host_id", "scraped_date", ["host_neighbourhood"],
+    e = scd2.asof_join(step(busiest, "busiest"), host_hist, "host_id", "scraped_date", ["host_neighbourhood"],
                        probes=base)
+    e = step(e, "with-area")
     act = F.col("is_active") == 1
     rev = (F.when(act, F.col("stays_in_30_days")).otherwise(0) * cents(F.col("price"))).cast("decimal(38,0)")
     return e.groupBy("host_neighbourhood", "month_start", "host_id").agg(
@@ -237,9 +252,9 @@ def host_area_parts(fact: DataFrame, host_hist: DataFrame) -> DataFrame:
 
 
 def mart_host_neighbourhood(fact: DataFrame, host_hist: DataFrame,
-                            lga_suburb: DataFrame) -> DataFrame:
+                            lga_suburb: DataFrame, step: Step = _in_one) -> DataFrame:
     """Hosts and revenue per host LGA and month."""
-    return host_area_from_parts(host_area_parts(fact, host_hist), lga_suburb)
+    return host_area_from_parts(host_area_parts(fact, host_hist, step), lga_suburb)
 
 
 def host_area_from_parts(parts: DataFrame, lga_suburb: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from lodgelake.plans.catalog import register
 from lodgelake.plans.layers import Layers, open_versions, put_history
 from lodgelake.plans.oracle_sql import HOST_ATTRS, PROP_ATTRS, asof, with_base
 from lodgelake.plans.versions import VersionedTables
-from lodgelake.session import scratch_path
+from lodgelake.session import own_step, scratch_path
 
 # ---------------------------------------------------------------- silver ----
 
@@ -203,7 +203,7 @@ def q_gold_dim_lga(spark, sf):
 @register("mart_listing_neighbourhood", oracle_analysis.LISTING_MART)
 def q_mart_listing_neighbourhood(spark, sf):
     L = Layers(spark, sf).written()
-    return marts.mart_listing_neighbourhood(L.fact, L.property_history, L.host_history)
+    return marts.mart_listing_neighbourhood(L.fact, L.property_history, L.host_history, L.step)
 
 
 # The mart's ingredients are kept by month; the last month comes in by itself.
@@ -211,14 +211,18 @@ def q_mart_listing_neighbourhood(spark, sf):
 def q_mart_month_update(spark, sf):
     L = Layers(spark, sf).written()
     t = VersionedTables(spark, scratch_path(spark, "mart-months"))
-    facts = t.put("fact_month", marts.monthly_fact(L.fact, L.property_history, L.host_history), "month_start")
+    latest = marts.monthly_fact(L.fact, L.property_history, L.host_history, L.step)
+    with own_step(spark, L.step_bytes):
+        facts = t.put("fact_month", latest, "month_start")
     newest = facts.agg(F.max("month_start")).first()[0]
     earlier = facts.where(F.col("month_start") < newest)  # all there is before the last month
-    t.put("neighbourhood_month", marts.neighbourhood_parts(earlier), "month_start")
+    with own_step(spark, L.step_bytes):
+        t.put("neighbourhood_month", marts.neighbourhood_parts(earlier), "month_start")
     t.commit()
     t = VersionedTables(spark, t.base)
     month = t.read("fact_month").where(F.col("month_start") == newest)
-    t.put("neighbourhood_month", marts.neighbourhood_parts(month), "month_start", lambda m: m != str(newest))
+    with own_step(spark, L.step_bytes):
+        t.put("neighbourhood_month", marts.neighbourhood_parts(month), "month_start", lambda m: m != str(newest))
     t.commit()
     return marts.neighbourhood_from_parts(t.read("neighbourhood_month"))
 
@@ -226,13 +230,13 @@ def q_mart_month_update(spark, sf):
 @register("mart_property_type", oracle_analysis.PROPERTY_MART)
 def q_mart_property_type(spark, sf):
     L = Layers(spark, sf).written()
-    return marts.mart_property_type(L.fact, L.property_history, L.host_history)
+    return marts.mart_property_type(L.fact, L.property_history, L.host_history, L.step)
 
 
 @register("mart_host_neighbourhood", oracle_analysis.HOST_MART)
 def q_mart_host_neighbourhood(spark, sf):
     L = Layers(spark, sf).written()
-    return marts.mart_host_neighbourhood(L.fact, L.host_history, L.lga_suburb)
+    return marts.mart_host_neighbourhood(L.fact, L.host_history, L.lga_suburb, L.step)
 
 
 # -------------------------------------------------------------- analyses ----

@@ -295,7 +295,7 @@ FROM fact_listings f
 {asof("h", "host_snapshot", "host_id")}"""))
 def q_scd2_double_asof(spark, sf):
     L = _L(spark, sf).written()
-    e = marts._enriched(L.fact, L.property_history, L.host_history, ["listing_neighbourhood"])
+    e = marts._enriched(L.fact, L.property_history, L.host_history, ["listing_neighbourhood"], L.step)
     return e.select("listing_id", "scraped_date", "listing_neighbourhood", "host_is_superhost")
 
 
