@@ -1,5 +1,7 @@
 """Queries that did part of their job do the whole of it, and each step once."""
 
+import time
+
 import pytest
 
 from lodgelake import schemas
@@ -153,3 +155,74 @@ def test_landed_files_hold_all_copies_of_a_key_in_load_order(spark, tables, shuf
     assert {(int(r.l_orderkey) % 4, r.host_is_superhost) for r in rows} == {(0, "t"), (1, "NaN"), (2, "f"), (3, "f")}
     assert {(r.host_since, r.l_linenumber == "1") for r in rows} == {("01/01/2019", False), (None, True)}
     assert tuple(q_ingest.q_load_quality(spark, tables).first()) == (457, 57, 400)
+
+
+def shuffle_files(spark):
+    """Shuffle files on the disk, once those that were given up are gone."""
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    names = blocks.getAllFiles()
+    return {n for n in (names.apply(i).getName() for i in range(names.size())) if n.startswith("shuffle_") and n.endswith(".data")}
+
+
+# each writes what it works on before its result is read
+STEPS = ["select_files", "insert_ignore", "stream_monthly_ingest", "mart_listing_neighbourhood", "mart_host_neighbourhood",
+         "scd2_double_asof"]
+
+
+@pytest.mark.parametrize("key", STEPS)
+def test_steps_leave_no_shuffle_files(spark, tables, key):
+    before = shuffle_files(spark)
+    result = QUERIES[key](spark, SF if key == "insert_ignore" else tables)  # loads drops of before 1998
+    for _ in range(20):  # they are removed in the background
+        if not (left := shuffle_files(spark) - before):
+            break
+        time.sleep(0.25)
+    assert not left and result.columns
+
+
+def test_a_step_has_partitions_for_its_bytes_and_gives_settings_back(spark):
+    from lodgelake.session import STEP_BYTES, own_step
+
+    initial, freed = ("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    before = [spark.conf.get(c, None) for c in (initial, freed)]
+    for size, partitions in ((0, before[0]), (STEP_BYTES, before[0]), (100 * STEP_BYTES + 1, "101")):
+        with pytest.raises(KeyError), own_step(spark, size):
+            assert spark.conf.get(initial, None) == partitions and spark.conf.get(freed) == "true"
+            raise KeyError
+        assert [spark.conf.get(c, None) for c in (initial, freed)] == before
+
+
+def _batch(spark, rows):
+    """Typed listings (id, date, host name) in load order."""
+    from pyspark.sql import functions as F
+
+    made = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "listing_id bigint, scraped_date string, host_name string, _row bigint")
+    cols = {"listing_id": F.col("listing_id"), "scraped_date": F.to_date("scraped_date"), "host_name": F.col("host_name")}
+    return made.select(*[cols.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schemas.AIRBNB_RAW.fields],
+                       F.lit("a.csv").alias("_file"), F.lit(0).cast("bigint").alias("_block"), "_row")
+
+
+@pytest.mark.parametrize("most", [1, 3, 100])
+def test_months_merged_apart_make_the_table_of_one_merge(spark, monkeypatch, most):
+    from lodgelake.session import scratch_path
+
+    ingest = q_ingest.ingest
+    monkeypatch.setattr(ingest, "ROWS_AT_ONCE", most)
+    table, got = scratch_path(spark, "bronze"), []
+    first = [(1, "2020-01-05", "a"), (1, "2020-01-05", "b"), (2, "2020-03-01", "c"), (None, "2020-03-01", "d")]
+    again = [(1, "2020-01-05", "x"), (1, "2020-01-06", "e"), (3, None, "f"), (3, None, "g"), (None, "2020-03-01", "h"),
+             (4, "2020-04-01", "i"), (4, "2020-04-01", "y"), (2, "2020-03-01", "z")]
+    for rows in (first, again, []):
+        new = ingest.append_insert_ignore(spark, table, _batch(spark, rows), scratch_path(spark, "staged"))
+        assert new.columns == schemas.LISTING_COLUMNS
+        got.append("".join(sorted(r.host_name for r in new.collect())))
+    assert got == ["acd", "efghi", ""]
+    assert "".join(sorted(r.host_name for r in ingest.read_bronze(spark, table).collect())) == "acdefghi"
+    assert ingest.months_at_once({"b": 2, "a": 1, "d": 9, "c": 1}, 3) == [["a", "b"], ["c"], ["d"]] if most == 3 else True
+
+
+def test_insert_ignore_moves_its_batch_once(spark, shuffled):
+    """The pick and the anti-join take the rows in one place."""
+    batch = _batch(spark, [(1, "2020-01-05", "a"), (2, "2020-01-05", "b")])
+    plan = q_ingest.ingest.insert_ignore(batch.where("host_name = 'a'"), batch)._jdf.queryExecution().executedPlan().toString()
+    assert len([line for line in plan.splitlines() if "Exchange hashpartitioning(listing_id" in line]) == 2
